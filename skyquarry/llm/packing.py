@@ -9,6 +9,7 @@ largest first with the largest partner that fits; smaller ones then go, longest
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 
 import numpy as np
@@ -23,7 +24,11 @@ from skyquarry.llm.common import map_arrow, saved, worker_cache
 
 CAPACITY = 4096
 #: Words whose ids a worker keeps before it starts again.
-WORD_CACHE = 400_000
+WORD_CACHE = 600_000
+#: Stands between chunks that are encoded together.
+MARK = "^"
+#: Letters that have one form and one lower case, then ASCII marks other than the apostrophe and digits.
+LETTERS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -93,6 +98,26 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return runs
 
 
+def chunk_ids(chunks: list[str], tokenizer) -> list[bytes]:
+    """The ids of blank-free chunks, as bytes. Many chunks are encoded as one text, with a mark between them.
+
+    The mark stands between blanks, so that it is a token of its own; no other character's encoding holds that token.
+    """
+    (mark_id,) = tokenizer.encode(MARK, add_special_tokens=False).ids
+    plain = [c for c in chunks if MARK not in c]
+    encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+    lines = [f" {MARK} ".join(plain[i : i + 500]) for i in range(0, len(plain), 500)]
+    got: dict[str, bytes] = {}
+    for i, e in enumerate(encode(lines, add_special_tokens=False)):
+        ids = np.array(e.ids, "<u4")
+        at = np.flatnonzero(ids == mark_id)
+        raw, starts, ends = ids.tobytes(), [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), 4 * len(ids)]
+        got |= {c: raw[s:z] for c, s, z in zip(plain[500 * i : 500 * i + 500], starts, ends, strict=True)}
+    rest = [c for c in chunks if MARK in c]
+    got |= {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(rest, tokenizer.encode_batch(rest, add_special_tokens=False), strict=True)}
+    return [got[c] for c in chunks]
+
+
 def token_ids(texts: list[str], tokenizer) -> list[np.ndarray]:
     """The ids of each text, as tokenizer.encode(text, add_special_tokens=False) gives them.
 
@@ -100,24 +125,26 @@ def token_ids(texts: list[str], tokenizer) -> list[np.ndarray]:
     each worker keeps the ids of chunks it has met. A text that holds a special token is encoded whole.
     """
     cache: dict[str, bytes] = worker_cache().setdefault("word_ids", {})
-    special = [str(t) for t in tokenizer.get_added_tokens_decoder().values()] if hasattr(tokenizer, "get_added_tokens_decoder") else []
-    special = [getattr(t, "content", s) for t, s in zip(tokenizer.get_added_tokens_decoder().values(), special, strict=True)]
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    whole = [any(s in t for s in special) for t in texts]
+    split = [[] if w else t.replace("\n", " ").split(" ") for t, w in zip(texts, whole, strict=True)]
+    if len(cache) > WORD_CACHE:
+        cache.clear()
+    known = [list(map(cache.get, chunks)) for chunks in split]
+    new = {c for chunks, got in zip(split, known, strict=True) if None in got for c, g in zip(chunks, got, strict=True) if g is None}
+    # letters and the marks after them are tokens apart, and case is dropped: most chunks are made of known ones
+    parts = {c: (m[1].lower(), m[2]) for c in new if (m := LETTERS.fullmatch(c))}
+    need = list({x for two in parts.values() for x in two if x not in cache} | (new - parts.keys()))
+    cache.update(zip(need, chunk_ids(need, tokenizer), strict=True))
+    cache.update((c, cache[a] + cache[b]) for c, (a, b) in parts.items())
     out = []
-    for text in texts:
-        if any(s in text for s in special):
-            out.append(np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4"))
-            continue
-        chunks = text.replace("\n", " ").split(" ")
-        try:
-            out.append(np.frombuffer(b"".join([cache[c] for c in chunks]), "<u4"))
-            continue
-        except KeyError:
-            if len(cache) > WORD_CACHE:
-                cache.clear()
-            new = list({c for c in chunks if c not in cache})
-            for c, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                cache[c] = np.array(e.ids, "<u4").tobytes()
-        out.append(np.frombuffer(b"".join([cache[c] for c in chunks]), "<u4"))
+    for t, w, chunks, got in zip(texts, whole, split, known, strict=True):
+        if w:
+            out.append(np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4"))
+        else:
+            if None in got:
+                got = [cache[c] if g is None else g for c, g in zip(chunks, got, strict=True)]
+            out.append(np.frombuffer(b"".join(got), "<u4"))
     return out
 
 

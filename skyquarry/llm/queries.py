@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyquarry.llm import decontaminate, packing, simhash
+from skyquarry.llm import ann, decontaminate, language, packing, quality, simhash, suffixes, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,12 +18,27 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def crc_mod(column: str, n: int):
+    return F.crc32(F.col(column).cast("string")) % n
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality.trained(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
+    found = quality.scored(docs, net)
+    return found.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hit = decontaminate.covered(F.col("spans"))
     return found.select(F.col("id").alias("doc_id"), "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -34,5 +49,46 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op4_simhash, op5_packing)}
-ORACLE_SQL: dict[str, str] = {}
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp")
+
+
+#: (host, path prefix, verdict)
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urlfilter.judged(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return found.select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"), F.col("url_rule").alias("rule"), F.col("url_verdict").alias("verdict"))
+
+
+OP8_SQL = r"""
+with parts as (
+  select page_id,
+         translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') as path
+  from pages),
+rules(rule_host, rule_path, verdict) as (
+  values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+best as (
+  select page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule, arg_max(verdict, length(rule_host || rule_path)) as verdict
+  from parts join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+  group by page_id)
+select p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') as verdict from parts p left join best b using (page_id)
+"""
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.trained(docs, crc_mod("doc_id", 4) != 2)
+    found = language.identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_suffixes, op4_simhash, op5_packing, op6_warc, op8_url_filter, op9_language, op10_nearest)}
+ORACLE_SQL: dict[str, str] = {"op8_url_filter": OP8_SQL}
