@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyquarry.llm import ann, decontaminate, language, packing, quality, simhash, suffixes, urlfilter, warc
+from skyquarry.llm import ann, decontaminate, language, packing, pitmanyor, quality, simhash, suffixes, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp")
 
 
+def op7_pitmanyor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pitmanyor.scored(table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) != 2)
+    return found.select(F.col("id").alias("doc_id"), (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 #: (host, path prefix, verdict)
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -90,5 +95,5 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_suffixes, op4_simhash, op5_packing, op6_warc, op8_url_filter, op9_language, op10_nearest)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_suffixes, op4_simhash, op5_packing, op6_warc, op7_pitmanyor, op8_url_filter, op9_language, op10_nearest)}
 ORACLE_SQL: dict[str, str] = {"op8_url_filter": OP8_SQL}
