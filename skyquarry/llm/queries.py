@@ -18,6 +18,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Documents that score less are rejected.
+QUALITY_CUT = 0.3
+
+
 def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string")) % n
 
@@ -26,7 +30,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     net = quality.trained(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
     found = quality.scored(docs, net)
-    return found.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return found.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
