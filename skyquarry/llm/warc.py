@@ -211,8 +211,8 @@ class _Gunzip(io.RawIOBase):
                     return 0
                 self.z = zlib.decompressobj(31)
                 self.left = self.z.decompress(rest) if rest else b""
-                if self.left:
-                    break
+                if self.left or self.z.eof:
+                    continue
             if self.at >= len(self.data):
                 return 0
             piece = self.data[self.at : self.at + (1 << 16)]
