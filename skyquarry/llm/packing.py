@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from skyquarry.llm.common import map_arrow, saved, worker_cache
+from skyquarry.llm.common import byte_buffer, map_arrow, saved, worker_cache
 
 CAPACITY = 4096
 #: Words whose ids a worker keeps before it starts again.
@@ -118,34 +118,51 @@ def chunk_ids(chunks: list[str], tokenizer) -> list[bytes]:
     return [got[c] for c in chunks]
 
 
-def token_ids(texts: list[str], tokenizer) -> list[np.ndarray]:
-    """The ids of each text, as tokenizer.encode(text, add_special_tokens=False) gives them.
+def token_ids(data: np.ndarray, offsets: np.ndarray, tokenizer) -> list[np.ndarray]:
+    """The ids of texts that lie one after another, as tokenizer.encode(text, add_special_tokens=False) gives them.
 
-    This tokenizer drops white space before it splits, so that a text's ids are those of its blank-separated chunks;
-    each worker keeps the ids of chunks it has met. A text that holds a special token is encoded whole.
+    This tokenizer drops white space before it splits, so that a text's ids are those of its blank-separated chunks.
+    A batch's chunks are numbered by Arrow, and only distinct ones are looked up; each worker keeps the ids of chunks
+    that it has met. A text that holds a special token is encoded whole.
     """
-    cache: dict[str, bytes] = worker_cache().setdefault("word_ids", {})
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    whole = [any(s in t for s in special) for t in texts]
-    split = [[] if w else t.replace("\n", " ").split(" ") for t, w in zip(texts, whole, strict=True)]
+    cache: dict[bytes, bytes] = worker_cache().setdefault("word_ids", {})
+    n, raw = len(data), data.tobytes()
+    # a chunk ends after a blank or with its text
+    mark = np.zeros(n + 1, bool)
+    mark[1:] = (data == 32) | (data == 10)
+    mark[offsets] = True
+    cuts = np.flatnonzero(mark)
+    ends = pa.py_buffer(cuts.astype(np.int64))
+    coded = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, ends, pa.py_buffer(raw)]).dictionary_encode()
+    which = coded.indices.to_numpy()
+    _, bounds, chars = coded.dictionary.buffers()
+    bounds, chars = np.frombuffer(bounds, np.int64, len(coded.dictionary) + 1), chars.to_pybytes()
+    last = np.frombuffer(chars, np.uint8)[np.maximum(bounds[1:], 1) - 1] if chars else bounds[1:]
+    words = [chars[s:e] for s, e in zip(bounds[:-1].tolist(), (bounds[1:] - ((last == 32) | (last == 10))).tolist(), strict=True)]
     if len(cache) > WORD_CACHE:
         cache.clear()
-    known = [list(map(cache.get, chunks)) for chunks in split]
-    new = {c for chunks, got in zip(split, known, strict=True) if None in got for c, g in zip(chunks, got, strict=True) if g is None}
-    # letters and the marks after them are tokens apart, and case is dropped: most chunks are made of known ones
-    parts = {c: (m[1].lower(), m[2]) for c in new if (m := LETTERS.fullmatch(c))}
-    need = list({x for two in parts.values() for x in two if x not in cache} | (new - parts.keys()))
-    cache.update(zip(need, chunk_ids(need, tokenizer), strict=True))
-    cache.update((c, cache[a] + cache[b]) for c, (a, b) in parts.items())
-    out = []
-    for t, w, chunks, got in zip(texts, whole, split, known, strict=True):
-        if w:
-            out.append(np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4"))
-        else:
-            if None in got:
-                got = [cache[c] if g is None else g for c, g in zip(chunks, got, strict=True)]
-            out.append(np.frombuffer(b"".join(got), "<u4"))
-    return out
+    ids = list(map(cache.get, words))
+    new = {w: w.decode("utf-8", "replace") for w, i in zip(words, ids, strict=True) if i is None}
+    if new:
+        # letters and the marks after them are tokens apart, and case is dropped: most chunks are made of known ones
+        parts = {w: (m[1].lower().encode(), m[2].encode()) for w, c in new.items() if (m := LETTERS.fullmatch(c))}
+        need = list({x for two in parts.values() for x in two if x not in cache} | (new.keys() - parts.keys()))
+        cache.update(zip(need, chunk_ids([x.decode("utf-8", "replace") for x in need], tokenizer), strict=True))
+        cache.update((w, cache[x] + cache[y]) for w, (x, y) in parts.items())
+        ids = [cache[w] if i is None else i for w, i in zip(words, ids, strict=True)]
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+    each = size[which]
+    total = np.concatenate([[0], np.cumsum(each)])
+    out = flat[np.repeat(first[which] - total[:-1], each) + np.arange(total[-1])]
+    at = total[np.searchsorted(cuts, offsets)]
+    found = [out[s:e] for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    for special in {t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()}:
+        if special in raw:
+            for i in range(len(found)):
+                if special in (text := raw[offsets[i] : offsets[i + 1]]):
+                    found[i] = np.array(tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4")
+    return found
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 1, keep_ids: bool = False) -> DataFrame:
@@ -166,8 +183,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         part, seen = TaskContext.get().partitionId(), {}
         for batch in it:
             names, rows = batch.column(0).to_pylist(), []
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for name, ids in zip(names, token_ids(texts, kept["tokenizer"]), strict=True):
+            for name, ids in zip(names, token_ids(*byte_buffer(batch.column(1)), kept["tokenizer"]), strict=True):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     x = ids[start : start + capacity]
