@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from skyquarry.functions import names, sky
 from skyquarry.operators import groups, joins, kernels, maps, sift, state
-from skyquarry.plans.views import duck, view
+from skyquarry.plans.views import duck, view, viewed
+from skyquarry.sources.tables import scratch
+from skyquarry.streaming import streams
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -528,3 +530,22 @@ def poly_pointing(spark, sf):
     pairs = joins.closest(_pairs(spark, sf, 0.2), "det_id", "source_id")
     s = pairs.select((F.col("map_ord")).alias("map_id"), "source_id", "ra_deg", "dec_deg", "snr", (F.col("ra_deg") - F.col("cat_ra")).alias("offset_ra"), (F.col("dec_deg") - F.col("cat_dec")).alias("offset_dec"))
     return kernels.polynomial_pointing(s, 1)
+
+
+@query("select event_id, source_id, band from (select *, flux_mjy / lag(flux_mjy) over (partition by source_id, band order by t_unix, event_id) as ratio from light_curves) where ratio > 5", "light_curves")
+def stream_flare_alerts(spark, sf):
+    """The events as a stream, with the last flux of every source and band as state."""
+    curves = viewed(streams.table_stream(spark, sf, "events"), "light_curves")
+    out = streams.drained(streams.flare_alerts(curves), scratch(spark, "alerts"), scratch(spark, "alerts-state"))
+    return out.select("event_id", "source_id", "band")
+
+
+@query("select freq, arr, gy, gx, round(sum(rho), 5) as rho, round(sum(kappa), 4) as kappa, count(*) as hits from pixels_raw group by freq, arr, gy, gx", "pixels_raw")
+def stream_coadd(spark, sf):
+    """The pixels as a stream, with a table of sums that every batch updates."""
+    pixels = viewed(streams.table_stream(spark, sf, "lineitem"), "pixels_raw")
+    path = scratch(spark, "coadd")
+    q = streams.upsert_each(streams.growing_coadd(pixels), path, ["freq", "arr", "gy", "gx"], scratch(spark, "coadd-state"))
+    q.awaitTermination()
+    last = q.lastProgress["batchId"] if q.lastProgress["numInputRows"] else q.lastProgress["batchId"] - 1
+    return spark.read.parquet(f"{path}/v{last}").select("freq", "arr", "gy", "gx", F.round("rho", 5).alias("rho"), F.round("kappa", 4).alias("kappa"), "hits")

@@ -28,9 +28,13 @@ def _expand(text: str, unix: str) -> str:
     return head + unix.format(column) + _expand(rest, unix)
 
 
+def viewed(table: DataFrame, name: str) -> DataFrame:
+    """A view over its table, which may be a stream."""
+    return table.selectExpr(*[_expand(c, _UNIX) for c in VIEWS[name][1]])
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    source, columns = VIEWS[name]
-    return spark.read.parquet(f"{sf_dir}/{source}.parquet").selectExpr(*[_expand(c, _UNIX) for c in columns])
+    return viewed(spark.read.parquet(f"{sf_dir}/{VIEWS[name][0]}.parquet"), name)
 
 
 def duck(*names: str) -> str:

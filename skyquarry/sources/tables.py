@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """df as Parquet in the folder of spark.checkpoint.dir; cuts the lineage of loops."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of spark.checkpoint.dir, which goes when the application ends."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
@@ -19,8 +18,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df as Parquet in the shared folder; cuts the lineage of loops."""
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 SOURCE_COLUMNS = ["source_id", "ra_deg", "dec_deg", "flux_mjy", "err_flux_mjy", "catalog_name"]
@@ -64,7 +69,7 @@ def ephemeris_lines(lines: DataFrame, order: Column, by: str) -> DataFrame:
 
     w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     inside = F.sum(F.when(F.trim("value") == "$$SOE", 1).when(F.trim("value") == "$$EOE", -1).otherwise(0)).over(w)
-    return lines.withColumn("_in", inside).where((F.col("_in") > 0) & (F.trim("value") != "$$SOE")).drop("_in").withColumn("fields", F.transform(F.split("value", ","), F.trim))
+    return lines.withColumn("_in", inside).where((F.col("_in") > 0) & (F.trim("value") != "$$SOE")).drop("_in").withColumn("fields", F.transform(F.split("value", ","), lambda x: F.trim(x)))
 
 
 def write_light_curves(rows: DataFrame, path: str) -> None:
