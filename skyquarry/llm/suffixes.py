@@ -2,9 +2,10 @@
 
 Not every suffix travels. Of each window of `length` bytes, the least hash of its k-grams is its anchor, so that equal
 windows have equal anchors wherever they stand. A stretch of windows with one anchor is a region; only regions whose
-anchor occurs twice are gathered by anchor, and there the suffixes that start in them are sorted. The sort compares
-suffixes by prefix polynomial hashes of their first `length` bytes in one step, and every pair of neighbours that
-agrees is then compared byte by byte, so that a collision removes nothing.
+anchor occurs twice are gathered by anchor. There the suffixes at the anchors are mergesorted: prefix polynomial hashes
+and a binary search give the common extension of two suffixes, and so their order. What neighbours share to both sides
+of the anchor, checked byte by byte, repeats. A window can also repeat in a region that is no neighbour; anchors with
+windows still open are gone through whole, by a sort of the hashes of their windows, verified the same way.
 """
 
 from __future__ import annotations
@@ -26,11 +27,12 @@ PLACE_BITS, SLAB, GATHER = 20, 1 << 19, 4 << 20
 
 
 def regions(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(key, document, first window, last window, weight) of every region of texts that lie one after another.
+    """(key, document, first window, last window, weight, anchor) of every region of texts that lie one after another.
 
-    Positions count from the start of data. The weight is 2 where the anchor occurs more than once in the region.
+    Positions count from the start of data; the anchor's is that of the first window's. The weight is 2 where the
+    anchor occurs more than once in the region.
     """
-    none = (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 4
+    none = (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 5
     n = len(data)
     if n < length:
         return none
@@ -59,7 +61,97 @@ def regions(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     moved = np.zeros(len(at), np.int64)
     moved[1:] = v[1:] != v[:-1]
     moved = np.cumsum(moved)
-    return mixed(key[first]), doc[first], at[first], at[last], 1 + (moved[last] > moved[first])
+    anchor = at[first] + (((v[first] & low).astype(np.int64) - at[first]) & int(low))
+    return mixed(key[first]), doc[first], at[first], at[last], 1 + (moved[last] > moved[first]), anchor
+
+
+def common_extension(h: np.ndarray, down: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many bytes, at most `most`, the suffixes at a and b share: a binary search over prefix hashes."""
+    low, high = np.zeros(len(a), np.int64), most.astype(np.int64).copy()
+    for _ in range(int(high.max(initial=0)).bit_length()):
+        mid = (low + high + 1) >> 1
+        same = (h[a + mid] - h[a]) * down[a] == (h[b + mid] - h[b]) * down[b]
+        low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
+    return low
+
+
+def common_extension_left(h: np.ndarray, down: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many bytes before a and b agree, at most `most`."""
+    low, high = np.zeros(len(a), np.int64), most.astype(np.int64).copy()
+    for _ in range(int(high.max(initial=0)).bit_length()):
+        mid = (low + high + 1) >> 1
+        same = (h[a] - h[a - mid]) * down[a - mid] == (h[b] - h[b - mid]) * down[b - mid]
+        low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
+    return low
+
+
+def suffix_order(data: np.ndarray, h: np.ndarray, down: np.ndarray, starts: np.ndarray, ends: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """A stable mergesort of data[start:end] within each group, all groups at once.
+
+    A comparison finds the common extension and looks at the byte after it, so that it costs the logarithm of the
+    length. Runs of doubling width are merged: an element's place is its rank in its run and, by binary search, in the other.
+    """
+    order = np.argsort(group, kind="stable")
+    sizes = np.unique(group[order], return_counts=True)[1]
+    base = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    size = np.repeat(sizes, sizes)
+    padded = np.append(data, 0)
+
+    def before(x: np.ndarray, y: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
+        a, b = starts[x], starts[y]
+        left, right = ends[x] - a, ends[y] - b
+        m = common_extension(h, down, a, b, np.minimum(left, right))
+        end = (m == left) | (m == right)
+        return np.where(end, (left < right) | (or_equal & (left == right)), padded[a + m] < padded[b + m])
+
+    width = 1
+    while width < (sizes.max() if len(sizes) else 0):
+        i = np.flatnonzero(size > width)
+        rank = i - base[i]
+        run = rank // width
+        second = run % 2 == 1
+        other = (run ^ 1) * width
+        low = np.minimum(other, size[i])
+        begin, high = low.copy(), np.minimum(other + width, size[i])
+        mine = order[i]
+        while (open_ := np.flatnonzero(low < high)).size:
+            mid = (low[open_] + high[open_]) >> 1
+            # equal suffixes keep their order: what comes from the second run stays behind
+            less = before(order[base[i[open_]] + mid], mine[open_], second[open_])
+            low[open_] = np.where(less, mid + 1, low[open_])
+            high[open_] = np.where(less, high[open_], mid)
+        merged_at = base[i] + (run // 2) * 2 * width + rank % width + (low - begin)
+        new = order.copy()
+        new[merged_at] = mine
+        order, width = new, 2 * width
+    return order
+
+
+def extended(texts: list[bytes], anchors: list[int], groups: list, length: int = LENGTH) -> list[np.ndarray]:
+    """For each text, which window starts repeat in a neighbour, after the suffixes at the anchors of a group are sorted.
+
+    Neighbours agree from the left extension to the right one; what is at least a window long repeats in both. Each
+    such stretch is compared byte by byte.
+    """
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    h, down = prefix_hashes(data)
+    starts, ends = bounds[:-1] + np.array(anchors, np.int64), bounds[1:]
+    number = np.unique(np.array(groups), return_inverse=True)[1]
+    order = suffix_order(data, h, down, starts, ends, number)
+    x, y = order[:-1], order[1:]
+    pair = number[x] == number[y]
+    x, y = x[pair], y[pair]
+    right = common_extension(h, down, starts[x], starts[y], np.minimum(ends[x] - starts[x], ends[y] - starts[y]))
+    left = common_extension_left(h, down, starts[x], starts[y], np.minimum(starts[x] - bounds[x], starts[y] - bounds[y]))
+    hit = [np.zeros(max(0, len(t) - length + 1), bool) for t in texts]
+    for p, q, l, r in zip(x.tolist(), y.tolist(), left.tolist(), right.tolist(), strict=True):
+        if l + r >= length:
+            a, b = anchors[p] - l, anchors[q] - l
+            if texts[p][a : a + l + r] == texts[q][b : b + l + r]:
+                hit[p][a : a + l + r - length + 1] = True
+                hit[q][b : b + l + r - length + 1] = True
+    return hit
 
 
 def repeated(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
@@ -106,7 +198,7 @@ def _anchor_kernel(it):
         ids = b.column(0).to_numpy(zero_copy_only=False)
         data, offsets = byte_buffer(b.column(2))
         for i, j in slabs(offsets, SLAB):
-            key, doc, _, _, weight = regions(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            key, doc, _, _, weight, _ = regions(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             # one row for each anchor of a text
             order = np.lexsort((key, doc))
             key, doc, weight = key[order], doc[order], weight[order]
@@ -117,14 +209,14 @@ def _anchor_kernel(it):
 
 
 def _region_kernel(it):
-    out = pa.schema([("key", pa.int64()), ("region", pa.binary()), ("rows", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64()))])
+    out = pa.schema([("key", pa.int64()), ("region", pa.binary()), ("anchor", pa.int64()), ("rows", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64()))])
     for b in it:
         ids = b.column(0).to_pylist()
         wanted, bounds = b.column(3).flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *(len(x) for x in b.column(3))])
         data, offsets = byte_buffer(b.column(2))
         for i, j in slabs(offsets, SLAB):
             part = data[offsets[i] : offsets[j]]
-            key, doc, first, last, _ = regions(part, offsets[i : j + 1] - offsets[i])
+            key, doc, first, last, _, anchor = regions(part, offsets[i : j + 1] - offsets[i])
             key = key.view(np.int64)
             # a text's wanted anchors, told apart from those of others by its number
             have = np.rec.fromarrays([doc, key])
@@ -133,11 +225,11 @@ def _region_kernel(it):
             found: dict = {}
             raw = part.tobytes()
             base = offsets[i:j] - offsets[i]
-            for k, d, f, z in zip(key[keep].tolist(), doc[keep].tolist(), first[keep].tolist(), last[keep].tolist(), strict=True):
-                at = found.setdefault((k, raw[f : z + LENGTH]), ([], []))
+            for k, d, f, z, m in zip(key[keep].tolist(), doc[keep].tolist(), first[keep].tolist(), last[keep].tolist(), anchor[keep].tolist(), strict=True):
+                at = found.setdefault((k, raw[f : z + LENGTH], m - f), ([], []))
                 at[0].append(ids[i + d])
                 at[1].append(f - int(base[d]))
-            yield from batches(out, 2000, {"key": pa.array([k for k, _ in found], pa.int64()), "region": pa.array([r for _, r in found], pa.binary()), "rows": pa.array([x for x, _ in found.values()], pa.list_(pa.int64())), "starts": pa.array([x for _, x in found.values()], pa.list_(pa.int64()))})
+            yield from batches(out, 2000, {"key": pa.array([k for k, _, _ in found], pa.int64()), "region": pa.array([r for _, r, _ in found], pa.binary()), "anchor": pa.array([m for _, _, m in found], pa.int64()), "rows": pa.array([x for x, _ in found.values()], pa.list_(pa.int64())), "starts": pa.array([x for _, x in found.values()], pa.list_(pa.int64()))})
 
 
 def _within(have: np.ndarray, want: np.ndarray) -> np.ndarray:
@@ -161,12 +253,16 @@ def _sort_kernel(it):
     def solve(held: dict):
         rows, starts, ends = [], [], []
         texts = [(k, r) for k, regions_of in held.items() for r in regions_of]
-        # all windows of a region that occurs twice repeat; the rest is told by the sort, over each anchor's distinct regions
-        alone = {k for k, regions_of in held.items() if len(regions_of) == 1 and (len(next(iter(regions_of))) < 2 * LENGTH - GRAM)}
-        sorted_texts = [(k, r) for k, r in texts if k not in alone or len(held[k][r][0]) < 2]
-        hits = dict(zip(sorted_texts, repeated([r for _, r in sorted_texts]), strict=True)) if sorted_texts else {}
+        # all windows of a region that occurs twice repeat; where an anchor has several regions, their suffixes are sorted
+        several = [(k, r) for k, r in texts if len(held[k]) > 1]
+        hits = dict(zip(several, extended([r for _, r in several], [held[k][r][2] for k, r in several], [k for k, _ in several]), strict=True)) if several else {}
+        # a window may repeat in a region that is no neighbour, or in its own: anchors that are not settled are gone through whole
+        unsettled = {k for k, r in texts if len(held[k][r][0]) < 2 and not ((k, r) in hits and hits[k, r].all())}
+        rest = [(k, r) for k, r in texts if k in unsettled]
+        for name, hit in zip(rest, repeated([r for _, r in rest]) if rest else (), strict=True):
+            hits[name] = hits[name] | hit if name in hits else hit
         for k, r in texts:
-            of, at = held[k][r]
+            of, at, _ = held[k][r]
             if len(of) > 1:
                 spans = [(0, len(r))]
             else:
@@ -183,7 +279,7 @@ def _sort_kernel(it):
     held: dict = {}
     size, now = 0, None
     for b in it:
-        for k, r, of, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+        for k, r, m, of, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
             if k != now and size > GATHER:
                 yield from solve(held)
                 held, size = {}, 0
@@ -193,7 +289,7 @@ def _sort_kernel(it):
                 mine[r][0].extend(of)
                 mine[r][1].extend(at)
             else:
-                mine[r] = (of, at)
+                mine[r] = (of, at, m)
                 size += len(r)
     yield from solve(held)
 
@@ -203,7 +299,7 @@ def spans_of(rows: DataFrame) -> DataFrame:
     anchors = saved(map_arrow(rows, _anchor_kernel, "key long, row_id long, n int"), "anchors")
     twice = anchors.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
     wanted = anchors.select("key", "row_id").join(twice, "key", "left_semi").groupBy("row_id").agg(F.collect_list("key").alias("keys"))
-    found = map_arrow(rows.join(wanted, "row_id").select("row_id", "id", "text", "keys"), _region_kernel, "key long, region binary, rows array<long>, starts array<long>")
+    found = map_arrow(rows.join(wanted, "row_id").select("row_id", "id", "text", "keys"), _region_kernel, "key long, region binary, anchor long, rows array<long>, starts array<long>")
     cut = map_arrow(found.repartition("key").sortWithinPartitions("key"), _sort_kernel, "row_id long, start long, end long")
     return cut.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 

@@ -49,3 +49,25 @@ def test_hash_collisions_remove_nothing(monkeypatch):
     want = [t.tolist() for t in suffixes.repeated(texts)]
     monkeypatch.setattr(suffixes, "prefix_hashes", lambda d: (np.zeros(len(d) + 1, np.uint64), np.zeros(len(d) + 1, np.uint64)))
     assert [t.tolist() for t in suffixes.repeated(texts)] == want
+
+
+def test_suffix_order_is_the_order_of_the_bytes():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    texts = [bytes(rng.integers(97, 99, rng.integers(0, 60)).astype(np.uint8)) for _ in range(300)] + [b"", b"a" * 50, b"a" * 51, b"a" * 50]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    starts = ends - [len(t) for t in texts]
+    group = rng.integers(0, 7, len(texts))
+    h, down = suffixes.prefix_hashes(data)
+    got = suffixes.suffix_order(data, h, down, starts, ends, group)
+    assert got.tolist() == sorted(range(len(texts)), key=lambda i: (group[i], texts[i], i))
+
+
+def test_extensions_mark_what_neighbours_share():
+    shared = bytes(range(48, 110)) * 5
+    texts = [b"L" * 20 + shared + b"R" * 9, b"M" * 7 + shared + b"Z" * 40, b"q" * 400]
+    hit = suffixes.extended(texts, [30, 17, 5], [1, 1, 1])
+    assert [h.sum() for h in hit] == [len(shared) - 199, len(shared) - 199, 0]
+    assert hit[0].argmax() == 20 and hit[1].argmax() == 7
