@@ -2,7 +2,7 @@
 
 The kernel of two texts counts the byte n-grams of one to GRAMS bytes that occur in both (a blended spectrum of
 presences), over the square root of how many each has. Landmark texts span a Nyström approximation of it, on which
-one-versus-rest ridge regressors are fitted; texts are scored in batches by two matrix products. The n-grams counted
+one-versus-rest ridge regressors are fitted; texts are scored in batches of pieces by two matrix products. The n-grams counted
 are those of the landmarks: no other can agree with one.
 """
 
@@ -19,7 +19,9 @@ from skyquarry.llm.common import byte_buffer, map_arrow
 
 GRAMS = 3
 #: Rows that train at most (those of the least hashes of their ids), the bytes of a text up to which it may train, and landmarks.
-TRAIN_ROWS, TRAIN_BYTES, LANDMARKS = 2000, 20_000, 96
+TRAIN_ROWS, TRAIN_BYTES, LANDMARKS = 2000, 20_000, 192
+#: Bytes of a piece: a text's score is the mean of its pieces', by their bytes, so that a foreign passage counts by its length.
+PIECE, BATCH = 1500, 256
 RIDGE, EIGEN_FLOOR = 1e-2, 1e-6
 
 _FOLD = np.arange(256, dtype=np.int64)
@@ -88,7 +90,16 @@ class Model:
         return (has @ self.landmarks) / np.sqrt(np.maximum(1, has.sum(1)))[:, None]
 
     def scores(self, texts: list[np.ndarray], table: np.ndarray) -> np.ndarray:
-        return self.kernel(texts, table) @ self.weights[:-1] + self.weights[-1]
+        """One row per text, over all its pieces."""
+        pieces = [(i, t[k : k + PIECE]) for i, t in enumerate(texts) for k in range(0, max(1, len(t)), PIECE)]
+        out, sizes = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        for k in range(0, len(pieces), BATCH):
+            of, part = zip(*pieces[k : k + BATCH], strict=True)
+            size = np.array([max(1, len(p)) for p in part], float)
+            got = self.kernel(list(part), table) @ self.weights[:-1] + self.weights[-1]
+            np.add.at(out, list(of), got * size[:, None])
+            np.add.at(sizes, list(of), size)
+        return out / sizes[:, None]
 
 
 def trained(docs: DataFrame, may_learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = TRAIN_ROWS) -> Model:
