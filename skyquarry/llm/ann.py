@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from skyquarry.llm.common import batches, map_arrow, saved
 
 #: Vectors that fit the tree, queries that calibrate it, and the recall they must reach.
-FIT_SAMPLE, CALIBRATION, RECALL = 20_000, 128, 0.98
-#: Children of a node, vectors meant for a leaf, leaves at most, and vectors of a block within a leaf.
-BRANCH, LEAF, MOST_LEAVES, BLOCK = 8, 400, 4096, 4096
+FIT_SAMPLE, CALIBRATION, RECALL = 20_000, 128, 0.95
+#: Children of a node, vectors meant for a leaf, leaves at most, and vectors of a shard: neighbouring leaves, or a part of a large one.
+BRANCH, LEAF, MOST_LEAVES, SHARD = 8, 400, 4096, 4096
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -92,21 +92,31 @@ def visited(q: np.ndarray, tree, most: int) -> list[list[int]]:
     return out
 
 
-def best_of(q: np.ndarray, x: np.ndarray, ids: list, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, score) of the k best of x for each of q, ties to the smaller id. ids: the ids of each vector, ascending."""
-    rows, found, values = [], [], []
+def best_of(q: np.ndarray, x: np.ndarray, ids: list, k: int, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, id, score) of the k best of x for each of q, ties to the smaller id. ids: the ids of each vector, ascending.
+
+    seen (queries, vectors) says what a query looks at. The product of matrices finds who may be among the k; their
+    scores are then summed row by row, so that equal vectors have equal scores wherever they stand.
+    """
+    copies = np.array([min(len(i), k) for i in ids], np.int64)
+    flat = np.array([name for i in ids for name in i[:k]], np.int64)
+    first = np.cumsum(copies) - copies
+    parts = []
     for i in range(0, len(q), 512):
         scores = q[i : i + 512] @ x.T
+        if seen is not None:
+            scores[~seen[i : i + 512]] = -np.inf
         cut = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] > k else np.full(len(scores), -np.inf)
-        for j, (s, c) in enumerate(zip(scores, cut, strict=True)):
-            near = np.flatnonzero(s >= c - 1e-9 * max(1.0, abs(c)) if np.isfinite(c) else np.ones(len(s), bool))
-            exact = (x[near] * q[i + j]).sum(1)
-            pairs = [(-v, name) for v, n in zip(exact.tolist(), near.tolist(), strict=True) for name in ids[n][:k]]
-            for v, name in heapq.nsmallest(k, pairs):
-                rows.append(i + j)
-                found.append(name)
-                values.append(-v)
-    return np.array(rows, np.int64), np.array(found, np.int64), np.array(values, np.float64)
+        row, near = np.nonzero((scores >= (cut - 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(cut), cut, 0))))[:, None]) & np.isfinite(scores))
+        exact = (x[near] * q[i + row]).sum(1)
+        n = copies[near]
+        row, exact = np.repeat(row, n), np.repeat(exact, n)
+        name = flat[np.repeat(first[near] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        order = np.lexsort((name, -exact, row))
+        row, name, exact = row[order], name[order], exact[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        parts.append((row[rank < k] + i, name[rank < k], exact[rank < k]))
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
 
 def stacked(column) -> np.ndarray:
@@ -170,30 +180,46 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             visits = min(number_of_leaves, visits + max(1, visits // 8))
 
     sizes = {r["leaf"]: r["n"] for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # at most MOST_LEAVES
-    cuts = np.ones(number_of_leaves, np.int64)
-    for leaf, size in sizes.items():
-        cuts[leaf] = -(-size // BLOCK)
-    per_leaf = F.array(*[F.lit(int(c)) for c in cuts])
+    # leaves share a shard while they fit it; a larger leaf is cut into shards of its own
+    begin, parts, shard, room = np.zeros(number_of_leaves, np.int64), np.ones(number_of_leaves, np.int64), 0, SHARD
+    for leaf in range(number_of_leaves):
+        n = sizes.get(leaf, 0)
+        if n > room and room < SHARD:
+            shard, room = shard + 1, SHARD
+        begin[leaf], parts[leaf] = shard, max(1, -(-n // SHARD))
+        shard, room = (shard + int(parts[leaf]), SHARD) if n > SHARD else (shard, room - n)
+    lookup = lambda values: F.element_at(F.array(*[F.lit(int(v)) for v in values]), (F.col("leaf") + 1).cast("int"))
+    stored = index.withColumn("shard", lookup(begin) + F.pmod(F.xxhash64("rep"), lookup(parts)))
 
     def ask(it):
-        out = pa.schema([("rep", pa.int64()), ("v", pa.list_(pa.float64())), ("leaf", pa.int64())])
+        out = pa.schema([("rep", pa.int64()), ("v", pa.list_(pa.float64())), ("shard", pa.int64()), ("leaves", pa.list_(pa.int64()))])
         for b in it:
-            met = visited(stacked(b.column(1).to_pylist()), shared.value, visits) if len(b) else []
-            at = pa.array(np.repeat(np.arange(len(b)), [len(m) for m in met]), pa.int64())
-            yield from batches(out, 10_000, {"rep": b.column(0).take(at), "v": b.column(1).take(at), "leaf": np.array([x for m in met for x in m], np.int64)})
-
-    going = map_arrow(questions, ask, "rep long, v array<double>, leaf long")
-    at_leaf = F.element_at(per_leaf, (F.col("leaf") + 1).cast("int"))
-    going = going.withColumn("block", F.explode(F.sequence(F.lit(0), at_leaf - 1)))
-    stored = index.withColumn("block", F.pmod(F.xxhash64("rep"), at_leaf).cast("int"))
+            rows = []
+            for i, met in enumerate(visited(stacked(b.column(1).to_pylist()), shared.value, visits) if len(b) else []):
+                at: dict = {}
+                for leaf in met:
+                    for s in range(int(begin[leaf]), int(begin[leaf] + parts[leaf])):
+                        at.setdefault(s, []).append(leaf)
+                rows += [(i, s, leaves) for s, leaves in at.items()]
+            take = pa.array([r[0] for r in rows], pa.int64())
+            yield from batches(out, 10_000, {"rep": b.column(0).take(take), "v": b.column(1).take(take), "shard": pa.array([r[1] for r in rows], pa.int64()), "leaves": pa.array([r[2] for r in rows], pa.list_(pa.int64()))})
+
+    going = map_arrow(questions, ask, "rep long, v array<double>, shard long, leaves array<long>")
 
     def search(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asking.empty or held.empty:
             return pd.DataFrame({"rep": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        row, name, score = best_of(stacked(asking["v"]), stacked(held["v"]), [list(i) for i in held["ids"]], k + 1)
-        return pd.DataFrame({"rep": asking["rep"].to_numpy()[row], "id": name, "score": score})
-
-    met = going.groupBy("leaf", "block").cogroup(stored.groupBy("leaf", "block")).applyInPandas(search, "rep long, id long, score double")
+        mine, of = np.unique(held["leaf"].to_numpy(), return_inverse=True)
+        sees = np.zeros((len(asking), len(mine)), bool)
+        for i, leaves in enumerate(asking["leaves"]):
+            sees[i] = np.isin(mine, leaves)
+        x, ids, reps, found = stacked(held["v"]), [list(i) for i in held["ids"]], asking["rep"].to_numpy(), []
+        for i in range(0, len(asking), 2048):
+            row, name, score = best_of(stacked(asking["v"].iloc[i : i + 2048]), x, ids, k + 1, sees[i : i + 2048][:, of])
+            found.append(pd.DataFrame({"rep": reps[i + row], "id": name, "score": score}))
+        return pd.concat(found)
+
+    met = going.groupBy("shard").cogroup(stored.groupBy("shard")).applyInPandas(search, "rep long, id long, score double")
     best = Window.partitionBy("rep").orderBy(F.desc("score"), "id")
     met = met.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
     every = asked.withColumnRenamed("id", "query_id").join(met, "rep").where("id <> query_id")
