@@ -4,6 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from skyquarry.plans import more_queries  # noqa: F401
 from skyquarry.plans import queries as q
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
