@@ -9,6 +9,7 @@ largest first with the largest partner that fits; smaller ones then go, longest
 from __future__ import annotations
 
 import heapq
+import os
 import re
 import zlib
 
@@ -24,7 +25,7 @@ from skyquarry.llm.common import byte_buffer, map_arrow, saved, worker_cache
 
 CAPACITY = 4096
 #: Words whose ids a worker keeps before it starts again.
-WORD_CACHE = 600_000
+WORD_CACHE = 500_000
 #: Stands between chunks that are encoded together.
 MARK = "^"
 #: Letters that have one form and one lower case, then ASCII marks other than the apostrophe and digits.
@@ -175,6 +176,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     fields += [("ids", pa.list_(pa.int32()))] if keep_ids else []
 
     def kernel(it):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has its core; more threads only wait for one another
         from tokenizers import Tokenizer
 
         kept = worker_cache()
