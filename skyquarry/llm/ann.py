@@ -144,7 +144,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     questions = reps.join(asked.select("rep").distinct(), "rep", "left_semi").select("rep", "v")
 
     n = reps.count()
-    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(FIT_SAMPLE).select("v").collect()
+    # a share of the rows by hash, so that the tasks together send no more than the sample
+    share = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < int(min(1.0, 1.1 * FIT_SAMPLE / max(1, n)) * (1 << 20)) + 1
+    sample = reps.where(share).select("v").limit(FIT_SAMPLE).collect()
     x = stacked([r[0] for r in sample])
     leaves = max(1, min(MOST_LEAVES, n // LEAF))
     tree = fit_tree(x, max(4, len(x) // leaves))

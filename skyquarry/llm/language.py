@@ -105,8 +105,10 @@ class Model:
 def trained(docs: DataFrame, may_learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = TRAIN_ROWS) -> Model:
     """A model of at most `most` rows for which may_learn holds and language and text are known."""
     rows = docs.where(may_learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & (F.octet_length(text_col) <= TRAIN_BYTES))
-    chosen = rows.select(id_col, text_col, lang_col).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col, text_col).limit(most).collect()
-    return Model([r[1].encode() for r in chosen], [r[2] for r in chosen])
+    # ids first: what every task sends to be ordered is small, and only the chosen texts come to the driver
+    chosen = rows.where(F.col(id_col).isNotNull()).select(id_col).distinct().orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(most)
+    got = sorted(tuple(r) for r in rows.join(F.broadcast(chosen), id_col).select(text_col, lang_col).limit(4 * most).collect())
+    return Model([text.encode() for text, _ in got], [lang for _, lang in got])
 
 
 def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

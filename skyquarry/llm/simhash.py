@@ -177,7 +177,8 @@ def links(points: DataFrame, radius: int = 2) -> DataFrame:
     """
     n = points.count()
     leaves = max(1, -(-n // SHARD_POINTS))
-    sample = np.array([r[0] for r in points.orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()] if leaves > 1 else [], np.int64).view(np.uint64)
+    share = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(min(1.0, 1.1 * TREE_SAMPLE / max(1, n)) * (1 << 30)) + 1
+    sample = np.array([r[0] for r in points.where(share).limit(TREE_SAMPLE).collect()] if leaves > 1 else [], np.int64).view(np.uint64)
     nodes = vantage_tree(sample, min(leaves, 4096)) if len(sample) else []
 
     def deal(it):
