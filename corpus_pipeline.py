@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyquarry.llm import decontaminate, packing, quality, simhash, suffixes
+from skyquarry.llm import decontaminate, nearcopies, packing, quality, suffixes
 from skyquarry.llm.common import scratch_path
 from skyquarry.llm.queries import QUALITY_CUT, crc_mod, table, tokenizer_path
 
@@ -18,8 +18,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints: that of the least id."""
-    return simhash.deduplicated(docs)
+    """One document of each set connected by a similarity of 0.8 or more of 5-word shingles: that of the least id."""
+    return nearcopies.deduplicated(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
