@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,24 +15,30 @@ def pairwise(detections: DataFrame, radius_deg: float) -> DataFrame:
     return zone_join(left, right, radius_deg).where("map_i < map_j").select("i", "map_i", "j", "map_j", "sep")
 
 
-def folded(pairs: DataFrame, cluster: DataFrame | None = None) -> DataFrame:
+def folded(pairs: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, group): pairs are taken in the order of (map_i, map_j, i, j); of several j for one i and map the last counts.
 
-    A pair joins the group of either end, or opens one named by its first end; two groups never merge. cluster
-    (node, root) divides the pairs into sets that share no node, each folded on its own.
+    A pair joins the group of either end, or opens one named by its first end; two groups never merge. So a node's
+    earliest pair decides: it follows the other end if that one was in an earlier pair, else the pair's first end.
+    Chains of followers halve with every round, each a table in the shared folder.
     """
+    from skyquarry.sources.tables import saved
 
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        group: dict = {}
-        for r in g.sort_values(["map_i", "map_j", "i", "j"]).drop_duplicates(["map_i", "map_j", "i"], keep="last").itertuples():
-            name = group.get(r.i, group.get(r.j, r.i))
-            group.setdefault(r.i, name)
-            group.setdefault(r.j, name)
-        return pd.DataFrame({"node": list(group), "group": list(group.values())}, dtype="int64")
-
-    rows = pairs.select("i", "map_i", "j", "map_j")
-    rows = rows.join(cluster.select(F.col("node").alias("i"), "root"), "i") if cluster is not None else rows.withColumn("root", F.lit(0))
-    return rows.groupBy("root").applyInPandas(fold, "node long, group long")
+    last = pairs.groupBy("map_i", "map_j", "i").agg(F.max("j").alias("j"))
+    at = F.struct("map_i", "map_j", "i", "j").alias("at")
+    ends = last.select(F.col("i").alias("node"), F.col("j").alias("other"), at).union(last.select("j", "i", at))
+    first = saved(ends.groupBy("node").agg(F.min(F.struct("at", "other")).alias("e")).select("node", "e.at", "e.other"), "first")
+    seen = first.select(F.col("node").alias("other"), F.col("at").alias("seen"))
+    up = F.when(F.col("seen") < F.col("at"), F.col("other")).otherwise(F.col("at.i"))
+    names = saved(first.join(seen, "other").select("node", up.cast("long").alias("group")), "groups")
+    for _ in range(rounds):
+        above = names.select(F.col("node").alias("_n"), F.col("group").alias("_g"))
+        new = saved(names.join(above, F.col("group") == F.col("_n")).select("node", F.col("_g").alias("group"), (F.col("_g") != F.col("group")).alias("moved")), "groups")
+        moved = new.where("moved").limit(1).count()
+        names = new.select("node", "group")
+        if not moved:
+            return names
+    raise RuntimeError("groups did not settle")
 
 
 def connected(pairs: DataFrame, rounds: int = 60) -> DataFrame:

@@ -151,15 +151,32 @@ def histogram(rows: DataFrame, value: str, bins: int) -> DataFrame:
 def greedy_suppressed(peaks: DataFrame, radius: Column) -> DataFrame:
     """Peaks kept per map: strongest first, one is dropped if a kept one lies within its own radius. Needs map_id, peak_id, x, y, v.
 
-    A kept peak more than the largest radius away never matters, so a map is folded as one ordered list of its peaks.
+    Peaks meet by cells as wide as the largest radius. In every round, a table in the shared folder, those with a kept
+    stronger neighbour go, and those whose stronger neighbours have all gone stay; there are as many rounds as the longest chain.
     """
-    rows = peaks.select("map_id", F.struct((-F.col("v")).alias("k"), "peak_id", "x", "y", "v", radius.cast("double").alias("r")).alias("p"))
-    ordered = rows.groupBy("map_id").agg(F.array_sort(F.collect_list("p")).alias("ps"))
-    empty = F.slice("ps", 1, 0)
-
-    def step(acc, p):
-        near = F.exists(acc, lambda q: (q["x"] - p["x"]) * (q["x"] - p["x"]) + (q["y"] - p["y"]) * (q["y"] - p["y"]) <= p["r"] * p["r"])
-        return F.when(near, acc).otherwise(F.concat(acc, F.array(p)))
-
-    kept = ordered.select("map_id", F.explode(F.aggregate("ps", empty, step)).alias("p"))
-    return kept.select("map_id", "p.peak_id", "p.x", "p.y", "p.v")
+    from skyquarry.sources.tables import saved
+
+    order = F.struct(F.col("v").isNull().alias("none"), (-F.col("v")).alias("k"), "peak_id", "x", "y", F.col("r").alias("r"), F.col("row").alias("row"))
+    rows = peaks.select("map_id", "peak_id", "x", "y", "v", radius.cast("double").alias("r"), F.monotonically_increasing_id().alias("row"))
+    rows = saved(rows.withColumn("o", order), "peaks")
+    wide = rows.agg(F.max(F.abs("r"))).first()[0] or 0.0
+    width = float(wide) if wide > 0 else 1.0
+    cell = [F.floor(F.col(c) / width).alias(f"c{c}") for c in ("x", "y")]
+    strong = rows.select("map_id", F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("o").alias("so"), F.col("row").alias("by"), *cell)
+    weak = rows.select("map_id", "x", "y", "o", "r", "row", *cell)
+    for c in ("cx", "cy"):
+        weak = weak.withColumn(c, F.explode(F.array(*[F.col(c) + d for d in (-1, 0, 1)])))
+    dx, dy = F.col("sx") - F.col("x"), F.col("sy") - F.col("y")
+    near = strong.join(weak, ["map_id", "cx", "cy"]).where((F.col("so") < F.col("o")) & (dx * dx + dy * dy <= F.col("r") * F.col("r")))
+    edges = saved(near.select("by", "row"), "edges")
+    kept = saved(rows.select("row").join(edges, "row", "left_anti"), "kept")
+    every = kept
+    while True:
+        gone = edges.join(kept.withColumnRenamed("row", "by"), "by", "left_semi").select("row").distinct()
+        left = edges.join(gone, "row", "left_anti").join(gone.withColumnRenamed("row", "by"), "by", "left_anti")
+        state = saved(edges.join(gone, "row", "left_anti").select("row").distinct().join(left.select("row").distinct().withColumn("waits", F.lit(True)), "row", "left"), "open")
+        edges = saved(left, "edges")
+        kept = state.where("waits is null").select("row")
+        every = every.union(kept)
+        if not state.limit(1).count():
+            return rows.join(every, "row", "left_semi").select("map_id", "peak_id", "x", "y", "v")
