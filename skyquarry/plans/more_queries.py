@@ -137,7 +137,7 @@ def moving_positions(spark, sf):
 def moving_refined(spark, sf):
     """Objects where their map saw them: the fixed point of position and pixel time."""
     i = F.col("map_id")
-    asks = view(spark, sf, "maps").where("map_id % 10 = 0 and freq = 'f090'").select(i.alias("ask_id"), (i % 20).alias("designation"), (F.lit(2460312.5) + i % 25).cast("double").alias("jd"))
+    asks = view(spark, sf, "maps").select(i.alias("ask_id"), (i % 20).alias("designation"), (F.lit(2460312.5) + i % 25).cast("double").alias("jd"))
     times = view(spark, sf, "pixels_raw").groupBy("gy", "gx").agg(F.min("t_unix").alias("t")).select("gy", "gx", (F.lit(2460311.0) + F.pmod(F.col("t") / 86400.0, F.lit(29.0))).alias("pixel_jd"))
     return moving.refined(asks, moving.segments(view(spark, sf, "ephemerides")), times, sky.pixel(F.col("ra_deg"), F.col("dec_deg"), **GRID), rounds=4)
 
@@ -196,8 +196,8 @@ def peak_positions(spark, sf):
 
 @query()
 def fitted_sources(spark, sf):
-    """Gaussian fits of the thumbnails of the brightest sources' maps, failures with their reason."""
-    s = view(spark, sf, "catalog_sources").where("flux_mjy > 950").select((F.col("source_id") % 24).alias("map_id"), "source_id", (F.col("source_id") * 7 % 60).cast("int").alias("gy"), (F.col("source_id") * 11 % 60).cast("int").alias("gx"))
+    """Gaussian fits of the thumbnails of the sources' maps, failures with their reason."""
+    s = view(spark, sf, "catalog_sources").select((F.col("source_id") % 24).alias("map_id"), "source_id", (F.col("source_id") * 7 % 60).cast("int").alias("gy"), (F.col("source_id") * 11 % 60).cast("int").alias("gx"))
     images = stamps.as_arrays(stamps.thumbnails(s, _pixels(spark, sf), 3), 3)
     return kernels.fitted(images, "source_id", "image", 7, 7)
 
