@@ -17,6 +17,8 @@ from skyquarry.llm.common import saved
 
 #: Bits and hash functions per key of a level, and the bits beyond which a level is refused: filters travel as literals.
 BITS_PER_KEY, HASHES, MOST_BITS = 12, 4, 1 << 22
+#: Bits of level 1 at least: with few rules it lets next to no key through, so that later levels stay small whatever the universe's size.
+FIRST_BITS = 1 << 12
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,7 +52,7 @@ def _held(key: Column, level: int, words: list[int]) -> Column:
 
 
 def _filter_bits(keys: DataFrame, level: int, n: int) -> list[int]:
-    words = max(1, -(-n * BITS_PER_KEY // 64))
+    words = max(1 if level else FIRST_BITS // 64, -(-n * BITS_PER_KEY // 64))
     if 64 * words > MOST_BITS:
         raise ValueError(f"{n} keys need more than {MOST_BITS} bits in level {level + 1}")
     at = keys.select(F.explode(F.array(*_places(F.col("key"), level, 64 * words))).alias("p"))

@@ -51,3 +51,12 @@ def test_a_cascade_is_exact_over_its_universe(spark):
 def test_the_main_path_has_no_python(spark, small):
     plan = queries.op8_url_filter(spark, small)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|Join", plan)
+
+
+def test_later_levels_do_not_grow_with_the_universe(spark):
+    listed = spark.createDataFrame([(f"host{i}/",) for i in range(5)], "key string")
+    universe = spark.range(300_000).selectExpr("concat('u', id, '.example/') as key").union(listed)
+    levels = urlfilter.cascade(universe, listed)
+    assert sum(map(len, levels[1:])) <= 2
+    told = universe.select("key", urlfilter.member(F.col("key"), levels).alias("in")).where("in")
+    assert sorted(r[0] for r in told.collect()) == [f"host{i}/" for i in range(5)]
