@@ -186,11 +186,10 @@ def polynomial_pointing(sources: DataFrame, order: int, snr_at_least: float = 5.
 
     The normal equations are sums, so that a map's sources are aggregated by Spark and only they are solved.
     """
-    from skyquarry.operators.maps import sigma_clip
+    from skyquarry.operators.maps import clip_marks
 
     good = sources.where(F.col("snr") >= snr_at_least)
-    keep = [sigma_clip(good, c, [by], sigma, rounds).select(by, "source_id") for c in ("offset_ra", "offset_dec")]
-    good = good.join(keep[0], [by, "source_id"], "left_semi").join(keep[1], [by, "source_id"], "left_semi")
+    good = clip_marks(good, {"_ra": "offset_ra", "_dec": "offset_dec"}, [by], sigma, rounds).where("_ra and _dec")
     terms = [(i, j) for i in range(order + 1) for j in range(order + 1 - i)]
     base = [F.pow(F.col("ra_deg"), F.lit(float(i))) * F.pow(F.col("dec_deg"), F.lit(float(j))) for i, j in terms]
     w = F.least(F.col("snr").cast("double"), F.lit(100.0))

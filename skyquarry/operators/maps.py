@@ -75,15 +75,31 @@ def tile_rms(pixels: DataFrame, tile: Column, value: str = "snr") -> DataFrame:
     return per.withColumns({"median_rms": F.median(some).over(w), "mean_rms": F.avg(some).over(w)})
 
 
-def sigma_clip(rows: DataFrame, value: str, by: list[str], sigma: float = 3.0, rounds: int = 5) -> DataFrame:
-    """rows that survive `rounds` clips around the median by the population deviation, within `by`."""
+def clip_marks(rows: DataFrame, values: dict[str, str], by: list[str], sigma: float = 3.0, rounds: int = 5) -> DataFrame:
+    """rows with a boolean column for each of values (mark: value): whether the value survives `rounds` clips within `by`.
+
+    A clip keeps what lies within sigma population deviations of the median of what the one before kept. All rounds of
+    all values are windows over one partitioning, so that rows are read, shuffled and sorted once. Null values are not kept.
+    """
+    rows = rows.withColumns({m: F.col(v).isNotNull() for m, v in values.items()})
     for _ in range(rounds):
-        level = rows.groupBy(*by).agg(F.median(value).alias("_c"), F.stddev_pop(value).alias("_s"))
-        rows = rows.join(level, by) if by else rows.join(F.broadcast(level))  # one row without keys
-        rows = rows.where(F.abs(F.col(value) - F.col("_c")) <= sigma * F.col("_s")).drop("_c", "_s")
+        inside = {m: F.when(F.col(m), F.col(v)) for m, v in values.items()}
+        levels = {f"_c_{m}": F.median(x) for m, x in inside.items()} | {f"_s_{m}": F.stddev_pop(x) for m, x in inside.items()}
+        if by:
+            rows = rows.withColumns({name: x.over(Window.partitionBy(*by)) for name, x in levels.items()})
+        else:  # without keys a round is one row of two numbers a value
+            found = rows.agg(*[x.alias(name) for name, x in levels.items()]).first()
+            rows = rows.withColumns({name: F.lit(found[name]).cast("double") for name in levels})
+        kept = {m: F.col(m) & F.coalesce(F.abs(F.col(v) - F.col(f"_c_{m}")) <= sigma * F.col(f"_s_{m}"), F.lit(False)) for m, v in values.items()}
+        rows = rows.withColumns(kept).drop(*levels)
     return rows
 
 
+def sigma_clip(rows: DataFrame, value: str, by: list[str], sigma: float = 3.0, rounds: int = 5) -> DataFrame:
+    """rows that survive `rounds` clips around the median by the population deviation, within `by`."""
+    return clip_marks(rows, {"_in": value}, by, sigma, rounds).where("_in").drop("_in")
+
+
 def block_rms(pixels: DataFrame, size: int, value: str = "flux", sigma: float = 3.0, rounds: int = 3) -> DataFrame:
     """Clipped deviation per block, relative to the median of the map's blocks."""
     blocks = pixels.where(F.col(value) != 0).withColumns({"by": F.floor(F.col("gy") / size), "bx": F.floor(F.col("gx") / size)})

@@ -13,6 +13,8 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder of spark.checkpoint.dir, which goes when the application ends."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
