@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import sys
 import tempfile
 import types
@@ -23,10 +22,12 @@ MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one only where none is set, as in tests."""
+    """The shared folder of the cluster; a local one only where none is set and the master is local, as in tests."""
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -46,9 +47,6 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    # what the step shuffled is needed no more; Spark removes it once the driver's collector has seen that
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -74,6 +74,13 @@ class Model:
             solved = np.linalg.solve(phi.T @ (phi * w[:, None]) + RIDGE / len(phi) * np.eye(phi.shape[1]), phi.T @ (y * w[:, None]))
             self.weights = np.vstack([root @ solved[:-1], solved[-1:]])
 
+    @classmethod
+    def of(cls, state: dict) -> Model:
+        """The model of vars(model): plain arrays travel to workers that do not have this package."""
+        out = cls.__new__(cls)
+        vars(out).update(state)
+        return out
+
     def table(self) -> np.ndarray:
         """Column of each n-gram; 0 for those that no landmark has."""
         at = np.zeros(SPACE, np.int32)
@@ -120,10 +127,10 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     at = [f.name for f in fields].index(text_col)
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
     types = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by LANDMARKS texts of TRAIN_BYTES
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # bounded by LANDMARKS texts of TRAIN_BYTES
 
     def kernel(it):
-        model = shared.value
+        model = Model.of(shared.value)
         table = model.table()
         for b in it:
             data, offsets = byte_buffer(b.column(at))
