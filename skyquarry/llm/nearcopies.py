@@ -1,18 +1,17 @@
-"""Near copies: texts whose sets of word shingles have a Jaccard similarity of 4/5 or more, linked exactly.
+"""Exact similarity of word-shingle sets: verification of candidate pairs, and the pairs that fingerprints cannot promise.
 
-Every set is sorted in one order of all shingles. Two sets that similar have their first common shingle among the first
-n - ceil(4n/5) + 1 of each (n: size of the set), so only texts that share one of these meet (prefix filter); then the
-sets themselves are compared. Equal sets count once. The order puts shingles that many texts have last; it is taken
-from a sample and changes only who meets needlessly.
+Two sets have a Jaccard similarity of 4/5 or more when they share 4/9 of their elements together. With every set sorted
+in one order of all shingles, two such sets have their first common shingle among the first n - ceil(4n/5) + 1 of each
+(n: size of the set), so only texts that share one of these meet (prefix filter); then the sets themselves are
+compared. The order puts shingles that many texts have last; it is taken from a sample and changes only who meets needlessly.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skyquarry.llm.common import batches, map_arrow, saved
 from skyquarry.llm.graph import components
@@ -20,6 +19,10 @@ from skyquarry.llm.graph import components
 SHINGLE = 5
 #: Texts that tell which shingles are frequent (a bounded sample), from how many of them on, and how many shingles count as such.
 ORDER_TEXTS, ORDER_LEAST, ORDER_MOST = 20_000, 8, 1 << 16
+#: Bits of the filter that spares texts whose sets nobody asks for; what passes it is joined exactly.
+FILTER_BITS = 20
+#: Sets that a task remembers so as to hand on a repeated one only once.
+REMEMBERED = 1 << 18
 
 
 def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -49,29 +52,44 @@ def similar(common: Column, a: Column, b: Column) -> Column:
     return common * 9 >= (a + b) * 4
 
 
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+
+
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.select(F.col(text_col).cast("string").alias("text"))
+    return docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.pmod(text_hash(text_col), F.lit(1 << FILTER_BITS)).cast("int").alias("slot"))
 
 
-def _sets(docs: DataFrame, text_col: str) -> DataFrame:
-    """(point, grams) of every row."""
+def _sets(docs: DataFrame, text_col: str, shingle: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """(point, grams) of every row whose slot is wanted; of a set that a task meets again soon only the first."""
 
     def kernel(it):
+        out = pa.schema([("point", pa.int64()), ("grams", pa.list_(pa.int64()))])
+        seen: set = set()
         for batch in it:
-            found = [shingles(t) for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            slots = batch.column(1).to_numpy(zero_copy_only=False)
+            names, found = [], []
+            for i in range(len(batch)) if wanted is None else np.flatnonzero(wanted[slots]).tolist():
+                grams = shingles(batch.column(0)[i].cast(pa.binary()).as_py(), shingle)
+                name = point(grams)
+                if name not in seen:
+                    seen.add(name)
+                    names.append(name)
+                    found.append(grams)
+            if len(seen) > REMEMBERED:
+                seen = set()
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            grams = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array([point(g) for g in found], pa.int64()), grams], names=["point", "grams"])
+            yield from batches(out, 1000, {"point": np.array(names, np.int64), "grams": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))})
 
     return map_arrow(_texts(docs, text_col), kernel, "point long, grams array<long>")
 
 
-def _frequent(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
+def _frequent(docs: DataFrame, text_col: str, shingle: int, n: int) -> np.ndarray:
     """Shingles that many sampled texts have, the most frequent last."""
     share = int(min(1.0, ORDER_TEXTS / max(1, n)) * (1 << 30))
-    some = docs.where(F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 30)) < share)
-    counts = _sets(some, text_col).select(F.explode("grams").alias("h")).groupBy("h").count().where(F.col("count") >= ORDER_LEAST)
+    some = docs.where(F.pmod(text_hash(text_col), F.lit(1 << 30)) < share)
+    counts = _sets(some, text_col, shingle).select(F.explode("grams").alias("h")).groupBy("h").count().where(F.col("count") >= ORDER_LEAST)
     top = counts.orderBy(F.desc("count"), "h").limit(ORDER_MOST).collect()  # at most ORDER_MOST longs
     return np.array([r["h"] for r in reversed(top)], np.int64).view(np.uint64)
 
@@ -88,71 +106,86 @@ def prefix(grams: np.ndarray, names: np.ndarray, ranks: np.ndarray) -> np.ndarra
     return grams[np.lexsort((grams, rank))][: n - -(-4 * n // 5) + 1]
 
 
-def _prefixes(docs: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
-    """(key, point, n, pos): the prefix of every row's set."""
+def _prefixes(docs: DataFrame, text_col: str, shingle: int, frequent: np.ndarray) -> DataFrame:
+    """(key, point, place): the prefix of every set; place has the set's size in its upper half and the shingle's position in its lower."""
     ranks = np.argsort(frequent)
     names = frequent[ranks]
 
     def kernel(it):
-        out = pa.schema([("key", pa.int64()), ("point", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+        out = pa.schema([("key", pa.int64()), ("point", pa.int64()), ("place", pa.int64())])
+        seen: set = set()
         for batch in it:
-            sets = [shingles(t) for t in batch.column(0).cast(pa.binary()).to_pylist()]
-            kept = [prefix(g, names, ranks) for g in sets]
-            size = [len(k) for k in kept]
-            if sum(size):
-                of = {"point": np.repeat(np.array([point(g) for g in sets], np.int64), size), "n": np.repeat(np.array([len(g) for g in sets], np.int32), size)}
-                yield from batches(out, 50_000, {"key": np.concatenate(kept).view(np.int64), "pos": np.concatenate([np.arange(k, dtype=np.int32) for k in size]), **of})
-
-    return map_arrow(_texts(docs, text_col), kernel, "key long, point long, n int, pos int")
-
-
-def _met(left: DataFrame, right: DataFrame, when: str) -> DataFrame:
-    """Distinct pairs (a, b) of rows with one key whose sizes and places in the order allow the similarity."""
-    pairs = left.alias("x").join(right.alias("y"), "key").where(when)
-    sizes = F.least("x.n", "y.n") * 5 >= F.greatest("x.n", "y.n") * 4
-    # of the first common shingle on, no more can be in common
-    rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    return pairs.where(sizes & similar(rest, F.col("x.n"), F.col("y.n"))).select(F.col("x.point").alias("a"), F.col("y.point").alias("b")).distinct()
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
-    """The pairs of points whose sets are similar."""
+            sets = {}
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                grams = shingles(text, shingle)
+                name = point(grams)
+                if name not in seen and len(grams):
+                    sets[name] = prefix(grams, names, ranks), len(grams)
+            seen.update(sets)
+            if len(seen) > REMEMBERED:
+                seen = set()
+            if sets:
+                size = [len(k) for k, _ in sets.values()]
+                place = np.concatenate([np.arange(len(k), dtype=np.int64) + (n << 32) for k, n in sets.values()])
+                yield from batches(out, 50_000, {"key": np.concatenate([k for k, _ in sets.values()]).view(np.int64), "point": np.repeat(np.array(list(sets), np.int64), size), "place": place})
+
+    return map_arrow(_texts(docs, text_col), kernel, "key long, point long, place long")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, text_col: str, marks: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The pairs (a, b) of points whose sets are similar. marks: point and h (hash of the text) of docs."""
     pairs = saved(pairs, "pairs")
-    need = pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct()
-    sets = saved(_sets(docs, text_col).join(need, "point", "left_semi").dropDuplicates(["point"]), "sets")
+    if pairs.isEmpty():
+        return pairs
+    need = saved(pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct(), "asked")
+    slots = marks.join(need, "point", "left_semi").select(F.pmod("h", F.lit(1 << FILTER_BITS)).cast("int").alias("slot")).distinct().toArrow()
+    wanted = np.zeros(1 << FILTER_BITS, bool)
+    wanted[slots["slot"].to_numpy()] = True  # at most 2^FILTER_BITS small integers
+    sets = saved(_sets(docs, text_col, shingle, wanted).join(need, "point", "left_semi").dropDuplicates(["point"]), "sets")
     both = pairs.join(sets.select(F.col("point").alias("a"), F.col("grams").alias("g")), "a").join(sets.select(F.col("point").alias("b"), F.col("grams").alias("h")), "b")
     return saved(both.where(similar(F.size(F.array_intersect("g", "h")), F.size("g"), F.size("h"))).select("a", "b"), "links")
 
 
-def links(docs: DataFrame, text_col: str, n: int) -> DataFrame:
-    """(a, b): pairs of similar points that connect exactly what all such pairs would.
+def _sizes(c: str) -> tuple[Column, Column]:
+    return F.shiftright(f"{c}.place", 32), F.col(f"{c}.place").bitwiseAND(F.lit((1 << 32) - 1))
 
-    First each point is compared with the least one of each of its keys, so that a cluster of copies costs no more than
-    its size; then the pairs of one key that are not connected yet.
-    """
-    rows = saved(_prefixes(docs, text_col, _frequent(docs, text_col, n)), "prefixes")
-    ends = rows.groupBy("key").agg(F.min("point").alias("lead"), F.max("point").alias("last")).where("lead < last").select("key", "lead")
-    shared = saved(rows.join(ends, "key").distinct(), "shared")
-    first = _verified(_met(shared.where("point = lead"), shared, "x.point <> y.point"), docs, text_col)
-    named = saved(shared.join(components(first), F.col("point") == F.col("node"), "left").select("key", "point", "n", "pos", F.coalesce("root", "point").alias("root")), "named")
-    apart = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    rest = named.join(apart, "key", "left_semi")
-    return first.union(_verified(_met(rest, rest, "x.root < y.root"), docs, text_col))
 
+def _met(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of joined rows x and y with one key, whose sizes and places in the order allow the similarity."""
+    (n, i), (m, j) = _sizes("x"), _sizes("y")
+    # of the first common shingle on, no more can be in common
+    fit = (F.least(n, m) * 5 >= F.greatest(n, m) * 4) & similar(F.least(n - i, m - j), n, m)
+    return pairs.where(fit).select(F.col("x.point").alias("a"), F.col("y.point").alias("b")).distinct()
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each connected set of near copies: that of the least id, a null id being the greatest. Texts without words are copies of each other."""
 
-    def kernel(it):
-        for batch in it:
-            found = [point(shingles(t)) for t in batch.column(at).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], names=[*batch.schema.names, "_point"])
-
-    at = docs.columns.index(text_col)
-    marked = map_arrow(docs, kernel, T.StructType([*docs.schema.fields, T.StructField("_point", T.LongType())]))
-    marks = saved(marked.select(F.col(id_col).alias("id"), F.col("_point").alias("point")), "marks")
-    root = components(links(docs, text_col, marks.count()))
-    classes = marks.join(root, F.col("point") == F.col("node"), "left").groupBy(F.coalesce("root", "point").alias("root"))
-    kept = classes.agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "point")).alias("k")).select(F.col("k.id").alias("_id"), F.col("k.point").alias("_kept"))
-    found = marked.join(kept, (F.col("_point") == F.col("_kept")) & F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    return found.dropDuplicates(["_point"]).select(docs.columns)
+def completed(docs: DataFrame, text_col: str, marks: DataFrame, known: DataFrame, n: int, shingle: int = SHINGLE) -> DataFrame:
+    """(a, b): known links and as many more as connect exactly what all similar pairs of points would.
+
+    Prefixes are shuffled once, by shingle. A point is first compared with the least of each of its shingles, so that a
+    cluster costs no more than its size; then the pairs of one shingle that are not connected yet, small sets with those
+    up to a quarter larger.
+    """
+    key = Window.partitionBy("key")
+    rows = _prefixes(docs, text_col, shingle, _frequent(docs, text_col, shingle, n))
+    shared = rows.withColumns({"lead": F.min("point").over(key), "last": F.max("point").over(key)}).where("lead < last")
+    shared = saved(shared.select("key", "point", "place").distinct(), "shared")
+
+    def named(links: DataFrame) -> DataFrame:
+        """shared with the root of each point, where a key has several roots."""
+        if not links.isEmpty():
+            root = components(links)
+            found = shared.join(root, F.col("point") == F.col("node"), "left").select("key", "point", "place", F.coalesce("root", "point").alias("root"))
+        else:
+            found = shared.withColumn("root", F.col("point"))
+        return found.withColumns({"lo": F.min("root").over(key), "hi": F.max("root").over(key)}).where("lo < hi").drop("lo", "hi")
+
+    apart = saved(named(known), "apart")
+    lead = F.min(F.struct("root", "point", "place")).over(key).alias("x")
+    stars = apart.select("root", F.struct("point", "place").alias("y"), lead).where("root <> x.root")
+    first = verified(_met(stars), docs, text_col, marks, shingle)
+    both = saved(known.union(first), "links")
+    band = F.floor(F.log(F.shiftright("place", 32)) / float(np.log(1.25)))
+    rest = saved(named(both).withColumn("band", band.cast("int")), "rest")
+    less = rest.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+    pairs = less.alias("x").join(rest.alias("y"), ["key", "band"]).where((F.shiftright("x.place", 32) <= F.shiftright("y.place", 32)) & (F.col("x.root") != F.col("y.root")))
+    return both.union(verified(_met(pairs), docs, text_col, marks, shingle))

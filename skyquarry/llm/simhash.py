@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from skyquarry.llm import nearcopies
 from skyquarry.llm.common import batches, map_arrow, saved
 from skyquarry.llm.graph import components
 
@@ -60,6 +61,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), kernel, schema)
 
 
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, each set where it is in over half of hashes."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(bits * 2 > len(hashes)).tobytes(), "big")
+
+
 def distances(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
     return np.bitwise_count(points ^ vantage).astype(np.int16)
 
@@ -169,17 +176,14 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return lab
 
 
-def links(points: DataFrame, radius: int = 2) -> DataFrame:
-    """(a, b): star edges that connect distinct fingerprints `fp` exactly as all pairs within radius would.
-
-    Within a shard, all pairs are found, and each connected set is returned as edges to its least member: the
-    output stays linear in the points. points: distinct non-null `fp`.
-    """
+def met(points: DataFrame, radius: int, found, schema: str) -> DataFrame:
+    """found(a shard's fingerprints, index pairs within radius) for every shard of a vantage-point tree. points: distinct non-null `fp`."""
     n = points.count()
     leaves = max(1, -(-n // SHARD_POINTS))
-    share = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(min(1.0, 1.1 * TREE_SAMPLE / max(1, n)) * (1 << 30)) + 1
-    sample = np.array([r[0] for r in points.where(share).limit(TREE_SAMPLE).collect()] if leaves > 1 else [], np.int64).view(np.uint64)
-    nodes = vantage_tree(sample, min(leaves, 4096)) if len(sample) else []
+    share = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(min(1.0, TREE_SAMPLE / max(1, n)) * (1 << 30)) + 1
+    # a share by hash, so that the same fingerprints are chosen whenever this runs
+    sample = np.array([r[0] for r in points.where(share).collect()] if leaves > 1 else [], np.int64).view(np.uint64)  # TREE_SAMPLE on average
+    nodes = vantage_tree(sample, leaves) if len(sample) else []
 
     def deal(it):
         out = pa.schema([("shard", pa.int64()), ("fp", pa.int64()), ("home", pa.bool_())])
@@ -193,14 +197,37 @@ def links(points: DataFrame, radius: int = 2) -> DataFrame:
         at_home = group["home"].to_numpy(bool)
         home, guests = fp[at_home], fp[~at_home]
         a, b = close_pairs(home, guests, radius)
-        every = np.concatenate([home, guests])
-        lab = roots(len(every), a, b)
-        moved = np.flatnonzero(lab != np.arange(len(every)))
-        signed = every.view(np.int64)
-        return pd.DataFrame({"a": signed[moved], "b": signed[lab[moved]]})
+        return found(np.concatenate([home, guests]).view(np.int64), a, b)
 
     shards = map_arrow(points.select("fp"), deal, "shard long, fp long, home boolean")
-    return shards.groupBy("shard").applyInPandas(meet, "a long, b long")
+    return shards.groupBy("shard").applyInPandas(meet, schema)
+
+
+def links(points: DataFrame, radius: int = 2) -> DataFrame:
+    """(a, b): star edges that connect distinct fingerprints `fp` exactly as all pairs within radius would.
+
+    Within a shard, all pairs are found, and each connected set is returned as edges to its least member: the
+    output stays linear in the points.
+    """
+
+    def stars(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        lab = roots(len(fp), a, b)
+        moved = np.flatnonzero(lab != np.arange(len(fp)))
+        return pd.DataFrame({"a": fp[moved], "b": fp[lab[moved]]})
+
+    return met(points, radius, stars, "a long, b long")
+
+
+def neighbours(points: DataFrame, radius: int = 2) -> DataFrame:
+    """(a, b): for each fingerprint one of those within radius, if there are any: candidates, whose texts are still to be compared."""
+
+    def first(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        least = np.arange(len(fp))
+        np.minimum.at(least, np.maximum(a, b), np.minimum(a, b))
+        moved = np.flatnonzero(least != np.arange(len(fp)))
+        return pd.DataFrame({"a": fp[moved], "b": fp[least[moved]]})
+
+    return met(points, radius, first, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
@@ -224,3 +251,44 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kept = out.where("id = component").select(F.col("id").alias(id_col)).distinct()
     named = docs.where(F.col(id_col).isNotNull())
     return named.join(kept, id_col, "left_semi").dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull())).select(docs.columns)
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = nearcopies.SHINGLE, radius: int = 2) -> DataFrame:
+    """docs with one row of each connected set of near copies: that of the least id, a null id being the greatest.
+
+    Near copies are texts whose sets of word shingles have a Jaccard similarity of 0.8 or more. Fingerprints of the sets
+    meet in vantage-point shards, and each candidate pair within radius is compared set by set. At a similarity of 0.8
+    some 10 of 64 bits differ, a radius at which no branch of a tree can be pruned; so the links that are left are
+    completed exactly by a prefix filter. Texts without words (null, empty, blank) are copies of each other. Rows that
+    repeat count once; rows of one id with different texts are judged by their texts. An empty table stays empty.
+    """
+    kind = docs.schema[id_col].dataType
+
+    def kernel(it):
+        for batch in it:
+            sets = [nearcopies.shingles(t, shingle) for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            made = [pa.array([nearcopies.point(g) for g in sets], pa.int64()), pa.array(np.array([majority(g) for g in sets], np.uint64).view(np.int64))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["id", "h", "point", "fp"])
+
+    name, h = F.col(f"`{id_col}`"), nearcopies.text_hash(text_col)
+    schema = T.StructType([T.StructField("id", kind), *(T.StructField(c, T.LongType()) for c in ("h", "point", "fp"))])
+    marks = saved(map_arrow(docs.select(name.alias("id"), h.alias("h"), F.col(f"`{text_col}`").cast("string").alias("text")), kernel, schema), "marks")
+    points = saved(marks.groupBy("point").agg(F.first("fp").alias("fp")), "points")
+    least = saved(points.groupBy("fp").agg(F.min("point").alias("lead"), F.max("point").alias("last")), "fingerprints")
+    same = points.join(least.where("lead < last"), "fp").where("point <> lead").select(F.col("point").alias("a"), F.col("lead").alias("b"))
+    near = neighbours(least.select("fp"), radius)
+    lead = lambda c: least.select(F.col("fp").alias(c), F.col("lead").alias(f"p{c}"))
+    near = near.join(lead("a"), "a").join(lead("b"), "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"))
+    known = nearcopies.verified(same.union(near).distinct(), docs, text_col, marks, shingle)
+    root = components(nearcopies.completed(docs, text_col, marks, known, marks.count(), shingle))
+    classes = marks.join(root, F.col("point") == F.col("node"), "left").groupBy(F.coalesce("root", "point").alias("root"))
+    kept = classes.agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("k")).select(F.col("k.id").alias("kept_id"), F.col("k.h").alias("kept_h"))
+    kept = saved(kept, "kept")
+    twice = saved(marks.groupBy("id", "h").agg(F.count("*").alias("n")).where("n > 1").join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("h") == F.col("kept_h")), "left_semi").select("id", "h"), "twice")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name.alias("id"), h.alias("h"))
+    mine = lambda a, b: F.col("id").eqNullSafe(F.col(a)) & (F.col("h") == F.col(b))
+    out = rows.join(kept, mine("kept_id", "kept_h"), "left_semi")
+    if not twice.isEmpty():  # rows that repeat id and text go apart, so that the others are not shuffled again
+        again = twice.select(F.col("id").alias("again_id"), F.col("h").alias("again_h"))
+        out = out.join(again, mine("again_id", "again_h"), "left_anti").union(rows.join(again, mine("again_id", "again_h"), "left_semi").dropDuplicates(["id", "h"]))
+    return out.select("row.*")

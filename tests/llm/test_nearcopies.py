@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from skyquarry.llm import nearcopies
+from skyquarry.llm import simhash
 
 
 def brute(rows):
@@ -49,11 +49,11 @@ def test_copies_with_many_edits_and_chains_match_brute_force(spark):
     rng.shuffle(texts)
     rows = list(enumerate(texts)) + [(None, texts[0]), (None, "alone without an id"), (5, "another text of the id five"), (None, ""), (900, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert kept(nearcopies.deduplicated(df)) == brute(rows)
+    assert kept(simhash.without_near_copies(df)) == brute(rows)
 
 
 def test_awkward_documents(odd, none):
-    out = nearcopies.deduplicated(odd)
+    out = simhash.without_near_copies(odd)
     assert out.columns == odd.columns
     assert kept(out) == brute([(r["doc_id"], r["text"]) for r in odd.collect()])
-    assert nearcopies.deduplicated(none).collect() == []
+    assert simhash.without_near_copies(none).collect() == []

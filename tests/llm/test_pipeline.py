@@ -1,6 +1,6 @@
 import corpus_pipeline
 from skyquarry.llm import packing, quality, queries
-from tests.llm import test_decontaminate, test_packing, test_simhash, test_suffixes
+from tests.llm import test_decontaminate, test_nearcopies, test_packing, test_suffixes
 
 
 def staged(spark, tmp_path, docs, small, upto):
@@ -21,8 +21,7 @@ def test_every_stage_does_what_brute_force_does(spark, tmp_path, docs, small):
     assert all(x.columns == docs.columns for x in (good, single, cut, clean))
     scores = {r["doc_id"]: r["score"] for r in queries.op1_quality(spark, small).collect()}
     assert {i for i, _ in rows(good)} == {i for i, s in scores.items() if s >= 0.3}
-    classes = {c for _, _, c in test_simhash.brute(rows(good))}
-    assert sorted(str(i) for i, _ in rows(single)) == sorted(classes)
+    assert test_nearcopies.kept(single) == test_nearcopies.brute(rows(good))
     want = {i: (n, removed) for i, n, removed, _, _ in test_suffixes.brute(rows(single))}
     left = dict(rows(cut))
     assert {str(i) for i in left} == {i for i, (n, removed) in want.items() if removed < n or not n}
