@@ -103,7 +103,10 @@ def _bench_kernel(window: int):
 
 
 def _doc_kernel(sizes: list[int], passes: np.ndarray, kind: pa.DataType):
-    """Rows of two kinds: one for each document with its number of words, and one for each kept hash that may be the benchmark's."""
+    """Rows of two kinds: one for each document with its number of words, and one for each kept hash that may be the benchmark's.
+
+    The first has size 0, which no window has, and its own number for a hash, so that joins deal such rows evenly.
+    """
 
     def kernel(it):
         out = pa.schema([("row_id", pa.int64()), ("id", kind), ("n_words", pa.int64()), ("size", pa.int32()), ("h", pa.int64()), ("first", pa.int64()), ("context", pa.string())])
@@ -116,7 +119,7 @@ def _doc_kernel(sizes: list[int], passes: np.ndarray, kind: pa.DataType):
                 low, starts, ends, doc = words_of(data_all[offsets_all[i] : offsets_all[j]], offsets)
                 hashes = word_hashes(low, starts, ends)
                 bounds = np.searchsorted(doc, np.arange(len(ids) + 1))
-                cols = [(ids, np.diff(bounds), np.zeros(len(ids), np.int32), np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), [None] * len(ids))]
+                cols = [(ids, np.diff(bounds), np.zeros(len(ids), np.int32), ids, np.zeros(len(ids), np.int64), [None] * len(ids))]
                 raw = low.tobytes() if len(low) else b""
                 for size, gram in _classes(sizes):
                     at, h = winnowed(hashes, doc, size, gram)
@@ -159,7 +162,8 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     hits = rows.join(hint(marks.withColumn("hit", F.lit(True))), ["size", "h"], "left").where("n_words >= 0 or hit")
     words = F.split("context", " ")
     around = F.when(F.size(words) >= F.col("size"), F.transform(F.sequence(F.lit(0), F.size(words) - F.col("size")), lambda i: F.struct((F.col("first") + i).alias("first"), F.array_join(F.slice(words, i + 1, F.col("size")), " ").alias("words"))))
-    spread = hits.select("row_id", "id", "n_words", "size", F.explode_outer(F.when(F.col("hit"), around)).alias("w")).select("row_id", "id", "n_words", "size", "w.first", "w.words")
+    own = F.array(F.struct(F.col("first"), F.col("row_id").cast("string").alias("words")))
+    spread = hits.select("row_id", "id", "n_words", "size", F.explode(F.when(F.col("size") == 0, own).otherwise(around)).alias("w")).select("row_id", "id", "n_words", "size", "w.first", "w.words")
     found = spread.join(hint(windows), ["size", "words"], "left").where("n_words >= 0 or of is not null")
     spans = F.array_sort(F.collect_set(F.when(F.col("of").isNotNull(), F.struct("first", F.col("size").cast("long").alias("size")))))
     return found.groupBy("row_id", "id").agg(F.max("n_words").alias("n_words"), spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("of")))).alias("items"))
@@ -176,7 +180,9 @@ def covered(spans):
     return F.aggregate(spans, start, add)["n"]
 
 
-def decontaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs without the ids in whose text a window of a benchmark item occurs; rows without an id stay."""
-    found = contamination(docs, bench, id_col).where(F.size("spans") > 0).select(F.col("id").alias(id_col))
-    return docs.join(found, id_col, "left_anti").select(docs.columns)
+def decontaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs without the rows in whose text a window of a benchmark item occurs. Each row is judged by its text, whatever its id; null texts stay."""
+    digest = F.md5(F.col(f"`{text_col}`").cast("string"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), digest.alias("digest"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    found = contamination(rows.select("digest", "text"), bench, "digest").where(F.size("spans") > 0).select(F.col("id").alias("digest")).distinct()
+    return rows.join(found, "digest", "left_anti").select("row.*")

@@ -16,9 +16,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from skyquarry.llm.common import byte_buffer, map_arrow
 
-#: Labelled rows that train the network at most (a bounded sample by hash), and the bytes of a text up to which it may train.
-TRAIN_ROWS, TRAIN_BYTES = 2400, 40_000
+#: Labelled rows that train the network at most (a bounded sample by hash).
+TRAIN_ROWS = 2400
 EMBED, WIDTH, STRIDE, FILTERS = 6, 12, 4, 24
+#: Bytes of a long text whose responses are held at once (a multiple of a chunk step's bytes), and of one that teaches in a step.
+PART, LESSON = 1 << 18, 40_000
 #: Filter positions of a chunk, and those from one chunk to the next: chunks overlap by half.
 CHUNK, STEP = 64, 32
 EPOCHS, BATCH, RATE = 12, 32, 0.01
@@ -73,8 +75,28 @@ def features(text: np.ndarray, net: dict) -> tuple:
     return w, under, responses, best, starts, np.concatenate([best.mean(0), best.max(0)])
 
 
+def whole_features(text: np.ndarray, net: dict) -> np.ndarray:
+    """What features gives of any text, part by part: a part ends where a chunk begins, and the next repeats that half chunk."""
+    if len(text) <= PART + CHUNK * STRIDE:
+        return features(text, net)[-1]
+    n = -(-len(text) // STRIDE)
+    chunks = -(-max(1, n - (CHUNK - STEP)) // STEP)
+    total, top = np.zeros(FILTERS), np.full(FILTERS, -np.inf, np.float32)
+    each = PART // (STEP * STRIDE)
+    for c in range(0, chunks, each):
+        use = min(each, chunks - c)
+        begin, end = c * STEP * STRIDE, ((c + use - 1) * STEP + CHUNK) * STRIDE
+        w = windows(text[begin : end + WIDTH])[: (use - 1) * STEP + CHUNK]
+        w = w[: min(len(w), n - c * STEP)]
+        best = pooled(net["embed"][w].reshape(len(w), -1) @ net["filters"])[0][:use]
+        best = np.tanh(best + net["bias"])
+        total += best.sum(0, dtype=float)
+        top = np.maximum(top, best.max(0))
+    return np.concatenate([total / chunks, top])
+
+
 def probability(text: np.ndarray, net: dict) -> float:
-    z = float(features(text, net)[-1] @ net["dense"] + net["out"][0])
+    z = float(whole_features(text, net) @ net["dense"] + net["out"][0])
     return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
 
@@ -121,6 +143,9 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
             for j in part:
                 # another offset each time: what the filters learn holds at every position
                 text = arrays[j][rng.integers(0, STRIDE) :]
+                if len(text) > LESSON:  # of a very long text another stretch each time
+                    at = rng.integers(0, len(text) - LESSON)
+                    text = text[at : at + LESSON]
                 gradients(text, y[j], 0.5 / (share if y[j] else 1 - share), net, into)
             step += 1
             for k, g in into.items():
@@ -135,24 +160,30 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
 
 
 def trained(docs: DataFrame, labels: DataFrame, may_learn, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
-    """A network fitted on at most `most` labelled rows for which may_learn holds: those of the least hashes of their ids."""
-    chosen = labels.where(may_learn & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(id_col, F.col(label_col).cast("int").alias("label"))
+    """A network fitted on at most `most` labelled ids for which may_learn holds: those of the least hashes. An id labelled twice has its greater label; of several texts of an id one teaches."""
+    named = F.col(id_col).isNotNull()
+    chosen = labels.where(may_learn & F.col(label_col).isin(0, 1) & named).groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     chosen = chosen.orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(most)
-    texts = docs.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).where(F.octet_length("text") <= TRAIN_BYTES)
-    rows = sorted(texts.join(F.broadcast(chosen), id_col).limit(4 * most).select("text", "label").collect())
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # of a very long text as many stretches travel, spread evenly, as there are lessons from it
+    size = F.length(text)
+    stretches = F.concat(*[F.substring(text, F.floor((size - LESSON) * i / (EPOCHS - 1)).cast("int") + 1, F.lit(LESSON)) for i in range(EPOCHS)])
+    texts = docs.where(named).select(id_col, F.when(size > EPOCHS * LESSON, stretches).otherwise(text).alias("text"))
+    least = texts.join(F.broadcast(chosen), id_col).groupBy(id_col).agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label")).alias("row"))
+    rows = sorted(least.select("row.text", "row.label").collect())
     return fit([r["text"].encode() for r in rows], [r["label"] for r in rows])
 
 
-def scored(docs: DataFrame, net: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with `score`, the probability of label 1, over the whole text; null counts as empty, and an empty text is scored like any other."""
-    fields = [f for f in docs.schema.fields if f.name != "score"]
+def scored(docs: DataFrame, net: dict, id_col: str = "doc_id", text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """docs with score_col, the probability of label 1, over the whole text; null counts as empty, and an empty text is scored like any other. A column of that name is replaced."""
+    fields = [f for f in docs.schema.fields if f.name != score_col]
     at = [f.name for f in fields].index(text_col)
-    types = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in fields])
+    types = pa.schema([*((f.name, to_arrow_type(f.dataType)) for f in fields), (score_col, pa.float64())])
 
     def kernel(it):
         for b in it:
             data, offsets = byte_buffer(b.column(at))
             got = [probability(data[s:e], net) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.float64())], schema=types.append(pa.field("score", pa.float64())) if types.names == b.schema.names else None, names=None if types.names == b.schema.names else [*b.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.float64())], schema=types)
 
-    return map_arrow(docs.select([f.name for f in fields]), kernel, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+    return map_arrow(docs.select([F.col(f"`{f.name}`") for f in fields]), kernel, T.StructType([*fields, T.StructField(score_col, T.DoubleType())]))

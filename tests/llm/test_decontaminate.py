@@ -52,3 +52,18 @@ def test_awkward_documents_and_short_items(spark, odd, none):
     kept = decontaminate.decontaminated(odd, items)
     assert kept.columns == odd.columns
     assert {r["doc_id"] for r in kept.collect()} == {n for n, *_ , in []} | {r[0] for r in rows if r[0] is None or not dict((x[0], x[2]) for x in brute(rows, named))[str(r[0])] and r[1] not in ("one two", "one two three")}
+
+
+def test_a_large_benchmark_is_joined_by_shuffles_with_the_same_rows(spark, docs, small, monkeypatch):
+    bench = spark.read.parquet(f"{small}/benchmark.parquet")
+    want = sorted(map(str, decontaminate.contamination(docs, bench).drop("row_id").collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, decontaminate.contamination(docs, bench).drop("row_id").collect())) == want
+
+
+def test_rows_are_judged_by_their_texts_and_not_by_their_ids(spark, small):
+    item = spark.read.parquet(f"{small}/benchmark.parquet").where("size(split(text, ' ')) > 12").first()["text"]
+    rows = [(1, item), (1, "nothing of the kind"), (None, item), (None, None), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = decontaminate.decontaminated(df, spark.read.parquet(f"{small}/benchmark.parquet"))
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)

@@ -58,3 +58,21 @@ def test_awkward_documents(spark, odd, none):
     assert all(0 <= r["score"] <= 1 for r in out.collect())
     assert quality.scored(none, net).count() == 0
     assert quality.scored(odd, quality.trained(odd, labels.limit(0), F.lit(True))).count() == odd.count()
+
+
+def test_long_texts_are_scored_in_parts_like_whole_ones(monkeypatch):
+    rng = np.random.default_rng(4)
+    net = quality.initial()
+    for size in (1 << 14, (1 << 14) + 1, 70_001, 200_003):
+        text = rng.integers(0, 256, size).astype(np.uint8)
+        want = quality.features(text, net)[-1]
+        monkeypatch.setattr(quality, "PART", 1 << 12)
+        assert np.allclose(quality.whole_features(text, net), want, atol=1e-6)
+
+
+def test_a_column_that_is_called_score_is_kept_under_another_name(spark):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(1, "plain text", 7.0)], "doc_id long, text string, score double")
+    assert quality.scored(df, quality.initial(), score_col="mine").columns == ["doc_id", "text", "score", "mine"]
+    assert corpus_pipeline.unused("score", df) == "_score"
