@@ -1,38 +1,55 @@
 """Removal of byte strings that repeat anywhere in a corpus, by a hash-compared sort of suffixes.
 
-Not every suffix travels. Of each window of `length` bytes, the least hash of its k-grams is its anchor, so that equal
-windows have equal anchors wherever they stand. A stretch of windows with one anchor is a region; only regions whose
-anchor occurs twice are gathered by anchor. There the suffixes at the anchors are mergesorted: prefix polynomial hashes
-and a binary search give the common extension of two suffixes, and so their order. What neighbours share to both sides
-of the anchor, checked byte by byte, repeats. A window can also repeat in a region that is no neighbour; anchors with
-windows still open are gone through whole, by a sort of the hashes of their windows, verified the same way.
+Not every suffix travels. Of each window of `length` bytes, the least hash of its k-grams, the leftmost of equal ones, is
+its anchor, so that equal windows have equal anchors at equal distances, wherever they stand. A stretch of windows with
+one anchor is a region; only regions whose anchor's hash occurs twice are gathered by it, copies of a region as one.
+There the suffixes at every window of every region are mergesorted, those at one distance from the anchor among each
+other: prefix polynomial hashes and a binary search give the common extension of two suffixes, and so their order.
+Windows repeat where sorted neighbours have `length` bytes in common. The order of all neighbours is verified byte by
+byte; if hashes collided, the suffixes of the batch are sorted by their bytes.
+
+An anchor with very many regions is cut into shards by the regions' bytes. Each shard hands on one entry for every
+distinct window, and entries of different shards meet by a digest of the window.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from skyquarry.llm.common import batches, byte_buffer, map_arrow, mixed, prefix_hashes, saved, slabs
+from skyquarry.llm.common import batches, byte_buffer, map_arrow, mixed, prefix_hashes, slabs
 
 LENGTH, GRAM = 200, 32
-#: Low bits of an anchor's hash that tell positions apart within a window; text treated at once; region bytes sorted at once.
-PLACE_BITS, SLAB, GATHER = 20, 1 << 19, 4 << 20
+#: Low bits of an anchor's hash that tell positions apart within a window; windows treated at once; region bytes sorted at once.
+PLACE_BITS, SLAB, GATHER = 20, 1 << 19, 1 << 20
+#: Regions of an anchor meant for a shard, and shards of an anchor at most (each then takes more).
+SHARD, MOST_SHARDS = 2000, 1 << 16
+
+
+def parts(offsets: np.ndarray, length: int = LENGTH):
+    """(first text, end text, first byte, end byte, offset in the text) of what is treated at once: some texts, or the windows of a part of a long one."""
+    for i, j in slabs(offsets, SLAB):
+        size = int(offsets[j] - offsets[i])
+        if size <= SLAB + length:
+            yield i, j, int(offsets[i]), int(offsets[j]), 0
+        else:
+            for a in range(0, size - length + 1, SLAB):
+                yield i, j, int(offsets[i]) + a, int(offsets[i]) + min(size, a + SLAB + length - 1), a
 
 
 def regions(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(key, document, first window, last window, weight, anchor) of every region of texts that lie one after another.
+    """(key, document, first window, last window, anchor) of every region of texts that lie one after another, of at most 2^PLACE_BITS bytes.
 
-    Positions count from the start of data; the anchor's is that of the first window's. The weight is 2 where the
-    anchor occurs more than once in the region.
+    Positions count from the start of data.
     """
-    none = (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 5
+    none = (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 4
     n = len(data)
     if n < length:
         return none
@@ -52,17 +69,12 @@ def regions(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     if not len(at):
         return none
     v = v[at]
-    key = v >> np.uint64(PLACE_BITS)
-    doc = np.searchsorted(offsets, at, "right") - 1
     new = np.ones(len(at), bool)
-    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+    new[1:] = v[1:] != v[:-1]
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at)) - 1
-    moved = np.zeros(len(at), np.int64)
-    moved[1:] = v[1:] != v[:-1]
-    moved = np.cumsum(moved)
-    anchor = at[first] + (((v[first] & low).astype(np.int64) - at[first]) & int(low))
-    return mixed(key[first]), doc[first], at[first], at[last], 1 + (moved[last] > moved[first]), anchor
+    doc = np.searchsorted(offsets, at[first], "right") - 1
+    return mixed(v[first] >> np.uint64(PLACE_BITS)), doc, at[first], at[last], (v[first] & low).astype(np.int64)
 
 
 def common_extension(h: np.ndarray, down: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -75,16 +87,6 @@ def common_extension(h: np.ndarray, down: np.ndarray, a: np.ndarray, b: np.ndarr
     return low
 
 
-def common_extension_left(h: np.ndarray, down: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """How many bytes before a and b agree, at most `most`."""
-    low, high = np.zeros(len(a), np.int64), most.astype(np.int64).copy()
-    for _ in range(int(high.max(initial=0)).bit_length()):
-        mid = (low + high + 1) >> 1
-        same = (h[a] - h[a - mid]) * down[a - mid] == (h[b] - h[b - mid]) * down[b - mid]
-        low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-    return low
-
-
 def suffix_order(data: np.ndarray, h: np.ndarray, down: np.ndarray, starts: np.ndarray, ends: np.ndarray, group: np.ndarray) -> np.ndarray:
     """A stable mergesort of data[start:end] within each group, all groups at once.
 
@@ -127,181 +129,187 @@ def suffix_order(data: np.ndarray, h: np.ndarray, down: np.ndarray, starts: np.n
     return order
 
 
-def extended(texts: list[bytes], anchors: list[int], groups: list, length: int = LENGTH) -> list[np.ndarray]:
-    """For each text, which window starts repeat in a neighbour, after the suffixes at the anchors of a group are sorted.
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one number, the first one lowest; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    out = np.zeros(len(data) + 1, np.uint64)
+    for j in range(8):
+        out |= padded[j : j + len(data) + 1] << np.uint64(8 * j)
+    return out
+
+
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
+
+def agree(words: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray, length: int) -> np.ndarray:
+    """Whether the first `most` bytes at a and b are the same, byte by byte."""
+    out = np.ones(len(a), bool)
+    last = len(words) - 1
+    for i in range(0, length, 8):
+        mask = _MASKS[np.clip(most - i, 0, 8)]
+        out &= ((words[np.minimum(a + i, last)] ^ words[np.minimum(b + i, last)]) & mask) == 0
+    return out
+
+
+def classes(texts: list[bytes], anchors: np.ndarray, groups: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, class) of every window: windows of a group at one distance from their anchors have one class if their bytes are the same.
 
-    Neighbours agree from the left extension to the right one; what is at least a window long repeats in both. Each
-    such stretch is compared byte by byte.
+    The suffixes are sorted, and what sorted neighbours have in common decides.
     """
     data = np.frombuffer(b"".join(texts), np.uint8)
-    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    counts = np.maximum(0, sizes - length + 1)
+    text = np.repeat(np.arange(len(texts)), counts)
+    start = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = start + (np.cumsum(sizes) - sizes)[text]
+    place = np.unique(groups[text] * (2 * length) + anchors[text] - start, return_inverse=True)[1]
     h, down = prefix_hashes(data)
-    starts, ends = bounds[:-1] + np.array(anchors, np.int64), bounds[1:]
-    number = np.unique(np.array(groups), return_inverse=True)[1]
-    order = suffix_order(data, h, down, starts, ends, number)
+    order = suffix_order(data, h, down, at, at + length, place)
     x, y = order[:-1], order[1:]
-    pair = number[x] == number[y]
-    x, y = x[pair], y[pair]
-    right = common_extension(h, down, starts[x], starts[y], np.minimum(ends[x] - starts[x], ends[y] - starts[y]))
-    left = common_extension_left(h, down, starts[x], starts[y], np.minimum(starts[x] - bounds[x], starts[y] - bounds[y]))
-    hit = [np.zeros(max(0, len(t) - length + 1), bool) for t in texts]
-    for p, q, l, r in zip(x.tolist(), y.tolist(), left.tolist(), right.tolist(), strict=True):
-        if l + r >= length:
-            a, b = anchors[p] - l, anchors[q] - l
-            if texts[p][a : a + l + r] == texts[q][b : b + l + r]:
-                hit[p][a : a + l + r - length + 1] = True
-                hit[q][b : b + l + r - length + 1] = True
-    return hit
-
-
-def repeated(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each text, which of its window starts begin a string of `length` bytes that begins elsewhere in texts too."""
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    h, down = prefix_hashes(data)
-    counts = np.maximum(0, np.diff(offsets) - length + 1)
-    starts = np.repeat(offsets[:-1] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-    prefix = (h[starts + length] - h[starts]) * down[starts]
-    order = np.argsort(prefix, kind="stable")
-    same = np.flatnonzero(prefix[order[1:]] == prefix[order[:-1]])
-    hit = np.zeros(len(starts), bool)
-    words = np.lib.stride_tricks.as_strided(np.frombuffer(data.tobytes() + b"\0" * 8, np.uint8)[: len(data)], (max(0, len(data) - 7), 8), (1, 1))
-    for i in range(0, len(same), 1 << 16):
-        pair = same[i : i + (1 << 16)]
-        a, b = starts[order[pair]], starts[order[pair + 1]]
-        equal = np.ones(len(pair), bool)
-        for at in [*range(0, length - 7, 8), length - 8]:
-            equal &= _word(words, a + at) == _word(words, b + at)
-        hit[order[pair[equal]]] = True
-        hit[order[pair[equal] + 1]] = True
-        for p in pair[~equal]:  # a collision: whatever shares this hash is compared one by one
-            lo, hi = p, p + 1
-            while lo > 0 and prefix[order[lo - 1]] == prefix[order[p]]:
-                lo -= 1
-            while hi + 1 < len(order) and prefix[order[hi + 1]] == prefix[order[p]]:
-                hi += 1
-            seen: dict = {}
-            for q in order[lo : hi + 1]:
-                seen.setdefault(data[starts[q] : starts[q] + length].tobytes(), []).append(q)
-            for group in seen.values():
-                hit[group] = len(group) > 1
-    return np.split(hit, np.cumsum(counts)[:-1])
-
-
-def _word(words: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(words[at]).view(np.uint64).ravel()
+    pair = place[x] == place[y]
+    most = np.full(len(x), length)
+    shared = np.where(pair, common_extension(h, down, at[x], at[y], np.where(pair, most, 0)), 0)
+    words = words_at(data)
+    # neighbours agree as far as their hashes say, and the byte after that rises: then the order is that of the bytes
+    sure = agree(words, at[x], at[y], shared, length)
+    rises = (shared == length) | (data[np.minimum(at[x] + shared, len(data) - 1)] < data[np.minimum(at[y] + shared, len(data) - 1)])
+    same = pair & (shared == length)
+    if not (sure & (rises | ~pair)).all():
+        raw = data.tobytes()
+        order = np.array(sorted(range(len(at)), key=lambda i: (place[i], raw[at[i] : at[i] + length])), np.int64)
+        x, y = order[:-1], order[1:]
+        same = (place[x] == place[y]) & agree(words, at[x], at[y], most, length)
+    name = np.empty(len(at), np.int64)
+    name[order] = np.cumsum(np.concatenate([[0], ~same])) if len(at) else 0
+    return text, start, name
 
 
 def _anchor_kernel(it):
-    out = pa.schema([("key", pa.int64()), ("row_id", pa.int64()), ("n", pa.int32())])
+    out = pa.schema([("key", pa.int64()), ("row_id", pa.int64()), ("n", pa.int64())])
     for b in it:
         ids = b.column(0).to_numpy(zero_copy_only=False)
         data, offsets = byte_buffer(b.column(2))
-        for i, j in slabs(offsets, SLAB):
-            key, doc, _, _, weight, _ = regions(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        for i, j, first, end, _ in parts(offsets):
+            key, doc, *_ = regions(data[first:end], np.clip(offsets[i : j + 1], first, end) - first)
             # one row for each anchor of a text
             order = np.lexsort((key, doc))
-            key, doc, weight = key[order], doc[order], weight[order]
+            key, doc = key[order], doc[order]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-            total = np.add.reduceat(weight, np.flatnonzero(new)) if len(key) else weight
-            yield from batches(out, 50_000, {"key": key[new].view(np.int64), "row_id": ids[i:j][doc[new]], "n": np.minimum(total, 2).astype(np.int32)})
+            total = np.diff(np.append(np.flatnonzero(new), len(key)))
+            yield from batches(out, 50_000, {"key": key[new].view(np.int64), "row_id": ids[i:j][doc[new]], "n": total})
 
 
 def _region_kernel(it):
-    out = pa.schema([("key", pa.int64()), ("region", pa.binary()), ("anchor", pa.int64()), ("rows", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64()))])
+    out = pa.schema([("key", pa.int64()), ("shard", pa.int32()), ("cut", pa.bool_()), ("region", pa.binary()), ("anchor", pa.int64()), ("rows", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64()))])
     for b in it:
         ids = b.column(0).to_pylist()
-        wanted, bounds = b.column(3).flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *(len(x) for x in b.column(3))])
+        keys = b.column(3)
+        bounds = np.cumsum([0, *(len(x) for x in keys)])
+        wanted = keys.flatten()
+        wanted, shards = wanted.field("key").to_numpy(zero_copy_only=False), wanted.field("shards").to_numpy(zero_copy_only=False)
         data, offsets = byte_buffer(b.column(2))
-        for i, j in slabs(offsets, SLAB):
-            part = data[offsets[i] : offsets[j]]
-            key, doc, first, last, _, anchor = regions(part, offsets[i : j + 1] - offsets[i])
-            key = key.view(np.int64)
+        for i, j, begin, end, within in parts(offsets):
+            part = data[begin:end]
+            base = np.clip(offsets[i : j + 1], begin, end) - begin
+            key, doc, first, last, anchor = regions(part, base)
             # a text's wanted anchors, told apart from those of others by its number
-            have = np.rec.fromarrays([doc, key])
-            want = np.rec.fromarrays([np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1])), wanted[bounds[i] : bounds[j]]])
-            keep = np.flatnonzero(_within(have, want))
+            of = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
+            keep, place = _within(doc, key.view(np.int64), of, wanted[bounds[i] : bounds[j]])
+            split = shards[bounds[i] : bounds[j]][place]
             found: dict = {}
             raw = part.tobytes()
-            base = offsets[i:j] - offsets[i]
-            for k, d, f, z, m in zip(key[keep].tolist(), doc[keep].tolist(), first[keep].tolist(), last[keep].tolist(), anchor[keep].tolist(), strict=True):
-                at = found.setdefault((k, raw[f : z + LENGTH], m - f), ([], []))
+            for k, n, d, f, z, m in zip(key.view(np.int64)[keep].tolist(), split.tolist(), doc[keep].tolist(), first[keep].tolist(), last[keep].tolist(), anchor[keep].tolist(), strict=True):
+                at = found.setdefault((k, n, raw[f : z + LENGTH], m - f), ([], []))
                 at[0].append(ids[i + d])
-                at[1].append(f - int(base[d]))
-            yield from batches(out, 2000, {"key": pa.array([k for k, _, _ in found], pa.int64()), "region": pa.array([r for _, r, _ in found], pa.binary()), "anchor": pa.array([m for _, _, m in found], pa.int64()), "rows": pa.array([x for x, _ in found.values()], pa.list_(pa.int64())), "starts": pa.array([x for _, x in found.values()], pa.list_(pa.int64()))})
+                at[1].append(f - int(base[d]) + within)
+            columns = list(zip(*((k, zlib.crc32(r) % n, n > 1, r, m, rows, starts) for (k, n, r, m), (rows, starts) in found.items()), strict=True)) or [()] * 7
+            yield from batches(out, 2000, {f.name: pa.array(list(c), f.type) for f, c in zip(out, columns, strict=True)})
+
+
+def _within(doc: np.ndarray, key: np.ndarray, of: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the (document, key) pairs that are wanted, and where each stands among those (distinct pairs of, want)."""
+    order = np.lexsort((want, of))
+    names, number = np.unique(np.concatenate([want, key]), return_inverse=True)
+    have, asked = doc * len(names) + number[len(want) :], of[order] * len(names) + number[: len(want)][order]
+    at = np.searchsorted(asked, have)
+    keep = np.flatnonzero(asked[np.minimum(at, len(asked) - 1)] == have) if len(asked) else np.zeros(0, np.int64)
+    return keep, order[at[keep]]
 
 
-def _within(have: np.ndarray, want: np.ndarray) -> np.ndarray:
-    """Which (document, key) pairs of have are in want."""
-    both = np.concatenate([have, want])
-    order = np.lexsort((both["f1"], both["f0"]))
-    a, k = both["f0"][order], both["f1"][order]
-    new = np.ones(len(order), bool)
-    new[1:] = (a[1:] != a[:-1]) | (k[1:] != k[:-1])
-    group = np.empty(len(order), np.int64)
-    group[order] = np.cumsum(new) - 1
-    hit = np.zeros(int(new.sum()), bool)
-    hit[group[len(have) :]] = True
-    return hit[group[: len(have)]]
+def _solved(held: list):
+    """(row, start, end, digest) columns for gathered regions (group, cut, region, anchor, rows, starts), a group's together.
+
+    A span has no digest. Of an anchor that is cut into shards every distinct window has an entry with its digest: a
+    window seen once with its row and start, one that repeats within the shard without.
+    """
+    groups = np.array([g for g, *_ in held], np.int64)
+    times = np.array([len(rows) for *_, rows, _ in held], np.int64)
+    several = np.bincount(groups)[groups] > 1
+    cut = np.array([c for _, c, *_ in held], bool)
+    sort = np.flatnonzero(several | cut)
+    texts = [held[i][2] for i in sort.tolist()]
+    text, start, name = classes(texts, np.array([held[i][3] for i in sort.tolist()], np.int64), groups[sort]) if len(sort) else (np.zeros(0, np.int64),) * 3
+    hit = np.bincount(name, times[sort][text])[name] > 1 if len(name) else np.zeros(0, bool)
+    # maximal stretches of hits within a text
+    begins = hit & np.concatenate([[True], ~hit[:-1] | (text[1:] != text[:-1])])[: len(hit)]
+    ends = hit & np.concatenate([~hit[1:] | (text[1:] != text[:-1]), [True]])[: len(hit)]
+    found = list(zip(sort[text[begins]].tolist(), start[begins].tolist(), (start[ends] + LENGTH).tolist(), strict=True))
+    # a lone region repeats as a whole if it occurs twice
+    found += [(i, 0, len(held[i][2])) for i in np.flatnonzero(~(several | cut) & (times > 1)).tolist()]
+    out = [(row, at + a, at + z, None) for i, a, z in found for row, at in zip(held[i][4], held[i][5], strict=True)]
+    open_ = np.flatnonzero(cut[sort][text])
+    if len(open_):
+        once = open_[np.unique(name[open_], return_index=True)[1]]
+        for t, s, h in zip(text[once].tolist(), start[once].tolist(), hit[once].tolist(), strict=True):
+            _, _, region, _, rows, starts = held[sort[t]]
+            digest = hashlib.blake2b(region[s : s + LENGTH], digest_size=16).digest()
+            out.append((None, None, None, digest) if h else (rows[0], starts[0] + s, starts[0] + s + LENGTH, digest))
+    return list(zip(*out, strict=True)) or [()] * 4
 
 
 def _sort_kernel(it):
-    """Rows in the order of key: a group of keys at a time, cut between keys."""
-    out = pa.schema([("row_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+    """Rows in the order of key and shard: some groups at a time, cut between them."""
+    out = pa.schema([("row_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("digest", pa.binary())])
 
     def solve(held: dict):
-        rows, starts, ends = [], [], []
-        texts = [(k, r) for k, regions_of in held.items() for r in regions_of]
-        # all windows of a region that occurs twice repeat; where an anchor has several regions, their suffixes are sorted
-        several = [(k, r) for k, r in texts if len(held[k]) > 1]
-        hits = dict(zip(several, extended([r for _, r in several], [held[k][r][2] for k, r in several], [k for k, _ in several]), strict=True)) if several else {}
-        # a window may repeat in a region that is no neighbour, or in its own: anchors that are not settled are gone through whole
-        unsettled = {k for k, r in texts if len(held[k][r][0]) < 2 and not ((k, r) in hits and hits[k, r].all())}
-        rest = [(k, r) for k, r in texts if k in unsettled]
-        for name, hit in zip(rest, repeated([r for _, r in rest]) if rest else (), strict=True):
-            hits[name] = hits[name] | hit if name in hits else hit
-        for k, r in texts:
-            of, at, _ = held[k][r]
-            if len(of) > 1:
-                spans = [(0, len(r))]
-            else:
-                hit = hits[k, r]
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-                spans = [(int(a), int(z) - 1 + LENGTH) for a, z in edge.reshape(-1, 2)]
-            for row, start in zip(of, at, strict=True):
-                for a, z in spans:
-                    rows.append(row)
-                    starts.append(start + a)
-                    ends.append(start + z)
-        yield from batches(out, 50_000, {"row_id": np.array(rows, np.int64), "start": np.array(starts, np.int64), "end": np.array(ends, np.int64)})
+        flat = [(g, cut, r, m, rows, starts) for g, regions_of in enumerate(held.values()) for (r, m), (cut, rows, starts) in regions_of.items()]
+        columns = _solved(flat) if flat else [()] * 4
+        yield from batches(out, 50_000, {f.name: pa.array(list(c), f.type) for f, c in zip(out, columns, strict=True)})
 
     held: dict = {}
     size, now = 0, None
     for b in it:
-        for k, r, m, of, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if k != now and size > GATHER:
+        for k, shard, cut, r, m, of, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if (k, shard) != now and size > GATHER:
                 yield from solve(held)
                 held, size = {}, 0
-            now = k
-            mine = held.setdefault(k, {})
-            if r in mine:
-                mine[r][0].extend(of)
-                mine[r][1].extend(at)
+            now = k, shard
+            mine = held.setdefault(now, {})
+            if (r, m) in mine:
+                mine[r, m][1].extend(of)
+                mine[r, m][2].extend(at)
             else:
-                mine[r] = (of, at, m)
+                mine[r, m] = (cut, of, at)
                 size += len(r)
     yield from solve(held)
 
 
 def spans_of(rows: DataFrame) -> DataFrame:
-    """(row_id, spans): the intervals of bytes to remove. rows: row_id, id, text; a text without a repeat has no row."""
-    anchors = saved(map_arrow(rows, _anchor_kernel, "key long, row_id long, n int"), "anchors")
-    twice = anchors.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
-    wanted = anchors.select("key", "row_id").join(twice, "key", "left_semi").groupBy("row_id").agg(F.collect_list("key").alias("keys"))
-    found = map_arrow(rows.join(wanted, "row_id").select("row_id", "id", "text", "keys"), _region_kernel, "key long, region binary, anchor long, rows array<long>, starts array<long>")
-    cut = map_arrow(found.repartition("key").sortWithinPartitions("key"), _sort_kernel, "row_id long, start long, end long")
-    return cut.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    """(row_id, spans): the intervals of bytes to remove. rows: row_id, kept (anything), text; a text without a repeat has no row.
+
+    rows is partitioned by row_id, and nothing but it is asked for, so that one shuffle of the texts serves all uses.
+    """
+    rows = rows.select("row_id", "kept", "text")
+    anchors = map_arrow(rows, _anchor_kernel, "key long, row_id long, n long")
+    twice = anchors.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key", F.least(F.ceil(F.col("n") / SHARD), F.lit(MOST_SHARDS)).cast("int").alias("shards"))
+    wanted = anchors.select("key", "row_id").join(twice, "key").groupBy("row_id").agg(F.collect_set(F.struct("key", "shards")).alias("keys"))
+    gathered = map_arrow(rows.join(wanted, "row_id").select("row_id", "kept", "text", "keys"), _region_kernel, "key long, shard int, cut boolean, region binary, anchor long, rows array<long>, starts array<long>")
+    found = map_arrow(gathered.repartition("key", "shard").sortWithinPartitions("key", "shard"), _sort_kernel, "row_id long, start long, end long, digest binary")
+    # windows of a cut anchor that other shards have too; a span is alone with itself
+    meet = F.coalesce(F.hex("digest"), F.concat_ws(":", "row_id", "start"))
+    met = found.withColumn("n", F.count("*").over(Window.partitionBy(meet))).where("row_id is not null and (digest is null or n > 1)")
+    return met.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -314,6 +322,16 @@ def merged(spans) -> list[tuple[int, int]]:
     return out
 
 
+def _with_spans(docs: DataFrame, others: list[str], text_col: str) -> DataFrame:
+    """(row_id, kept, text, spans) of every row; kept is a struct of the other columns.
+
+    Rows are numbered once, before the only shuffle of the texts, which all later steps of the query read.
+    """
+    kept = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others])
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), kept.alias("kept"), F.col(f"`{text_col}`").cast("string").alias("text")).repartition("row_id")
+    return rows.join(spans_of(rows), "row_id", "left").select("row_id", "kept", "text", "spans")
+
+
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256 [, kept]) of every row: each byte that a repeated string covers goes.
 
@@ -321,8 +339,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept is the remaining bytes; what a cut leaves of a character is in it.
     """
     kind = docs.schema[id_col].dataType
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    spans = saved(spans_of(rows), "spans")
     fields = [("id", to_arrow_type(kind)), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] + [("kept", pa.binary())] * keep_text
 
     def kernel(it):
@@ -339,34 +355,29 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 kept = b"".join([*kept, text[at:]])
                 for col, x in zip(cols, (len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept), strict=True):
                     col.append(x)
-            yield pa.RecordBatch.from_arrays([b.column(1), *(pa.array(c, t) for c, (_, t) in zip(cols, fields[1:], strict=False))], schema=pa.schema(fields))
+            yield pa.RecordBatch.from_arrays([b.column(1).field(1).cast(fields[0][1]), *(pa.array(c, t) for c, (_, t) in zip(cols, fields[1:], strict=False))], schema=pa.schema(fields))
 
     schema = T.StructType([T.StructField("id", kind), *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_sha256", T.StringType())] + [T.StructField("kept", T.BinaryType())] * keep_text)
-    return map_arrow(rows.join(spans, "row_id", "left").select("row_id", "id", "text", "spans"), kernel, schema)
+    return map_arrow(_with_spans(docs, [id_col], text_col), kernel, schema)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with repeated strings cut out of the texts; a character that a cut divides goes. Null texts stay null."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.lit(None).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-    spans = saved(spans_of(rows), "spans")
-    columns = docs.columns
-    at = columns.index(text_col)
-    types = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in docs.schema.fields])
+    """docs with repeated strings cut out of the texts; a character that a cut divides goes. Null texts stay null. Other columns, whatever their names, stay as they are."""
+    others = [c for c in docs.columns if c != text_col]
 
     def kernel(it):
         for b in it:
-            data, offsets = byte_buffer(b.column(at))
-            raw, null, kept = memoryview(data), b.column(at).is_null().to_pylist(), []
-            for i, found in enumerate(b.column(len(columns)).to_pylist()):
-                text, last, parts = raw[offsets[i] : offsets[i + 1]], 0, []
+            data, offsets = byte_buffer(b.column(2))
+            raw, null, left = memoryview(data), b.column(2).is_null().to_pylist(), []
+            for i, found in enumerate(b.column(3).to_pylist()):
+                text, last, pieces = raw[offsets[i] : offsets[i + 1]], 0, []
                 for a, z in merged((s["start"], s["end"]) for s in found or ()):
-                    parts.append(bytes(text[last:a]).decode("utf-8", "ignore"))
+                    pieces.append(bytes(text[last:a]).decode("utf-8", "ignore"))
                     last = z
-                parts.append(bytes(text[last:]).decode("utf-8", "ignore"))
-                kept.append(None if null[i] else "".join(parts))
-            arrays = [b.column(k) if k != at else pa.array(kept, pa.string()) for k in range(len(columns))]
-            yield pa.RecordBatch.from_arrays(arrays, schema=types)
-
-    held = docs.select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias("__row_id"))
-    joined = held.join(spans.withColumnRenamed("row_id", "__row_id"), "__row_id", "left").select(*[F.col(f"`{c}`") for c in columns], spans["spans"])
-    return map_arrow(joined, kernel, docs.schema)
+                pieces.append(bytes(text[last:]).decode("utf-8", "ignore"))
+                left.append(None if null[i] else "".join(pieces))
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(left, pa.string())], names=["kept", "text"])
+
+    cut = _with_spans(docs, others, text_col)
+    done = map_arrow(cut, kernel, T.StructType([cut.schema["kept"], T.StructField("text", T.StringType())]))
+    return done.select(*[F.col("text").alias(c) if c == text_col else F.col("kept").getField(c).alias(c) for c in docs.columns])
