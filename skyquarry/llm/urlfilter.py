@@ -3,22 +3,24 @@
 A cascade is exact over a known universe of keys: level 1 holds the listed keys, level 2 those unlisted keys of the
 universe that level 1 lets through, level 3 the listed keys that level 2 lets through, and so on until a level lets
 no wrong key through. A key is listed if the first level that refuses it is an even one. The universe is every key
-that the corpus can ask for, so that no answer needs a join.
+that the corpus can ask for, so that no answer needs a join. Level 1 is sized by the universe, to let through fewer
+unlisted keys than there are listed ones, and later ones halve; so all levels together take a few bits for each listed
+key and each doubling of the universe, and travel with the plan, as the rules do.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyquarry.llm.common import saved
 
-#: Bits and hash functions per key of a level, and the bits beyond which a level is refused: filters travel as literals.
-BITS_PER_KEY, HASHES, MOST_BITS = 12, 4, 1 << 22
-#: Bits of level 1 at least: with few rules it lets next to no key through, so that later levels stay small whatever the universe's size.
-FIRST_BITS = 1 << 12
+#: Hash functions of a level, and bits of level 1 at least: with few rules it lets next to no key through.
+HASHES, FIRST_BITS = 4, 1 << 12
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,15 +48,19 @@ def _places(key: Column, level: int, bits: int) -> list[Column]:
 
 def _held(key: Column, level: int, words: list[int]) -> Column:
     """Whether a level's filter lets key through."""
-    bits = F.array(*[F.lit(w).cast("long") for w in words])
+    bits = F.lit(np.array(words, np.int64))  # one literal, however long
     test = [F.getbit(F.element_at(bits, (F.shiftright(p, 6) + 1).cast("int")), F.pmod(p, F.lit(64)).cast("int")) == 1 for p in _places(key, level, 64 * len(words))]
     return reduce(lambda a, b: a & b, test)
 
 
-def _filter_bits(keys: DataFrame, level: int, n: int) -> list[int]:
-    words = max(1 if level else FIRST_BITS // 64, -(-n * BITS_PER_KEY // 64))
-    if 64 * words > MOST_BITS:
-        raise ValueError(f"{n} keys need more than {MOST_BITS} bits in level {level + 1}")
+def _words(n: int, others: int, level: int) -> int:
+    """64-bit words of a level of n keys that meets others: at most n / 1.4 of these and at most half pass."""
+    share = min(0.5, n / (1.4 * max(1, others))) ** (1 / HASHES)
+    bits = -HASHES * n / math.log1p(-share)
+    return max(1 if level else FIRST_BITS // 64, math.ceil(bits / 64))
+
+
+def _filter_bits(keys: DataFrame, level: int, words: int) -> list[int]:
     at = keys.select(F.explode(F.array(*_places(F.col("key"), level, 64 * words))).alias("p"))
     got = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(p, 64) as int))")).alias("bits"))
     out = [0] * words
@@ -63,18 +69,19 @@ def _filter_bits(keys: DataFrame, level: int, n: int) -> list[int]:
     return out
 
 
-def cascade(universe: DataFrame, listed: DataFrame, most_levels: int = 30) -> list[list[int]]:
+def cascade(universe: DataFrame, listed: DataFrame, most_levels: int = 90) -> list[list[int]]:
     """The levels (as 64-bit words) that tell listed keys from all others of universe. Both: distinct non-null `key`."""
     wanted, other = listed, universe.join(listed, "key", "left_anti")
     levels: list[list[int]] = []
+    counts = wanted.count(), other.count()
     while len(levels) < most_levels:
-        n = wanted.count()
-        if n == 0:
+        if counts[0] == 0:
             return levels
-        words = _filter_bits(wanted, len(levels), n)
+        words = _filter_bits(wanted, len(levels), _words(*counts, len(levels)))
         passed = other.where(_held(F.col("key"), len(levels), words))
         levels.append(words)
         wanted, other = saved(passed, "cascade"), wanted
+        counts = wanted.count(), counts[0]
     raise RuntimeError("the cascade did not end")
 
 

@@ -60,3 +60,19 @@ def test_later_levels_do_not_grow_with_the_universe(spark):
     assert sum(map(len, levels[1:])) <= 2
     told = universe.select("key", urlfilter.member(F.col("key"), levels).alias("in")).where("in")
     assert sorted(r[0] for r in told.collect()) == [f"host{i}/" for i in range(5)]
+
+
+def test_a_universe_of_tens_of_millions_of_keys_needs_no_larger_later_levels(spark):
+    listed = spark.range(40).selectExpr("concat('host', id, '/') as key")
+    universe = spark.range(20_000_000).selectExpr("concat('u', id, '.example/') as key").union(listed)
+    levels = urlfilter.cascade(universe, listed)
+    assert sum(map(len, levels)) < 200 and sum(map(len, levels[1:])) <= 8
+    told = universe.select(urlfilter.member(F.col("key"), levels).alias("in")).where("in")
+    assert told.count() == 40
+
+
+def test_many_rules_are_not_refused(spark):
+    universe = spark.range(900_000).select(F.concat(F.lit("k"), F.col("id")).alias("key"))
+    listed = universe.where("substring(key, 2) % 2 = 0")
+    levels = urlfilter.cascade(universe, listed)
+    assert universe.where(urlfilter.member(F.col("key"), levels) != (F.substring("key", 2, 20).cast("long") % 2 == 0)).count() == 0
