@@ -21,6 +21,8 @@ SHINGLE = 5
 ORDER_TEXTS, ORDER_LEAST, ORDER_MOST = 20_000, 8, 1 << 16
 #: Bits of the filter that spares texts whose sets nobody asks for; what passes it is joined exactly.
 FILTER_BITS = 20
+#: Bins whose counts tell that two sets cannot be similar; bytes of a hash that are compared.
+BINS, ELEMENT = 256, 5
 #: Sets that a task remembers so as to hand on a repeated one only once.
 REMEMBERED = 1 << 18
 
@@ -60,29 +62,50 @@ def _texts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.pmod(text_hash(text_col), F.lit(1 << FILTER_BITS)).cast("int").alias("slot"))
 
 
-def _sets(docs: DataFrame, text_col: str, shingle: int, wanted: np.ndarray | None = None) -> DataFrame:
-    """(point, grams) of every row whose slot is wanted; of a set that a task meets again soon only the first."""
+def _sets(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """grams of every row."""
 
     def kernel(it):
-        out = pa.schema([("point", pa.int64()), ("grams", pa.list_(pa.int64()))])
+        for batch in it:
+            found = [shingles(t, shingle) for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            ends = np.cumsum([0, *map(len, found)])
+            flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["grams"])
+
+    return map_arrow(_texts(docs, text_col), kernel, "grams array<long>")
+
+
+def packed(grams: np.ndarray) -> bytes:
+    """The first ELEMENT bytes of each hash."""
+    return grams.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :ELEMENT].tobytes()
+
+
+def elements(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // ELEMENT, 8), np.uint8)
+    out[:, 8 - ELEMENT :] = np.frombuffer(data, np.uint8).reshape(-1, ELEMENT)
+    return out.view(">u8").ravel()
+
+
+def _packed(docs: DataFrame, text_col: str, shingle: int, wanted: np.ndarray) -> DataFrame:
+    """(point, n, grams) of every row whose slot is wanted; of a set that a task meets again soon only the first."""
+
+    def kernel(it):
+        out = pa.schema([("point", pa.int64()), ("n", pa.int64()), ("grams", pa.binary())])
         seen: set = set()
         for batch in it:
-            slots = batch.column(1).to_numpy(zero_copy_only=False)
-            names, found = [], []
-            for i in range(len(batch)) if wanted is None else np.flatnonzero(wanted[slots]).tolist():
+            rows = []
+            for i in np.flatnonzero(wanted[batch.column(1).to_numpy(zero_copy_only=False)]).tolist():
                 grams = shingles(batch.column(0)[i].cast(pa.binary()).as_py(), shingle)
                 name = point(grams)
                 if name not in seen:
                     seen.add(name)
-                    names.append(name)
-                    found.append(grams)
+                    rows.append((name, len(grams), packed(grams)))
             if len(seen) > REMEMBERED:
                 seen = set()
-            ends = np.cumsum([0, *map(len, found)])
-            flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            yield from batches(out, 1000, {"point": np.array(names, np.int64), "grams": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))})
+            columns = list(zip(*rows, strict=True)) or [()] * 3
+            yield from batches(out, 1000, {f.name: pa.array(list(c), f.type) for f, c in zip(out, columns, strict=True)})
 
-    return map_arrow(_texts(docs, text_col), kernel, "point long, grams array<long>")
+    return map_arrow(_texts(docs, text_col), kernel, "point long, n long, grams binary")
 
 
 def _frequent(docs: DataFrame, text_col: str, shingle: int, n: int) -> np.ndarray:
@@ -132,18 +155,70 @@ def _prefixes(docs: DataFrame, text_col: str, shingle: int, frequent: np.ndarray
     return map_arrow(_texts(docs, text_col), kernel, "key long, point long, place long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, text_col: str, marks: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs (a, b) of points whose sets are similar. marks: point and h (hash of the text) of docs."""
-    pairs = saved(pairs, "pairs")
+def counts(grams: np.ndarray) -> bytes:
+    """How many elements of a set fall into each of BINS bins, as 16-bit numbers (the greatest stands for more)."""
+    return np.minimum(np.bincount((grams >> np.uint64(16)).astype(np.int64) % BINS, minlength=BINS), 65535).astype("<u2").tobytes()
+
+
+def _fitting(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs that may be similar: sets share no more elements than the lesser counts of all bins together. points: point, n, counts."""
+
+    def kernel(it):
+        for b in it:
+            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), "<u2").reshape(-1, BINS) for k in (2, 3))
+            sizes = b.column(4).to_numpy(zero_copy_only=False)
+            most = np.minimum(x, y).sum(1, dtype=np.int64)
+            full = (x == 65535).any(1) | (y == 65535).any(1)
+            keep = pa.array(full | (most * 9 >= sizes * 4))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
+
+    one = lambda c: points.select(F.col("point").alias(c), F.col("counts").alias(f"c{c}"), F.col("n").alias(f"n{c}"))
+    both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "ca", "cb", (F.col("na") + F.col("nb")).alias("n"))
+    return map_arrow(both, kernel, "a long, b long")
+
+
+def _compared(it):
+    """Pairs whose sets are similar, of rows (a, b, point, n, grams) in the order of pairs; repeated rows of a point count once."""
+    held: dict = {}
+    now = None
+
+    def judged():
+        if len(held) == 2:
+            (n, x), (m, y) = held.values()
+            common = len(np.intersect1d(elements(x), elements(y), assume_unique=True))
+            return common * 9 >= (n + m) * 4
+        return False
+
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    for batch in it:
+        found = []
+        for a, b, point, n, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (a, b) != now:
+                if judged():
+                    found.append(now)
+                held, now = {}, (a, b)
+            held[point] = n, grams
+        yield from batches(out, 50_000, {"a": np.array([a for a, _ in found], np.int64), "b": np.array([b for _, b in found], np.int64)})
+    if judged():
+        yield from batches(out, 1, {"a": np.array([now[0]], np.int64), "b": np.array([now[1]], np.int64)})
+
+
+def verified(pairs: DataFrame, docs: DataFrame, text_col: str, marks: DataFrame, points: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The pairs (a, b) of points whose sets are similar. marks: point and h (hash of the text) of docs; points: point, n, counts.
+
+    What the bins' counts rule out is not compared. Sets travel as the first ELEMENT bytes of each hash.
+    """
+    pairs = saved(_fitting(pairs, points), "pairs")
     if pairs.isEmpty():
         return pairs
-    need = saved(pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct(), "asked")
+    asks = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("point"))
+    need = asks.select("point").distinct()
     slots = marks.join(need, "point", "left_semi").select(F.pmod("h", F.lit(1 << FILTER_BITS)).cast("int").alias("slot")).distinct().toArrow()
     wanted = np.zeros(1 << FILTER_BITS, bool)
     wanted[slots["slot"].to_numpy()] = True  # at most 2^FILTER_BITS small integers
-    sets = saved(_sets(docs, text_col, shingle, wanted).join(need, "point", "left_semi").dropDuplicates(["point"]), "sets")
-    both = pairs.join(sets.select(F.col("point").alias("a"), F.col("grams").alias("g")), "a").join(sets.select(F.col("point").alias("b"), F.col("grams").alias("h")), "b")
-    return saved(both.where(similar(F.size(F.array_intersect("g", "h")), F.size("g"), F.size("h"))).select("a", "b"), "links")
+    rows = asks.join(_packed(docs, text_col, shingle, wanted), "point").select("a", "b", "point", "n", "grams")
+    rows = rows.repartition("a", "b").sortWithinPartitions("a", "b")
+    return saved(map_arrow(rows, _compared, "a long, b long"), "links")
 
 
 def _sizes(c: str) -> tuple[Column, Column]:
@@ -158,7 +233,7 @@ def _met(pairs: DataFrame) -> DataFrame:
     return pairs.where(fit).select(F.col("x.point").alias("a"), F.col("y.point").alias("b")).distinct()
 
 
-def completed(docs: DataFrame, text_col: str, marks: DataFrame, known: DataFrame, n: int, shingle: int = SHINGLE) -> DataFrame:
+def completed(docs: DataFrame, text_col: str, marks: DataFrame, points: DataFrame, known: DataFrame, n: int, shingle: int = SHINGLE) -> DataFrame:
     """(a, b): known links and as many more as connect exactly what all similar pairs of points would.
 
     Prefixes are shuffled once, by shingle. A point is first compared with the least of each of its shingles, so that a
@@ -182,10 +257,10 @@ def completed(docs: DataFrame, text_col: str, marks: DataFrame, known: DataFrame
     apart = saved(named(known), "apart")
     lead = F.min(F.struct("root", "point", "place")).over(key).alias("x")
     stars = apart.select("root", F.struct("point", "place").alias("y"), lead).where("root <> x.root")
-    first = verified(_met(stars), docs, text_col, marks, shingle)
+    first = verified(_met(stars), docs, text_col, marks, points, shingle)
     both = saved(known.union(first), "links")
     band = F.floor(F.log(F.shiftright("place", 32)) / float(np.log(1.25)))
     rest = saved(named(both).withColumn("band", band.cast("int")), "rest")
     less = rest.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
     pairs = less.alias("x").join(rest.alias("y"), ["key", "band"]).where((F.shiftright("x.place", 32) <= F.shiftright("y.place", 32)) & (F.col("x.root") != F.col("y.root")))
-    return both.union(verified(_met(pairs), docs, text_col, marks, shingle))
+    return both.union(verified(_met(pairs), docs, text_col, marks, points, shingle))
