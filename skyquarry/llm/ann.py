@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from skyquarry.llm.common import batches, map_arrow, saved
 
 #: Vectors that fit the tree, queries that calibrate it, and the recall they must reach.
-FIT_SAMPLE, CALIBRATION, RECALL = 20_000, 128, 0.95
+FIT_SAMPLE, CALIBRATION, RECALL = 65_536, 128, 0.95
 #: Children of a node, vectors meant for a leaf, leaves at most, and vectors of a shard: neighbouring leaves, or a part of a large one.
-BRANCH, LEAF, MOST_LEAVES, SHARD = 8, 400, 4096, 4096
+BRANCH, LEAF, MOST_LEAVES, SHARD = 8, 400, 16_384, 4096
+#: Queries that meet a shard in one group, about; more are dealt to blocks, each with its copy of the shard.
+ASKING = 20_000
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -119,6 +121,11 @@ def best_of(q: np.ndarray, x: np.ndarray, ids: list, k: int, seen: np.ndarray |
     return tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
 
+def matrix(column: pa.Array) -> np.ndarray:
+    """The rows of a list column, all of one length."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
 def stacked(column) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in column]) if len(column) else np.zeros((0, 0))
 
@@ -144,10 +151,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     questions = reps.join(asked.select("rep").distinct(), "rep", "left_semi").select("rep", "v")
 
     n = reps.count()
-    # a share of the rows by hash, so that the tasks together send no more than the sample
-    share = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < int(min(1.0, 1.1 * FIT_SAMPLE / max(1, n)) * (1 << 20)) + 1
-    sample = reps.where(share).select("v").limit(FIT_SAMPLE).collect()
-    x = stacked([r[0] for r in sample])
+    # a share of the rows by hash: FIT_SAMPLE on average, and the same ones whenever this runs
+    share = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int(min(1.0, FIT_SAMPLE / max(1, n)) * (1 << 30)) + 1
+    x = stacked([r["v"] for r in sorted(reps.where(share).select("rep", "v").collect())])
     leaves = max(1, min(MOST_LEAVES, n // LEAF))
     tree = fit_tree(x, max(4, len(x) // leaves))
     number_of_leaves = int(tree[2].max()) + 1
@@ -156,7 +162,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     def file(it):
         out = pa.schema([("rep", pa.int64()), ("leaf", pa.int64()), ("v", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64()))])
         for b in it:
-            leaf = filed(stacked(b.column(1).to_pylist()), shared.value)
+            leaf = filed(matrix(b.column(1)), shared.value)
             yield from batches(out, 10_000, {"rep": b.column(0), "leaf": leaf, "v": b.column(1), "ids": b.column(2)})
 
     index = saved(map_arrow(reps.select("rep", "v", "ids"), file, "rep long, leaf long, v array<double>, ids array<long>"), "index")
@@ -168,10 +174,16 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
 
         def blocks(it):
             out = pa.schema([("q", pa.int64()), ("id", pa.int64()), ("score", pa.float64()), ("leaf", pa.int64())])
-            for b in it:
-                row, rep, score = best_of(tq, stacked(b.column(1).to_pylist()), [[r] for r in b.column(0).to_pylist()], k + 1)
-                leaf = dict(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True))
-                yield from batches(out, 50_000, {"q": row, "id": rep, "score": score, "leaf": np.array([leaf[i] for i in rep.tolist()], np.int64)})
+            best: list = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]
+            for b in it:  # a task hands on its best alone
+                ids, leaf = b.column(0).to_numpy(), b.column(2).to_numpy()
+                row, place, score = best_of(tq, matrix(b.column(1)), [[i] for i in range(len(b))], k + 1)
+                best = [np.concatenate(c) for c in zip(best, (row, ids[place], score, leaf[place]), strict=True)]
+                order = np.lexsort((best[1], -best[2], best[0]))
+                best = [c[order] for c in best]
+                keep = np.arange(len(order)) - np.searchsorted(best[0], best[0]) <= k
+                best = [c[keep] for c in best]
+            yield from batches(out, 50_000, dict(zip(out.names, best, strict=True)))
 
         found = map_arrow(index.select("rep", "v", "leaf"), blocks, "q long, id long, score double, leaf long")
         ranked = found.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))).where(F.col("n") <= k + 1)
@@ -190,14 +202,14 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             shard, room = shard + 1, SHARD
         begin[leaf], parts[leaf] = shard, max(1, -(-n // SHARD))
         shard, room = (shard + int(parts[leaf]), SHARD) if n > SHARD else (shard, room - n)
-    lookup = lambda values: F.element_at(F.array(*[F.lit(int(v)) for v in values]), (F.col("leaf") + 1).cast("int"))
+    lookup = lambda values: F.element_at(F.lit(np.array(values, np.int64)), (F.col("leaf") + 1).cast("int"))
     stored = index.withColumn("shard", lookup(begin) + F.pmod(F.xxhash64("rep"), lookup(parts)))
 
     def ask(it):
         out = pa.schema([("rep", pa.int64()), ("v", pa.list_(pa.float64())), ("shard", pa.int64()), ("leaves", pa.list_(pa.int64()))])
         for b in it:
             rows = []
-            for i, met in enumerate(visited(stacked(b.column(1).to_pylist()), shared.value, visits) if len(b) else []):
+            for i, met in enumerate(visited(matrix(b.column(1)), shared.value, visits) if len(b) else []):
                 at: dict = {}
                 for leaf in met:
                     for s in range(int(begin[leaf]), int(begin[leaf] + parts[leaf])):
@@ -206,7 +218,10 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             take = pa.array([r[0] for r in rows], pa.int64())
             yield from batches(out, 10_000, {"rep": b.column(0).take(take), "v": b.column(1).take(take), "shard": pa.array([r[1] for r in rows], pa.int64()), "leaves": pa.array([r[2] for r in rows], pa.list_(pa.int64()))})
 
-    going = map_arrow(questions, ask, "rep long, v array<double>, shard long, leaves array<long>")
+    block = max(1, -(-questions.count() // ASKING))
+    part = F.pmod(F.xxhash64("rep", F.lit(2)), F.lit(block)).cast("int")
+    going = map_arrow(questions, ask, "rep long, v array<double>, shard long, leaves array<long>").withColumn("block", part)
+    stored = stored.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(block - 1))))
 
     def search(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asking.empty or held.empty:
@@ -221,7 +236,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             found.append(pd.DataFrame({"rep": reps[i + row], "id": name, "score": score}))
         return pd.concat(found)
 
-    met = going.groupBy("shard").cogroup(stored.groupBy("shard")).applyInPandas(search, "rep long, id long, score double")
+    met = going.groupBy("shard", "block").cogroup(stored.groupBy("shard", "block")).applyInPandas(search, "rep long, id long, score double")
     best = Window.partitionBy("rep").orderBy(F.desc("score"), "id")
     met = met.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
     every = asked.withColumnRenamed("id", "query_id").join(met, "rep").where("id <> query_id")

@@ -34,6 +34,7 @@ def test_query_reaches_its_recall_in_order(spark):
 def test_many_leaves_blocks_and_copies(spark, monkeypatch):
     monkeypatch.setattr(ann, "LEAF", 40)
     monkeypatch.setattr(ann, "SHARD", 16)
+    monkeypatch.setattr(ann, "ASKING", 30)
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 8))
     x = centres[rng.integers(0, 12, 1500)] + 0.3 * rng.normal(size=(1500, 8))
