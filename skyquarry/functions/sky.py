@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 #: Factors to the unit after "to_".
@@ -32,6 +32,47 @@ def ra_signed(ra: Column) -> Column:
     return F.when(ra > 180, ra - 360.0).otherwise(ra)
 
 
+def ra_of_set(ra: Column, by: list[Column]) -> tuple[Column, Column]:
+    """(right ascension, system): [-180, 180) for a set with any negative value, else [0, 360). by are the set's keys."""
+    negative = F.min(ra).over(Window.partitionBy(*by)) < 0
+    signed = F.pmod(ra + 180.0, F.lit(360.0)) - 180.0
+    return F.when(negative, signed).otherwise(F.pmod(ra, F.lit(360.0))), F.when(negative, "-180-180").otherwise("0-360")
+
+
+def limits_valid(low: Column, high: Column, least: float, most: float) -> Column:
+    """Whether both limits are given and within [least, most]; 0 and 360 for right ascension, -90 and 90 for declination."""
+    return F.coalesce((low >= least) & (high <= most), F.lit(False))
+
+
+def box_wrapped(ra_min: Column, ra_max: Column) -> Column:
+    """The left edge of a box, negative where the box crosses RA 0."""
+    return F.when(ra_min > ra_max, ra_min - 360.0).otherwise(ra_min)
+
+
+def box_unwrapped(left: Column) -> Column:
+    """The left edge in [0, 360) again."""
+    return F.pmod(left, F.lit(360.0))
+
+
+def event_unix(text: Column) -> Column:
+    """Seconds since 1970 of `2024-01-02 03:04:05[.678]` or ISO text, read as UTC; null if it is neither."""
+    return unix_of(text.try_cast("timestamp_ntz"))
+
+
+#: The observatory: longitude and latitude in degrees, height in metres. Fixed values.
+OBSERVER = {"latitude": -22.96098, "longitude": -67.7876, "height": 5180.0}
+
+
+def wide_field(res_arcmin: float, variant: str = "fejer1") -> dict[str, float]:
+    """The plate-carrée geometry of the whole sky from declination -60 to 20: ny, nx and what pixel and position need."""
+    extra = {"fejer1": 0, "cc": 1}[variant.lower()]
+    res = res_arcmin / 60.0
+    ny, nx = round(80.0 / res) + extra, round(360.0 / res)
+    if abs(res * (ny - extra) - 80.0) > 1e-6 or abs(res * nx - 360.0) > 1e-6:
+        raise ValueError("the resolution does not divide the sky evenly")
+    return {"ny": ny, "nx": nx, "crval_ra": 0.0, "crpix_x": float(nx // 2), "cdelt_ra": -360.0 / nx, "crpix_y": (ny + 20.0 / res) / 2, "cdelt_dec": 80.0 / (ny - extra)}
+
+
 def in_box(ra: Column, dec: Column, ra_min, ra_max, dec_min, dec_max) -> Column:
     """Strictly inside a box; ra_min > ra_max means that the box crosses RA 0."""
     at, width = F.pmod(ra - F.lit(ra_min), F.lit(360.0)), F.pmod(F.lit(ra_max) - F.lit(ra_min), F.lit(360.0))

@@ -92,8 +92,8 @@ def fitted(stamps: DataFrame, key: str = "stamp_id", image: str = "image", ny: i
     return stamps.select(key, image).mapInPandas(kernel, f"{key} {kind}, {FIT_COLUMNS}")
 
 
-def labelled(rows: DataFrame) -> DataFrame:
-    """(map_id, gy, gx, label) of the 8-connected regions of given pixels, whatever their extent: each named by its least pixel.
+def labelled(rows: DataFrame, diagonal: bool = True) -> DataFrame:
+    """(map_id, gy, gx, label) of the 8-connected (or, without diagonals, 4-connected) regions of given pixels, whatever their extent: each named by its least pixel.
 
     Runs of a row are found by a window; runs that touch in neighbouring rows are edges, and regions their connected sets.
     """
@@ -107,7 +107,7 @@ def labelled(rows: DataFrame) -> DataFrame:
     cells = F.explode(F.sequence(F.floor((F.col("x0") - 1) / 64), F.floor((F.col("x1") + 1) / 64)))
     a = runs.select("map_id", "gy", F.col("x0").alias("ax0"), F.col("x1").alias("ax1"), F.col("run_id").alias("i"), cells.alias("cell"))
     b = runs.select("map_id", (F.col("gy") - 1).alias("gy"), F.col("x0").alias("bx0"), F.col("x1").alias("bx1"), F.col("run_id").alias("j"), cells.alias("cell"))
-    touch = a.join(b, ["map_id", "gy", "cell"]).where((F.col("bx0") <= F.col("ax1") + 1) & (F.col("bx1") >= F.col("ax0") - 1)).select("i", "j").distinct()
+    touch = a.join(b, ["map_id", "gy", "cell"]).where((F.col("bx0") <= F.col("ax1") + int(diagonal)) & (F.col("bx1") >= F.col("ax0") - int(diagonal))).select("i", "j").distinct()
     sets = connected(touch)
     named = runs.join(sets, runs.run_id == sets.node, "left").withColumn("set", F.coalesce("root", "run_id"))
     first = named.groupBy("map_id", "set").agg(F.min(F.struct("gy", "x0")).alias("first"))

@@ -15,6 +15,86 @@ def with_flux_snr(pixels: DataFrame) -> DataFrame:
     return pixels.withColumns({"flux": sky.flux(F.col("rho"), F.col("kappa")), "snr": sky.snr(F.col("rho"), F.col("kappa")), "dflux": sky.flux_error(F.col("kappa"))})
 
 
+def with_intensity(pixels: DataFrame, filtered: bool = False) -> DataFrame:
+    """flux, snr and hits of pixels with an intensity and its inverse variance: snr is T * sqrt(ivar), and a filtered map holds rho and kappa. A pixel is hit if its weight is over 0 or its flux is not 0."""
+    t, w = F.col("intensity"), F.col("ivar")
+    flux = F.when(w == 0, 0.0).otherwise(F.try_divide(t, w)) if filtered else t
+    snr = F.when(w <= 0, 0.0).otherwise(F.try_divide(t, F.sqrt(w)) if filtered else t * F.sqrt(w))
+    return pixels.withColumns({"flux": flux, "snr": snr}).withColumn("hits", F.coalesce((w > 0) | (F.abs("flux") > 0), F.lit(False)).cast("int"))
+
+
+def outside(valid_pixels: DataFrame, ny: int, nx: int, by: str = "map_id") -> DataFrame:
+    """(map_id, gy, gx) of the grid's pixels outside the footprint: those that are not valid and reach the border over such; holes are inside."""
+    from skyquarry.operators.kernels import labelled
+
+    grid = valid_pixels.select(by).distinct().withColumn("gy", F.explode(F.sequence(F.lit(0), F.lit(ny - 1)))).withColumn("gx", F.explode(F.sequence(F.lit(0), F.lit(nx - 1))))
+    bad = grid.join(valid_pixels.select(by, "gy", "gx").distinct(), [by, "gy", "gx"], "left_anti")
+    marked = labelled(bad.withColumnRenamed(by, "map_id"), diagonal=False)
+    edge = (F.col("gy") == 0) | (F.col("gx") == 0) | (F.col("gy") == ny - 1) | (F.col("gx") == nx - 1)
+    return marked.join(marked.where(edge).select("map_id", "label").distinct(), ["map_id", "label"], "left_semi").select("map_id", "gy", "gx")
+
+
+def edge_mask(pixels: DataFrame, valid_pixels: DataFrame, ny: int, nx: int, distance: int) -> DataFrame:
+    """pixels with edge: 1 where every pixel outside the filled footprint is farther than `distance`, else 0."""
+    return near_any(pixels, outside(valid_pixels, ny, nx), distance).withColumn("edge", F.when(F.col("hit"), 0).otherwise(1)).drop("hit")
+
+
+def mask_product(pixels: DataFrame, values: list[str], masks: list[str]) -> DataFrame:
+    """values times all masks; a null mask keeps the pixel."""
+    m = F.lit(1)
+    for name in masks:
+        m = m * F.coalesce(F.col(name), F.lit(1))
+    return pixels.withColumns({v: F.col(v) * m for v in values})
+
+
+def centre_of_mass(sources: DataFrame, pixels: DataFrame, half: int, radius: float, tolerance: float = 1e-4, snr_at_least: float = 3.0) -> DataFrame:
+    """sources (map_id, source_id, gy, gx) with (y, x), the centre of mass of snr^2 over the region of strong pixels at their pixel.
+
+    Strong is an snr over the least one, with kappa at least tolerance of the map's maximum, within radius pixels; a
+    region is 4-connected. Without a region at its pixel a source keeps its own. A source's box is one small array.
+    """
+    import numpy as np
+    import pandas as pd
+
+    from skyquarry.operators.stamps import thumbnails
+
+    top = pixels.groupBy("map_id").agg(F.max("kappa").alias("_top"))
+    floor = F.greatest(F.col("kappa"), F.when(F.col("_top") == 0, 1.0).otherwise(F.col("_top")) * tolerance)
+    strong = pixels.join(top, "map_id").withColumn("sn2", F.col("rho") * F.col("rho") / floor)
+    near = thumbnails(sources.select("map_id", "source_id", "gy", "gx"), strong, half, "sn2").where((F.col("v") > snr_at_least**2) & (F.sqrt(F.col("dy") * F.col("dy") + F.col("dx") * F.col("dx")) < radius))
+    boxes = near.groupBy("map_id", "source_id").agg(F.collect_list(F.struct("dy", "dx", "v")).alias("box"))
+    size = 2 * half + 1
+
+    def kernel(it):
+        for pdf in it:
+            out = []
+            for box in pdf["box"]:
+                image = np.zeros((size + 2, size + 2))
+                for p in box:
+                    image[p["dy"] + half + 1, p["dx"] + half + 1] = p["v"]
+                region = np.zeros_like(image, bool)
+                region[half + 1, half + 1] = image[half + 1, half + 1] > 0
+                while True:
+                    grown = region.copy()
+                    grown[1:] |= region[:-1]
+                    grown[:-1] |= region[1:]
+                    grown[:, 1:] |= region[:, :-1]
+                    grown[:, :-1] |= region[:, 1:]
+                    grown &= image > 0
+                    if (grown == region).all():
+                        break
+                    region = grown
+                y, x = np.nonzero(region)
+                w = image[y, x]
+                out.append((float((w * (y - half - 1)).sum() / w.sum()), float((w * (x - half - 1)).sum() / w.sum())) if len(w) else (0.0, 0.0))
+            yield pd.DataFrame({"map_id": pdf["map_id"], "source_id": pdf["source_id"], "oy": [o[0] for o in out], "ox": [o[1] for o in out]})
+
+    kinds = {f.name: f.dataType.simpleString() for f in sources.schema.fields}
+    moved = boxes.mapInPandas(kernel, f"map_id {kinds['map_id']}, source_id {kinds['source_id']}, oy double, ox double")
+    out = sources.join(moved, ["map_id", "source_id"], "left")
+    return out.withColumns({"y": F.col("gy") + F.coalesce("oy", F.lit(0.0)), "x": F.col("gx") + F.coalesce("ox", F.lit(0.0))}).drop("oy", "ox")
+
+
 def valid(weight: Column, mask: Column | None = None) -> Column:
     ok = weight.isNotNull() & ~F.isnan(weight) & (weight > 0) & (weight < F.lit(float("inf")))
     return ok & (F.coalesce(mask, F.lit(1)) > 0) if mask is not None else ok

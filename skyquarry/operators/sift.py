@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyquarry.functions.sky import match_radius_deg
 from skyquarry.operators.joins import closest, zone_join
+from skyquarry.operators.maps import annulus_snr
 
 
 def range_cut(cuts: dict[str, tuple[float, float]]) -> Column:
@@ -39,3 +40,18 @@ def default(detections: DataFrame, catalog: DataFrame, cut: Column, ratio: float
         .otherwise("transient")
     )
     return joined.withColumn("class", kind)
+
+
+def with_errors(detections: DataFrame, fwhm: float, ra_jitter: float, dec_jitter: float) -> DataFrame:
+    """err_ra and err_dec, from the beam over the root of the significance where they are null, with the pointing jitter in quadrature."""
+    own = F.try_divide(F.lit(fwhm), F.sqrt(F.try_divide(F.col("flux_mjy"), F.col("err_flux_mjy"))))
+    both = lambda c, j: F.sqrt(F.pow(F.coalesce(F.col(c), own), F.lit(2.0)) + j * j)
+    return detections.withColumns({"err_ra": both("err_ra", ra_jitter), "err_dec": both("err_dec", dec_jitter)})
+
+
+def retested(classified: DataFrame, pixels: DataFrame, half: int, inner: Column, snr_cut: float = 5.0, ratio_cut: float = 10.0, key: str = "det_id") -> DataFrame:
+    """classified with transients that the noise around them does not bear out as noise. Needs map_id, gy, gx, peak and snr."""
+    asked = classified.where("class = 'transient'").select("map_id", F.col(key).alias("source_id"), "gy", "gx", "peak", "snr")
+    kept = annulus_snr(asked, pixels, half, inner, snr_cut, ratio_cut).select(F.col("source_id").alias(key), "new_snr", "kept")
+    out = classified.join(kept, key, "left")
+    return out.withColumn("class", F.when((F.col("class") == "transient") & ~F.coalesce("kept", F.lit(False)), "noise").otherwise(F.col("class"))).drop("kept")

@@ -12,6 +12,22 @@ def unclaimed(maps: DataFrame, status: DataFrame, now: float, stale_s: float = 7
     return maps.join(busy, "map_id", "left_anti")
 
 
+def next_maps(maps: DataFrame, status: DataFrame, now: float, days: float | None = 1.0, most: int | None = None, rerun: bool = False, models: DataFrame | None = None, refit: bool = False) -> DataFrame:
+    """The maps to process, in the order of their start: those of the last `days` that are not processed (all with rerun), at most `most`.
+
+    models (map_id, and columns of a pointing model) are attached where one is kept, so that only maps without one are
+    fitted; refit leaves them out. No days means any time.
+    """
+    found = maps if days is None else maps.where(F.col("obs_end") >= now - days * 86400.0)
+    if not rerun:
+        found = unclaimed(found, status, now)
+    if most is not None:
+        found = found.orderBy("obs_start", "map_id").limit(most)
+    if models is None:
+        return found
+    return found.join(models.where(F.lit(not refit)), "map_id", "left")
+
+
 def query_maps(maps: DataFrame, freq: str | None = None, arr: str | None = None, start: float | None = None, end: float | None = None, map_ids: DataFrame | None = None, tiles: DataFrame | None = None, coverage: DataFrame | None = None) -> DataFrame:
     """Maps by band, array, overlap of the observation with [start, end], id and sky tile; a map counts once however many tiles it covers."""
     for name, value in (("freq", freq), ("arr", arr)):

@@ -241,7 +241,7 @@ def flare_alert(spark, sf):
     return view(spark, sf, "light_curves").select("event_id", sift.flares(F.col("flux_mjy"), before).alias("alert"))
 
 
-@query()
+@query("select event_id, hour from (select event_id, cast(hour(timezone('America/Santiago', to_timestamp(t_unix))) as integer) as hour from light_curves) where hour > 22 or hour < 11", "light_curves")
 def local_night(spark, sf):
     """Events of the local night (after 22 or before 11) at the observatory."""
     hour = F.hour(F.from_utc_timestamp(F.timestamp_seconds("t_unix"), "America/Santiago"))
@@ -346,9 +346,17 @@ def sigma_clip_offset(spark, sf):
     return kept.groupBy("source_id").agg(F.count("*").alias("n"), r(F.avg("flux_mjy"), 9).alias("mean"), r(F.median("flux_mjy"), 9).alias("median"), r(F.stddev_pop("flux_mjy"), 9).alias("std"))
 
 
-@query()
+def _block_sql(rounds: int) -> str:
+    out = ["c0 as (select map_id, gy // 10 as by_, gx // 10 as bx, flux as v from p where flux <> 0)"]
+    for i in range(rounds):
+        out.append(f"c{i + 1} as (select c.* from c{i} c join (select map_id, by_, bx, median(v) as m, stddev_pop(v) as s from c{i} group by all) using (map_id, by_, bx) where abs(v - m) <= 3e0 * s)")
+    return ", " + ", ".join(out)
+
+
+@query(f", {_PIX}{_block_sql(3)}, e as (select map_id, by_, bx, stddev_pop(v) as rms, count(*) as n from c3 group by all) select map_id, cast(by_ as bigint) as \"by\", cast(bx as bigint) as bx, round(rms, 9) as rms, n, round(case when m <> 0 then rms / m end, 6) as relative from (select *, median(rms) over (partition by map_id) as m from e)", "pixels_raw")
 def block_rms(spark, sf):
-    return maps.block_rms(_pixels(spark, sf), 10)
+    b = maps.block_rms(_pixels(spark, sf), 10)
+    return b.select("map_id", "by", "bx", r("rms", 9).alias("rms"), "n", r("relative").alias("relative"))
 
 
 @query(", e as (select min(flux_mjy) as lo, max(flux_mjy) as hi from light_curves) select cast(least(floor((flux_mjy - lo) / ((hi - lo) / 20)), 19) as bigint) as bin, count(*) as n from light_curves, e group by 1", "light_curves")

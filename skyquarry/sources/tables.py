@@ -82,3 +82,28 @@ def write_light_curves(rows: DataFrame, path: str) -> None:
 def write_results(rows: DataFrame, path: str, kind: str = "parquet") -> None:
     """Measurements by map and class."""
     rows.write.partitionBy("map_id").format(kind).save(path)
+
+
+def checked_unit(unit: str, expected: str) -> str:
+    """unit, if it is one of the expected dimension: a temperature or a flux density. Else it raises."""
+    kinds = {"temperature": ("K", "mK", "uK"), "flux": ("Jy", "mJy", "uJy", "Jy/sr")}
+    if unit not in kinds[expected]:
+        raise ValueError(f"{unit} is no unit of a {expected}")
+    return unit
+
+
+def map_files(paths: DataFrame, column: str = "path") -> DataFrame:
+    """Map files by day folder, band and array, with the paths of their sibling layers."""
+    from skyquarry.functions.names import file_parts
+
+    part = file_parts(F.col(column))
+    sibling = {f"{layer}_path": F.regexp_replace(F.col(column), r"_(map|ivar|rho|kappa|time)\.fits$", f"_{layer}.fits") for layer in ("map", "ivar", "rho", "kappa", "time")}
+    return paths.withColumns({"folder": F.element_at(F.split(column, "/"), -2), "unix": part["unix"], "freq": part["freq"], "arr": part["arr"], "layer": part["layer"]} | sibling)
+
+
+def collated_light_curves(spark: SparkSession, path: str, out: str) -> None:
+    """All light-curve files under path as text, in parts ordered by file name and line, with the first header alone."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    header = lines.where(F.col("value").contains("#")).orderBy("file", "line").limit(1).withColumn("first", F.lit(0))
+    rows = header.unionByName(lines.where(~F.col("value").contains("#")).withColumn("first", F.lit(1)))
+    rows.orderBy("first", "file", "line").select("value").write.text(out)
