@@ -115,10 +115,32 @@ def labelled(rows: DataFrame, diagonal: bool = True) -> DataFrame:
     return pixels.select("map_id", "gy", F.col("gx").cast("int").alias("gx"), F.concat_ws("_", F.col("first.gy"), F.col("first.x0")).alias("label"))
 
 
-def regions(pixels: DataFrame, value: str, threshold: float, at_least: int = 2) -> DataFrame:
-    """Connected regions over the threshold with their peak, centroid, second moments, width, elongation and orientation."""
+def deblended(rows: DataFrame, value: str, rounds: int = 60) -> DataFrame:
+    """(map_id, gy, gx, label) of given pixels: each belongs to the peak that the steepest way up leads to, over its eight neighbours.
+
+    Every pixel points to the greatest of its neighbourhood, of equal ones the first by row and column; ways halve in
+    every round, each a table in the shared folder.
+    """
+    from skyquarry.sources.tables import saved
+
+    steps = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in (-1, 0, 1) for x in (-1, 0, 1)])
+    best = F.struct(F.col(value).alias("v"), (-F.col("gy")).alias("y"), (-F.col("gx")).alias("x")).alias("o")
+    seen = rows.select("map_id", best, "gy", "gx", F.explode(steps).alias("d")).select("map_id", (F.col("gy") + F.col("d.y")).cast("int").alias("gy"), (F.col("gx") + F.col("d.x")).cast("int").alias("gx"), "o")
+    up = rows.select("map_id", "gy", "gx").join(seen, ["map_id", "gy", "gx"]).groupBy("map_id", "gy", "gx").agg(F.max("o").alias("o"))
+    now = saved(up.select("map_id", "gy", "gx", (-F.col("o.y")).cast("int").alias("py"), (-F.col("o.x")).cast("int").alias("px")), "ways")
+    for _ in range(rounds):
+        far = now.select("map_id", F.col("gy").alias("py"), F.col("gx").alias("px"), F.col("py").alias("qy"), F.col("px").alias("qx"))
+        new = saved(now.join(far, ["map_id", "py", "px"]).select("map_id", "gy", "gx", F.col("qy").alias("py"), F.col("qx").alias("px"), ((F.col("qy") != F.col("py")) | (F.col("qx") != F.col("px"))).alias("moved")), "ways")
+        now = new.drop("moved")
+        if not new.where("moved").limit(1).count():
+            return now.select("map_id", "gy", "gx", F.concat_ws("_", "py", "px").alias("label"))
+    raise RuntimeError("ways did not end")
+
+
+def regions(pixels: DataFrame, value: str, threshold: float, at_least: int = 2, deblend: bool = False) -> DataFrame:
+    """Connected regions over the threshold (or, deblended, the parts around their peaks) with their peak, centroid, second moments, width, elongation and orientation."""
     over = pixels.where((F.col(value) > threshold) & ~F.isnan(value))
-    marked = over.join(labelled(over), ["map_id", "gy", "gx"])
+    marked = over.join(deblended(over, value) if deblend else labelled(over), ["map_id", "gy", "gx"])
     w = F.col(value)
     s = marked.groupBy("map_id", "label").agg(F.count("*").alias("n_pixels"), F.max(w).alias("peak"), F.sum(w).alias("sum"), F.sum(w * F.col("gx")).alias("sx"), F.sum(w * F.col("gy")).alias("sy"), F.sum(w * F.col("gx") * F.col("gx")).alias("sxx"), F.sum(w * F.col("gy") * F.col("gy")).alias("syy"), F.sum(w * F.col("gx") * F.col("gy")).alias("sxy"))
     s = s.where((F.col("n_pixels") >= at_least) & (F.col("sum") > 0)).withColumns({"x": F.col("sx") / F.col("sum"), "y": F.col("sy") / F.col("sum")})
@@ -190,21 +212,36 @@ def polynomial_pointing(sources: DataFrame, order: int, snr_at_least: float = 5.
 
     good = sources.where(F.col("snr") >= snr_at_least)
     good = clip_marks(good, {"_ra": "offset_ra", "_dec": "offset_dec"}, [by], sigma, rounds).where("_ra and _dec")
+    # powers of centred and scaled positions: raw degrees would lose most digits of the sums
+    over = Window.partitionBy(by)
+    for c in ("ra_deg", "dec_deg"):
+        good = good.withColumns({f"_m_{c}": F.avg(c).over(over), f"_s_{c}": F.greatest(F.coalesce(F.stddev_pop(c).over(over), F.lit(0.0)), F.lit(1e-9))})
+    u, v = ((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}") for c in ("ra_deg", "dec_deg"))
     terms = [(i, j) for i in range(order + 1) for j in range(order + 1 - i)]
-    base = [F.pow(F.col("ra_deg"), F.lit(float(i))) * F.pow(F.col("dec_deg"), F.lit(float(j))) for i, j in terms]
+    base = [F.pow(u, F.lit(float(i))) * F.pow(v, F.lit(float(j))) for i, j in terms]
     w = F.least(F.col("snr").cast("double"), F.lit(100.0))
     w = w * w
     n = len(terms)
     sums = [F.sum(w * base[a] * base[b]).alias(f"m_{a}_{b}") for a in range(n) for b in range(a, n)]
     sums += [F.sum(w * base[a] * F.col(c)).alias(f"v_{c}_{a}") for a in range(n) for c in ("offset_ra", "offset_dec")]
+    sums += [F.first(f"_{k}_{c}").alias(f"{k}_{c}") for k in "ms" for c in ("ra_deg", "dec_deg")]
     sums = good.groupBy(by).agg(F.count("*").alias("n_sources"), *sums)
 
     def solve(it):
+        from math import comb
+
         for pdf in it:
             rows = []
             for r in pdf.to_dict("records"):
                 m = np.array([[r[f"m_{min(a, b)}_{max(a, b)}"] for b in range(n)] for a in range(n)])
-                rows.append([np.linalg.lstsq(m, np.array([r[f"v_{c}_{a}"] for a in range(n)]), rcond=None)[0].tolist() for c in ("offset_ra", "offset_dec")])
+                # what each scaled term is in powers of degrees
+                raw = np.zeros((n, n))
+                for a, (i, j) in enumerate(terms):
+                    for b, (k, l) in enumerate(terms):
+                        if k <= i and l <= j:
+                            x = comb(i, k) * (-r["m_ra_deg"]) ** (i - k) / r["s_ra_deg"] ** i
+                            raw[b, a] = x * comb(j, l) * (-r["m_dec_deg"]) ** (j - l) / r["s_dec_deg"] ** j
+                rows.append([(raw @ np.linalg.lstsq(m, np.array([r[f"v_{c}_{a}"] for a in range(n)]), rcond=None)[0]).tolist() for c in ("offset_ra", "offset_dec")])
             yield pd.DataFrame({by: pdf[by], "n_sources": pdf["n_sources"], "ra_coef": [r[0] for r in rows], "dec_coef": [r[1] for r in rows]})
 
     return sums.mapInPandas(solve, f"{by} {sources.schema[by].dataType.simpleString()}, n_sources long, ra_coef array<double>, dec_coef array<double>")
@@ -231,22 +268,45 @@ def ramps(n: int, block: int, overlap: int) -> list[tuple[int, int, np.ndarray]]
     return out
 
 
-def matched_filter(image: np.ndarray, ivar: np.ndarray, fwhm_pix: float, knee: float = 0.02, alpha: float = -3.0) -> tuple[np.ndarray, np.ndarray]:
-    """(rho, kappa) of a patch: signal weighted by the beam over noise of one level with a low-frequency rise."""
+def noise_weight(image: np.ndarray, ivar: np.ndarray, down: tuple[int, int]) -> np.ndarray:
+    """The inverse of a patch's own noise spectrum, smoothed over blocks of `down` frequencies."""
+    white = np.nan_to_num(image) * np.sqrt(np.maximum(np.nan_to_num(ivar), 0))
+    power = np.abs(np.fft.fft2(white)) ** 2 / max(1, np.count_nonzero(white))
+    for axis, size in enumerate(down):
+        n = power.shape[axis]
+        block = np.arange(n) // max(1, size)
+        sums = np.apply_along_axis(lambda v, block=block: np.bincount(block, v), axis, power)
+        shape = [1, 1]
+        shape[axis] = -1
+        power = np.take(sums / np.bincount(block).reshape(shape), block, axis)
+    return 1 / np.maximum(power, 1e-300)
+
+
+def matched_filter(image: np.ndarray, ivar: np.ndarray, fwhm_pix: float, knee: float = 0.02, alpha: float = -3.0, measured: tuple[int, int] | None = None, apod: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(rho, kappa) of a patch: signal weighted by the beam over the noise.
+
+    The noise is of one level with a low-frequency rise, or, with measured, the patch's own spectrum, smoothed over
+    blocks of that many frequencies. apod pixels at the patch's edge lose their weight gradually. Pixels that are not
+    finite or have no weight are holes of weight 0.
+    """
     ny, nx = image.shape
     sigma = fwhm_pix / SIGMA_TO_FWHM
     ky, kx = np.meshgrid(np.fft.fftfreq(ny), np.fft.fftfreq(nx), indexing="ij")
     k = np.hypot(ky, kx)
     beam = np.exp(-2 * (np.pi * sigma * k) ** 2)
-    weight = 1 / (1 + (np.maximum(k, 0.5 / max(ny, nx)) / knee) ** alpha)
-    root = np.sqrt(np.maximum(np.nan_to_num(ivar), 0))
+    ivar = np.where(np.isfinite(image) & np.isfinite(ivar), np.maximum(np.nan_to_num(ivar), 0), 0)
+    if apod:
+        ramp = lambda n: np.minimum(1, 0.5 - 0.5 * np.cos(np.pi * np.minimum(apod, np.minimum(np.arange(n), np.arange(n)[::-1]) + 0.5) / apod))
+        ivar = ivar * ramp(ny)[:, None] * ramp(nx)[None, :]
+    weight = 1 / (1 + (np.maximum(k, 0.5 / max(ny, nx)) / knee) ** alpha) if measured is None else noise_weight(image, ivar, measured)
+    root = np.sqrt(ivar)
     filt = lambda v: np.fft.ifft2(np.fft.fft2(v) * beam * weight).real
     rho = root * filt(root * np.nan_to_num(image))
     norm = float((beam**2 * weight).mean())
     return rho, root**2 * norm
 
 
-def filtered(pixels: DataFrame, nx: int, ny: int, fwhm_pix: float, block: int = 512, overlap: int = 64, image: str = "flux", ivar: str = "kappa") -> DataFrame:
+def filtered(pixels: DataFrame, nx: int, ny: int, fwhm_pix: float, block: int = 512, overlap: int = 64, image: str = "flux", ivar: str = "kappa", measured: tuple[int, int] | None = None, apod: int = 0) -> DataFrame:
     """Matched-filtered maps (rho, kappa) by bands of rows with halos, merged by weights that add to 1. A task holds one band."""
     bands = ramps(ny, block, overlap)
     cut = F.array(*[F.struct(F.lit(i).alias("band"), F.lit(s).alias("y0"), F.lit(e).alias("y1")) for i, (s, e, _) in enumerate(bands)])
@@ -258,7 +318,7 @@ def filtered(pixels: DataFrame, nx: int, ny: int, fwhm_pix: float, block: int =
         img, iv = np.zeros((e - s, nx)), np.zeros((e - s, nx))
         y, x = g["gy"].to_numpy() - s, g["gx"].to_numpy()
         img[y, x], iv[y, x] = g["v"].to_numpy(), g["w"].to_numpy()
-        rho, kappa = matched_filter(img, iv, fwhm_pix)
+        rho, kappa = matched_filter(img, iv, fwhm_pix, measured=measured, apod=apod)
         yy, xx = np.mgrid[: e - s, :nx]
         return pd.DataFrame({"map_id": g["map_id"].iloc[0], "gy": (yy + s).ravel().astype("int32"), "gx": xx.ravel().astype("int32"), "rho": (rho * w[:, None]).ravel(), "kappa": (kappa * w[:, None]).ravel()})
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyquarry.functions import names, sky
-from skyquarry.operators import catalogs, joins, maps, moving, sift, state
+from skyquarry.operators import catalogs, joins, kernels, maps, sift, state
 from skyquarry.plans.queries import _COADD, _GX, _GY, _PIX, CUT, SEP, SIFT, _catalog, _located, _pixels, _whole, query, r
 from skyquarry.plans.views import duck, view
 
@@ -237,3 +236,10 @@ def wide_field(spark, sf):
     at = sky.position(F.col("gy"), F.col("gx"), **{k: v for k, v in g.items() if k not in ("ny", "nx")})
     p = view(spark, sf, "pixels_raw").select("map_id", "gy", "gx").distinct()
     return p.select("map_id", "gy", "gx", r(at[0]).alias("ra"), r(at[1]).alias("dec"))
+
+
+@query("with recursive " + duck("pixels_raw").strip().removeprefix("with ") + ", o as (select freq as map_id, gy, gx, sum(rho) / sum(kappa) as v from pixels_raw group by all having sum(rho) / sum(kappa) > 5e-1), up as (select a.map_id, a.gy, a.gx, b.gy as uy, b.gx as ux from o a join o b on a.map_id = b.map_id and abs(a.gy - b.gy) <= 1 and abs(a.gx - b.gx) <= 1 qualify row_number() over (partition by a.map_id, a.gy, a.gx order by b.v desc, b.gy, b.gx) = 1), way as (select map_id, gy, gx, gy as cy, gx as cx from up union select w.map_id, w.gy, w.gx, u.uy, u.ux from way w join up u on u.map_id = w.map_id and u.gy = w.cy and u.gx = w.cx), root as (select w.map_id, w.gy, w.gx, w.cy, w.cx from way w join up u on u.map_id = w.map_id and u.gy = w.cy and u.gx = w.cx and u.uy = w.cy and u.ux = w.cx) select r.map_id as band, r.cy || '_' || r.cx as label, count(*) as n_pixels, round(max(o.v), 6) as peak, round(sum(o.v * o.gx) / sum(o.v), 6) as x, round(sum(o.v * o.gy) / sum(o.v), 6) as y from root r join o using (map_id, gy, gx) group by r.map_id, r.cy, r.cx having count(*) >= 2")
+def segment_deblended(spark, sf):
+    """Sources of each band's coadd, blended regions cut between their peaks."""
+    p = view(spark, sf, "pixels_raw").groupBy(F.col("freq").alias("map_id"), "gy", "gx").agg((F.sum("rho") / F.sum("kappa")).alias("v"))
+    return kernels.regions(p, "v", 0.5, deblend=True).select(F.col("map_id").alias("band"), "label", "n_pixels", r("peak").alias("peak"), r("x").alias("x"), r("y").alias("y"))

@@ -555,5 +555,4 @@ def stream_coadd(spark, sf):
     path = scratch(spark, "coadd")
     q = streams.upsert_each(streams.growing_coadd(pixels), path, ["freq", "arr", "gy", "gx"], scratch(spark, "coadd-state"))
     q.awaitTermination()
-    last = q.lastProgress["batchId"] if q.lastProgress["numInputRows"] else q.lastProgress["batchId"] - 1
-    return spark.read.parquet(f"{path}/v{last}").select("freq", "arr", "gy", "gx", F.round("rho", 5).alias("rho"), F.round("kappa", 4).alias("kappa"), "hits")
+    return streams.upserted(spark, path).select("freq", "arr", "gy", "gx", F.round("rho", 5).alias("rho"), F.round("kappa", 4).alias("kappa"), "hits")

@@ -38,39 +38,65 @@ def flare_alerts(curves: DataFrame, ratio: float = 5.0) -> DataFrame:
     """
 
     def step(key, frames, state: GroupState):
-        last = state.get if state.exists else (float("-inf"), -1, None)
+        t, number, flux = state.get if state.exists else (float("-inf"), -1, None)
         for f in frames:
-            out = []
-            for r in f.sort_values(["t_unix", "event_id"]).itertuples():
-                if (r.t_unix, r.event_id) <= tuple(last[:2]):
-                    continue
-                if last[2] is not None and last[2] != 0 and r.flux_mjy / last[2] > ratio:
-                    out.append((r.event_id, key[0], key[1], r.flux_mjy, last[2]))
-                last = (r.t_unix, r.event_id, r.flux_mjy)
-            yield pd.DataFrame(out, columns=["event_id", "source_id", "band", "flux_mjy", "previous"])
-        state.update(last)
+            f = f.sort_values(["t_unix", "event_id"])
+            f = f[(f["t_unix"] > t) | ((f["t_unix"] == t) & (f["event_id"] > number))].drop_duplicates(["t_unix", "event_id"])
+            before = f["flux_mjy"].shift(1, fill_value=float("nan") if flux is None else flux)
+            hit = (before != 0) & (f["flux_mjy"] / before.where(before != 0) > ratio)
+            yield pd.DataFrame({"event_id": f["event_id"], "source_id": key[0], "band": key[1], "flux_mjy": f["flux_mjy"], "previous": before})[hit]
+            if len(f):
+                last = f.iloc[-1]
+                t, number, flux = float(last["t_unix"]), int(last["event_id"]), None if pd.isna(last["flux_mjy"]) else float(last["flux_mjy"])
+        state.update((t, number, flux))
 
     rows = curves.select("event_id", "source_id", "band", F.col("t_unix").cast("double").alias("t_unix"), F.col("flux_mjy").cast("double").alias("flux_mjy"))
     return rows.groupBy("source_id", "band").applyInPandasWithState(step, "event_id long, source_id long, band string, flux_mjy double, previous double", "t double, id long, flux double", "append", GroupStateTimeout.NoTimeout)
 
 
-def upsert_each(stream: DataFrame, path: str, key: list[str], checkpoint: str):
-    """A query that merges every batch into the table at path: a batch's rows replace those of the same key.
+def upsert_each(stream: DataFrame, path: str, key: list[str], checkpoint: str, parts: int = 64):
+    """A query that merges every batch into the table at path: a batch's rows replace those of the same key; of several
+    rows of a key in a batch the last in the order of all columns counts.
 
-    Each version is a folder of its own, named by the batch, so that a batch that runs again after a failure writes the same.
+    The table has `parts` by the hash of the key. A batch writes a new version, named by its number, of the parts that it
+    touches alone, so that a batch that runs again after a failure writes the same. upserted reads the table.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = batch.dropDuplicates(key)
-        if number > 0:
-            old = spark.read.parquet(f"{path}/v{number - 1}")
-            new = old.join(new, key, "left_anti").unionByName(new)
-        new.write.mode("overwrite").parquet(f"{path}/v{number}")
+        others = [c for c in batch.columns if c not in key]
+        new = batch.groupBy(*key).agg(F.max(F.struct(*others)).alias("_row")).select(*key, "_row.*").withColumn("upsert_part", F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
+        old = _latest(spark, path, number)
+        if old is not None:
+            touched = [r[0] for r in new.select("upsert_part").distinct().collect()]  # at most `parts`
+            kept = old.where(F.col("upsert_part").isin(touched)).join(new.select(key), key, "left_anti")
+            new = kept.select(new.columns).unionByName(new)
+        new.repartition("upsert_part").write.mode("overwrite").partitionBy("upsert_part").parquet(f"{path}/upsert_version={number}")
 
     return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()
 
 
+def _latest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The newest version of each part, of the batches before a number; None without any."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    # a version counts once it is whole
+    done = [n for n in (int(x.partition("=")[2]) for x in names if x.startswith("upsert_version=")) if (before is None or n < before) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/upsert_version={n}/_SUCCESS"))]
+    if not done:
+        return None
+    rows = spark.read.option("basePath", path).parquet(*[f"{path}/upsert_version={n}" for n in done])
+    newest = rows.groupBy("upsert_part").agg(F.max("upsert_version").alias("newest"))
+    live = {(r["upsert_part"], r["newest"]) for r in newest.collect()}  # at most one a part
+    fit = F.array(*[F.lit(f"{p}/{v}") for p, v in sorted(live)])
+    return rows.where(F.array_contains(fit, F.concat_ws("/", "upsert_part", "upsert_version"))).drop("upsert_version")
+
+
+def upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The table that upsert_each keeps at path."""
+    return _latest(spark, path).drop("upsert_part")
+
+
 def drained(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """What an append stream gives for the files there are, written to path and read again."""
     q = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(path)

@@ -124,8 +124,8 @@ def test_streamed_coadd_equals_batch(spark, small, tmp_path):
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(at)
     q = streams.upsert_each(streams.growing_coadd(stream), str(tmp_path / "table"), ["freq", "arr", "gy", "gx"], str(tmp_path / "cp"))
     q.awaitTermination()
-    last = max(int(n[1:]) for n in os.listdir(tmp_path / "table"))
-    got = spark.read.parquet(str(tmp_path / "table" / f"v{last}"))
+    last = max(int(n.partition("=")[2]) for n in os.listdir(tmp_path / "table"))
+    got = streams.upserted(spark, str(tmp_path / "table"))
     want = maps.coadd(df)
     assert last == 2 and got.count() == want.count()
     both = got.select("freq", "arr", "gy", "gx", F.round("rho", 4).alias("rho"), "kappa")
@@ -141,3 +141,50 @@ def test_windows_close_and_repeats_go(spark, small, tmp_path):
     assert got.count() > 0 and got.select("window").distinct().count() > 10
     one = streams.drained(streams.without_repeats(stream.withColumn("k", F.lit(1)), "k", "10000 days"), str(tmp_path / "d"), str(tmp_path / "cd"))
     assert one.count() == 1
+
+
+def test_an_upsert_rewrites_only_the_parts_it_touches(spark, tmp_path):
+    df = spark.createDataFrame([(i, 1, "a") for i in range(200)], "k long, v long, w string")
+    at = str(tmp_path / "in")
+    df.coalesce(1).write.parquet(at)
+    spark.createDataFrame([(7, 2, "a"), (7, 3, "b"), (900, 5, "c")], df.schema).coalesce(1).write.mode("append").parquet(at)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(at)
+    streams.upsert_each(stream, str(tmp_path / "t"), ["k"], str(tmp_path / "c")).awaitTermination()
+    got = {r["k"]: (r["v"], r["w"]) for r in streams.upserted(spark, str(tmp_path / "t")).collect()}
+    assert got == {i: (1, "a") for i in range(200)} | {7: (3, "b"), 900: (5, "c")}
+    assert len([n for n in os.listdir(tmp_path / "t" / "upsert_version=1") if n.startswith("upsert_part=")]) <= 2
+
+
+def test_measured_noise_filters_like_the_known_one():
+    import numpy as np
+
+    from skyquarry.operators import kernels
+
+    rng = np.random.default_rng(5)
+    y, x = np.mgrid[:96, :96]
+    image = 8 * np.exp(-((y - 40) ** 2 + (x - 50) ** 2) / (2 * 1.7**2)) + rng.normal(0, 1, (96, 96))
+    ivar = np.ones_like(image)
+    image[10, 10], ivar[10, 10] = np.nan, 0
+    for kw in ({"measured": (8, 8)}, {"measured": (8, 8), "apod": 6}, {}):
+        rho, kappa = kernels.matched_filter(image, ivar, 4.0, **kw)
+        snr = rho / np.sqrt(np.maximum(kappa, 1e-9))
+        assert np.unravel_index(snr[8:-8, 8:-8].argmax(), (80, 80)) == (32, 42)
+        assert abs((rho / np.maximum(kappa, 1e-9))[40, 50] - 8) < 2.5
+    weight = kernels.noise_weight(rng.normal(0, 2, (64, 64)), np.full((64, 64), 0.25), (8, 8))
+    assert abs(weight.mean() - 1) < 0.05 and weight.std() < 0.2
+
+
+def test_polynomial_pointing_of_order_two_keeps_its_digits(spark):
+    import numpy as np
+
+    from skyquarry.operators import kernels
+
+    rng = np.random.default_rng(2)
+    ra, dec = 350 + rng.random(400) * 8, -41 + rng.random(400) * 3
+    offset = 0.01 + 2e-3 * (ra - 354) - 1e-3 * (dec + 40) + 4e-4 * (ra - 354) ** 2
+    rows = [(1, i, float(a), float(d), 20.0, float(o), float(o) / 2) for i, (a, d, o) in enumerate(zip(ra, dec, offset))]
+    df = spark.createDataFrame(rows, "map_id long, source_id long, ra_deg double, dec_deg double, snr double, offset_ra double, offset_dec double")
+    found = kernels.polynomial_pointing(df, 2).first()
+    terms = [(i, j) for i in range(3) for j in range(3 - i)]
+    fitted = sum(c * ra**i * dec**j for c, (i, j) in zip(found["ra_coef"], terms))
+    assert found["n_sources"] > 380 and np.abs(fitted - offset).max() < 1e-8
