@@ -18,8 +18,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from skyquarry.llm.common import byte_buffer, map_arrow
 
 GRAMS = 3
-#: Rows that train at most (those of the least hashes of their ids), the bytes of a text up to which it may train, and landmarks.
-TRAIN_ROWS, TRAIN_BYTES, LANDMARKS = 2000, 20_000, 192
+#: Rows that train at most (those of the least hashes of their ids), and landmarks.
+TRAIN_ROWS, LANDMARKS = 2000, 192
+#: A text of more than this many characters trains by STRETCHES pieces of it, spread evenly.
+LESSON, STRETCHES = 20_000, 10
 #: Bytes of a piece: a text's score is the mean of its pieces', by their bytes, so that a foreign passage counts by its length.
 PIECE, BATCH = 1500, 256
 RIDGE, EIGEN_FLOOR = 1e-2, 1e-6
@@ -111,10 +113,15 @@ class Model:
 
 def trained(docs: DataFrame, may_learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = TRAIN_ROWS) -> Model:
     """A model of at most `most` rows for which may_learn holds and language and text are known."""
-    rows = docs.where(may_learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & (F.octet_length(text_col) <= TRAIN_BYTES))
-    # ids first: what every task sends to be ordered is small, and only the chosen texts come to the driver
-    chosen = rows.where(F.col(id_col).isNotNull()).select(id_col).distinct().orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(most)
-    got = sorted(tuple(r) for r in rows.join(F.broadcast(chosen), id_col).select(text_col, lang_col).limit(4 * most).collect())
+    text = F.col(text_col)
+    size = F.length(text)
+    parts = F.concat(*[F.substring(text, F.floor((size - LESSON // STRETCHES) * i / (STRETCHES - 1)).cast("int") + 1, F.lit(LESSON // STRETCHES)) for i in range(STRETCHES)])
+    rows = docs.where(may_learn & F.col(lang_col).isNotNull() & text.rlike(r"\p{L}") & F.col(id_col).isNotNull())
+    rows = rows.select(id_col, F.when(size > LESSON, parts).otherwise(text).alias("_text"), F.col(lang_col).alias("_lang"))
+    # ids first: what every task sends to be ordered is small, and only the chosen texts come to the driver, one for each id
+    chosen = rows.select(id_col).distinct().orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(most)
+    one = rows.join(F.broadcast(chosen), id_col).groupBy(id_col).agg(F.min(F.struct("_text", "_lang")).alias("row"))
+    got = sorted(tuple(r) for r in one.select("row._text", "row._lang").collect())
     return Model([text.encode() for text, _ in got], [lang for _, lang in got])
 
 
@@ -127,7 +134,7 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     at = [f.name for f in fields].index(text_col)
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
     types = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # bounded by LANDMARKS texts of TRAIN_BYTES
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # bounded by LANDMARKS texts of LESSON characters
 
     def kernel(it):
         model = Model.of(shared.value)

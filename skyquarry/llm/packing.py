@@ -9,6 +9,7 @@ largest first with the largest partner that fits; smaller ones then go, longest
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import zlib
@@ -119,14 +120,37 @@ def chunk_ids(chunks: list[str], tokenizer) -> list[bytes]:
     return [got[c] for c in chunks]
 
 
+def chunked(tokenizer) -> bool:
+    """Whether a text's ids are those of its blank-separated, lower-cased chunks, letters and marks apart, as the tokenizer's own description has it.
+
+    So it is where white space becomes a blank, case is dropped, and the first split keeps runs of letters, single
+    digits and runs of other marks alone.
+    """
+    said = json.loads(tokenizer.to_str())
+    normal, split = said.get("normalizer") or {}, said.get("pre_tokenizer") or {}
+    steps = normal.get("normalizers", [normal])
+    first = split.get("pretokenizers", [split])[0]
+    blanks = any(n.get("type") == "Replace" and n.get("pattern") == {"Regex": r"\s+"} and n.get("content") == " " for n in steps)
+    apart = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
+    kinds = first.get("pattern", {}).get("Regex", "").split("|")[-3:]
+    return blanks and {"type": "Lowercase"} in steps and apart and kinds == [r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"]
+
+
 def token_ids(data: np.ndarray, offsets: np.ndarray, tokenizer) -> list[np.ndarray]:
     """The ids of texts that lie one after another, as tokenizer.encode(text, add_special_tokens=False) gives them.
 
-    This tokenizer drops white space before it splits, so that a text's ids are those of its blank-separated chunks.
-    A batch's chunks are numbered by Arrow, and only distinct ones are looked up; each worker keeps the ids of chunks
+    Where the tokenizer's description allows it (chunked), the ids are put together from those of the blank-separated
+    chunks; otherwise every text is encoded whole. A batch's chunks are numbered by Arrow, and only distinct ones are looked up; each worker keeps the ids of chunks
     that it has met. A text that holds a special token is encoded whole.
     """
-    cache: dict[bytes, bytes] = worker_cache().setdefault("word_ids", {})
+    kept = worker_cache()
+    if kept.get("told") is not tokenizer:
+        kept |= {"told": tokenizer, "chunked": chunked(tokenizer)}
+    if not kept["chunked"]:
+        whole = data.tobytes()
+        texts = [whole[s:e].decode("utf-8", "replace") for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    cache: dict[bytes, bytes] = kept.setdefault("word_ids", {})
     n, raw = len(data), data.tobytes()
     # a chunk ends after a blank or with its text
     mark = np.zeros(n + 1, bool)

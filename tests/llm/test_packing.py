@@ -60,3 +60,19 @@ def test_plan_places_every_piece_once_without_overlap(counts):
             assert offset == end
             end += length
         assert end <= 64
+
+
+def test_a_tokenizer_that_keeps_blanks_encodes_whole_texts():
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = ["Two  words\nand 12 more", "", " Blank", "É x^y"]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    for name, split in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        assert packing.chunked(tokenizer) is split
+        got = packing.token_ids(np.frombuffer(b"".join(raw), np.uint8), offsets, tokenizer)
+        assert [g.tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        packing.worker_cache().pop("word_ids", None)
