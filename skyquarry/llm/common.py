@@ -47,7 +47,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def released(df: DataFrame) -> None:
+    """Deletes a saved table that nothing will read any more, so that the steps of a loop do not pile up."""
+    spark = df.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def prepared(spark: SparkSession) -> None:
