@@ -178,7 +178,7 @@ def _fitting(pairs: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def _compared(it):
-    """Pairs whose sets are similar, of rows (a, b, point, n, grams) in the order of pairs; repeated rows of a point count once."""
+    """Pairs whose sets are similar, of rows (a, b, point, n, grams) in the order of pairs."""
     held: dict = {}
     now = None
 
@@ -216,7 +216,9 @@ def verified(pairs: DataFrame, docs: DataFrame, text_col: str, marks: DataFrame,
     slots = marks.join(need, "point", "left_semi").select(F.pmod("h", F.lit(1 << FILTER_BITS)).cast("int").alias("slot")).distinct().toArrow()
     wanted = np.zeros(1 << FILTER_BITS, bool)
     wanted[slots["slot"].to_numpy()] = True  # at most 2^FILTER_BITS small integers
-    rows = asks.join(_packed(docs, text_col, shingle, wanted), "point").select("a", "b", "point", "n", "grams")
+    # one row a point first: copies in many tasks must not multiply with the pairs
+    sets = _packed(docs, text_col, shingle, wanted).dropDuplicates(["point"])
+    rows = asks.join(sets, "point").select("a", "b", "point", "n", "grams")
     rows = rows.repartition("a", "b").sortWithinPartitions("a", "b")
     return saved(map_arrow(rows, _compared, "a long, b long"), "links")
 
