@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyquarry.llm import ann, decontaminate, language, packing, pitmanyor, quality, simhash, suffixes, urlfilter, warc
+from skyquarry.llm import ann, decontaminate, infill, language, negatives, packing, patterns, pitmanyor, quality, simhash, suffixes, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 #: Documents that score less are rejected.
@@ -99,6 +99,50 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = patterns.packed(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.rearranged(table(spark, sf_dir, "documents"))
+    digest = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(infill.restored(F.col("output"), F.col("form")), 256)}
+    return found.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", *(c.alias(k) for k, c in digest.items()))
+
+
+OP12_SQL = r"""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as lab, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where label is not null and embedding is not null and vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.vec_id as anchor, b.vec_id as other, a.lab = b.lab as same, coalesce(cast(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) as bigint), 0) as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+tops as (select anchor, other as positive, score as p from (select *, row_number() over (partition by anchor order by score desc, other) as n from pairs where same) where n <= 5),
+found as (
+  select t.anchor, t.positive, t.p, q.other, q.score, row_number() over (partition by t.anchor, t.positive order by q.score desc, q.other) as n
+  from tops t join pairs q on q.anchor = t.anchor and not q.same and 80 * t.p <= 100 * q.score and 100 * q.score <= 100 * t.p)
+select anchor as anchor_id, positive as positive_id, cast(n as int) as rank, other as negative_id, p as positive_score, score as negative_score from found where n <= 5
+"""
+
+OP13_SQL = r"""
+with d as (select doc_id, coalesce(text, '') as t, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+drawn as (select doc_id, t, string_split(t, chr(10)) as ls, [cast('0x' || substr(h, 8 * k + 1, 8) as bigint) for k in range(4)] as h from d),
+counted as (select *, case when t = '' then 0 when ends_with(t, chr(10)) then len(ls) - 1 else len(ls) end as n from drawn),
+placed as (select *, least(h[1] % (n + 1), h[2] % (n + 1)) as a, greatest(h[1] % (n + 1), h[2] % (n + 1)) as b from counted),
+cut as (select *, least(length(t), coalesce(list_sum(list_transform(ls[1:a], lambda x: length(x) + 1)), 0)) as x, least(length(t), coalesce(list_sum(list_transform(ls[1:b], lambda x: length(x) + 1)), 0)) as z from placed),
+formed as (select *, case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') then 'plain' when h[4] % 100 < 50 then 'spm' else 'psm' end as form from cut),
+parts as (select *, left(t, cast(x as bigint)) as p, substr(t, cast(x as bigint) + 1, cast(z - x as bigint)) as m, substr(t, cast(z as bigint) + 1) as s from formed)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then cast(x as bigint) end as prefix_chars, case when form <> 'plain' then cast(z - x as bigint) end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(t) as restored_sha256
+from parts
+"""
+
 OP2_SQL = r"""
 with d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
@@ -138,6 +182,6 @@ select page_id, octet_length(payload) as payload_bytes,
 from g
 """
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_suffixes, op4_simhash, op5_packing, op6_warc, op7_pitmanyor, op8_url_filter, op9_language, op10_nearest)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_suffixes, op4_simhash, op5_packing, op6_warc, op7_pitmanyor, op8_url_filter, op9_language, op10_nearest, op11_patterns, op12_negatives, op13_infill)}
 #: The others are learned, sampled or tokenized, or need a hash that SQL lacks: they are tested by brute force and held-out rows.
-ORACLE_SQL: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op3_suffixes": OP3_SQL, "op6_warc": OP6_SQL, "op8_url_filter": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op3_suffixes": OP3_SQL, "op6_warc": OP6_SQL, "op8_url_filter": OP8_SQL, "op12_negatives": OP12_SQL, "op13_infill": OP13_SQL}

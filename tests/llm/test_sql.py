@@ -10,7 +10,7 @@ from skyquarry.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_its_sql(spark, small, name):
     db = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         db.execute(f"create view {t} as select * from '{small}/{t}.parquet'")
     want, got = db.execute(queries.ORACLE_SQL[name]).df(), queries.QUERIES[name](spark, small).toPandas()
     assert sorted(want.columns) == sorted(got.columns)
