@@ -84,14 +84,6 @@ def write_results(rows: DataFrame, path: str, kind: str = "parquet") -> None:
     rows.write.partitionBy("map_id").format(kind).save(path)
 
 
-def checked_unit(unit: str, expected: str) -> str:
-    """unit, if it is one of the expected dimension: a temperature or a flux density. Else it raises."""
-    kinds = {"temperature": ("K", "mK", "uK"), "flux": ("Jy", "mJy", "uJy", "Jy/sr")}
-    if unit not in kinds[expected]:
-        raise ValueError(f"{unit} is no unit of a {expected}")
-    return unit
-
-
 def map_files(paths: DataFrame, column: str = "path") -> DataFrame:
     """Map files by day folder, band and array, with the paths of their sibling layers."""
     from skyquarry.functions.names import file_parts

@@ -30,8 +30,8 @@ def test_fits_round_trip(spark, tmp_path):
     (tmp_path / "c.fits").write_bytes(fits.encoded(np.ones((2, 4)), keys))
     with pytest.raises(Exception, match="another shape"):
         fits.read_map(spark, {"rho": str(tmp_path / "a.fits"), "kappa": str(tmp_path / "c.fits")}).collect()
-    out = fits.as_files(both.withColumn("map_id", F.lit("m")), "rho", 3, 4).first()
-    assert (fits.image(out["content"])[0] == data).all()
+    fits.write_maps(both.withColumn("map_id", F.lit("m")), ["rho"], 3, 4, str(tmp_path / "out"))
+    assert (tmp_path / "out" / "m_rho.fits").read_bytes() == fits.encoded(data)
 
 
 def test_catalogs(spark, tmp_path):
