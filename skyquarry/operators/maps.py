@@ -204,10 +204,15 @@ def annulus_snr(sources: DataFrame, pixels: DataFrame, half: int, inner: Column,
 
 def near_any(pixels: DataFrame, seeds: DataFrame, radius: int, box: bool = False) -> DataFrame:
     """pixels with `hit`: whether a seed pixel of the map lies within radius (or in the box of that half-width)."""
-    steps = [(dy, dx) for dy in range(-radius, radius + 1) for dx in range(-radius, radius + 1) if box or dy * dy + dx * dx <= radius * radius]
-    grown = seeds.select("map_id", "gy", "gx").distinct().withColumn("_d", F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y, x in steps])))
-    grown = grown.select("map_id", (F.col("gy") + F.col("_d.y")).cast("int").alias("gy"), (F.col("gx") + F.col("_d.x")).cast("int").alias("gx")).distinct().withColumn("hit", F.lit(True))
-    return pixels.join(grown, ["map_id", "gy", "gx"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    from skyquarry.operators.distance import nearest_seed
+
+    if box:  # along one axis, then along the other
+        steps = F.sequence(F.lit(-radius), F.lit(radius))
+        grown = seeds.select("map_id", "gx", F.explode(F.transform(steps, lambda d: (F.col("gy") + d).cast("int"))).alias("gy")).distinct()
+        grown = grown.select("map_id", "gy", F.explode(F.transform(steps, lambda d: (F.col("gx") + d).cast("int"))).alias("gx")).distinct()
+    else:
+        grown = nearest_seed(pixels, seeds, radius).drop("distance")
+    return pixels.join(grown.withColumn("hit", F.lit(True)), ["map_id", "gy", "gx"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
 
 
 def rendered(sources: DataFrame, half: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyquarry.functions import names, sky
-from skyquarry.operators import catalogs, joins, kernels, maps, sift, state
+from skyquarry.operators import catalogs, distance, joins, kernels, maps, sift, state
 from skyquarry.plans.queries import _COADD, _GX, _GY, _PIX, CUT, SEP, SIFT, _catalog, _located, _pixels, _whole, query, r
 from skyquarry.plans.views import duck, view
 
@@ -243,3 +243,10 @@ def segment_deblended(spark, sf):
     """Sources of each band's coadd, blended regions cut between their peaks."""
     p = view(spark, sf, "pixels_raw").groupBy(F.col("freq").alias("map_id"), "gy", "gx").agg((F.sum("rho") / F.sum("kappa")).alias("v"))
     return kernels.regions(p, "v", 0.5, deblend=True).select(F.col("map_id").alias("band"), "label", "n_pixels", r("peak").alias("peak"), r("x").alias("x"), r("y").alias("y"))
+
+
+@query(f", {_PIX}, weak as (select map_id, gy as sy, gx as sx from p where kappa < 2e1) select map_id, gy, gx, round(sqrt(min((sy - gy) ** 2 + (sx - gx) ** 2)), 6) as distance from p left join weak using (map_id) group by map_id, gy, gx", "pixels_raw")
+def weak_distance(spark, sf):
+    """Every pixel's distance to the nearest pixel of little weight in its map."""
+    p = _pixels(spark, sf).select("map_id", "gy", "gx", "kappa")
+    return distance.with_distance(p, p.where("kappa < 20")).select("map_id", "gy", "gx", r("distance").alias("distance"))
