@@ -137,10 +137,20 @@ def deblended(rows: DataFrame, value: str, rounds: int = 60) -> DataFrame:
     raise RuntimeError("ways did not end")
 
 
-def regions(pixels: DataFrame, value: str, threshold: float, at_least: int = 2, deblend: bool = False) -> DataFrame:
-    """Connected regions over the threshold (or, deblended, the parts around their peaks) with their peak, centroid, second moments, width, elongation and orientation."""
+def regions(pixels: DataFrame, value: str, threshold: float, at_least: int = 2, deblend: bool = False, contrast: float | None = None) -> DataFrame:
+    """Connected regions over the threshold with their peak, centroid, second moments, width, elongation and orientation.
+
+    With deblend they are cut into the parts around their peaks, with contrast into the branches of at least that share
+    of a region's sum (levels.level_deblended).
+    """
+    from skyquarry.operators.levels import level_deblended
+
     over = pixels.where((F.col(value) > threshold) & ~F.isnan(value))
-    marked = over.join(deblended(over, value) if deblend else labelled(over), ["map_id", "gy", "gx"])
+    if contrast is not None:
+        label = level_deblended(over, value, contrast=contrast, at_least=at_least)
+    else:
+        label = deblended(over, value) if deblend else labelled(over)
+    marked = over.join(label, ["map_id", "gy", "gx"])
     w = F.col(value)
     s = marked.groupBy("map_id", "label").agg(F.count("*").alias("n_pixels"), F.max(w).alias("peak"), F.sum(w).alias("sum"), F.sum(w * F.col("gx")).alias("sx"), F.sum(w * F.col("gy")).alias("sy"), F.sum(w * F.col("gx") * F.col("gx")).alias("sxx"), F.sum(w * F.col("gy") * F.col("gy")).alias("syy"), F.sum(w * F.col("gx") * F.col("gy")).alias("sxy"))
     s = s.where((F.col("n_pixels") >= at_least) & (F.col("sum") > 0)).withColumns({"x": F.col("sx") / F.col("sum"), "y": F.col("sy") / F.col("sum")})

@@ -250,3 +250,10 @@ def weak_distance(spark, sf):
     """Every pixel's distance to the nearest pixel of little weight in its map."""
     p = _pixels(spark, sf).select("map_id", "gy", "gx", "kappa")
     return distance.with_distance(p, p.where("kappa < 20")).select("map_id", "gy", "gx", r("distance").alias("distance"))
+
+
+@query()
+def segment_levels(spark, sf):
+    """Sources of each band's coadd, blended regions cut into the branches of their tree of levels."""
+    p = view(spark, sf, "pixels_raw").groupBy(F.col("freq").alias("map_id"), "gy", "gx").agg((F.sum("rho") / F.sum("kappa")).alias("v"))
+    return kernels.regions(p, "v", 0.5, contrast=0.02).select(F.col("map_id").alias("band"), "label", "n_pixels", r("peak").alias("peak"), r("x").alias("x"), r("y").alias("y"))
