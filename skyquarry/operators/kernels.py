@@ -45,15 +45,19 @@ def fit_gaussian(image: np.ndarray, noise: float = 1.0, centre: tuple[float, flo
     free = np.array([True, allow > 0, allow > 0, True, True, True, True])
     cost, damp = float(((z - gaussian(p, x, y)) ** 2).sum()), 1e-3
     for _ in range(rounds):
-        j = _jacobian(p, x, y)[:, free]
-        r = z - gaussian(p, x, y)
+        j, r = _jacobian(p, x, y), z - gaussian(p, x, y)
+        # what stands at a bound and would go beyond it does not take part in a step
+        slope = j.T @ r
+        go = free & ~((p <= low) & (slope < 0)) & ~((p >= high) & (slope > 0))
+        go[5] = True  # an angle has no bounds
+        j = j[:, go]
         h = j.T @ j
         try:
             step = np.linalg.solve(h + damp * np.diag(np.maximum(np.diag(h), 1e-12)), j.T @ r)
         except np.linalg.LinAlgError:
             return empty | {"failed": True, "reason": "singular"}
         new = p.copy()
-        new[free] += step
+        new[go] += step
         new[5] %= np.pi
         new = np.clip(new, low, high)
         new_cost = float(((z - gaussian(new, x, y)) ** 2).sum())
@@ -161,56 +165,82 @@ def regions(pixels: DataFrame, value: str, threshold: float, at_least: int = 2,
     return s.select("map_id", "label", "n_pixels", "peak", "x", "y", major.alias("sigma_major"), minor.alias("sigma_minor"), (0.5 * F.atan2(2 * F.col("mxy"), F.col("mxx") - F.col("myy"))).alias("theta"), F.when(major > 0, 1 - minor / major).alias("ellipticity"), (F.sqrt((major * major + minor * minor) / 2) * float(SIGMA_TO_FWHM)).alias("fwhm"))
 
 
+def window_splines(x: np.ndarray, y: np.ndarray, at: np.ndarray, window: float, least: int = 4, most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
+    """(values, counts) at each of `at` of the cubic splines with not-a-knot ends through all points within window of it.
 
-def cubic_spline(x: np.ndarray, y: np.ndarray, at: float) -> float:
-    """Interpolating cubic spline with not-a-knot ends (four points give the cubic through them)."""
-    n = len(x)
-    if n < 4:
-        return float("nan")
-    h, d = np.diff(x), np.diff(y) / np.diff(x)
-    a, r = np.zeros((n, n)), np.zeros(n)
-    for i in range(1, n - 1):
-        a[i, i - 1 : i + 2] = h[i], 2 * (h[i - 1] + h[i]), h[i - 1]
-        r[i] = 3 * (h[i] * d[i - 1] + h[i - 1] * d[i])
-    a[0, :3] = h[1] ** 2, h[1] ** 2 - h[0] ** 2, -(h[0] ** 2)
-    r[0] = 2 * (d[0] * h[1] ** 2 - d[1] * h[0] ** 2)
-    a[0, 0], a[0, 1], a[0, 2] = h[1] ** 2, h[1] ** 2 - h[0] ** 2, -(h[0] ** 2)
-    a[-1, -3], a[-1, -2], a[-1, -1] = h[-1] ** 2, h[-1] ** 2 - h[-2] ** 2, -(h[-2] ** 2)
-    r[-1] = 2 * (d[-2] * h[-1] ** 2 - d[-1] * h[-2] ** 2)
-    s = np.linalg.lstsq(a, r, rcond=None)[0]
-    i = int(np.clip(np.searchsorted(x, at) - 1, 0, n - 2))
-    t = (at - x[i]) / h[i]
-    return float((1 + 2 * t) * (1 - t) ** 2 * y[i] + t * (1 - t) ** 2 * h[i] * s[i] + t * t * (3 - 2 * t) * y[i + 1] + t * t * (t - 1) * h[i] * s[i + 1])
+    x ascends without repeats; y has a column for each curve. Fewer than `least` points give NaN. The systems have three
+    diagonals and are solved for many windows at once, of at most `most` points together with their padding.
+    """
+    first, last = np.searchsorted(x, at - window, "left"), np.searchsorted(x, at + window, "right")
+    count = last - first
+    out = np.full((len(at), y.shape[1]), np.nan)
+    todo = np.flatnonzero(count >= max(4, least))
+    todo = todo[np.argsort(count[todo], kind="stable")]
+    while len(todo):
+        part = todo[-max(1, most // int(count[todo[-1]])) :]
+        todo = todo[: len(todo) - len(part)]
+        n, m = count[part], int(count[part].max())
+        index = first[part][:, None] + np.minimum(np.arange(m), n[:, None] - 1)
+        px, py = x[index] - at[part][:, None], y[index]
+        h = np.diff(px, axis=1)
+        d = np.diff(py, axis=1) / np.where(h > 0, h, 1)[:, :, None]
+        # slopes: diag * s[j] + upper * s[j + 1] = right, from the first row on
+        upper, right = np.zeros((len(part), m)), np.zeros((len(part), m, y.shape[1]))
+        wide = h[:, 0] + h[:, 1]
+        upper[:, 0] = wide / h[:, 1]
+        right[:, 0] = (((h[:, 0] + 2 * wide) * h[:, 1])[:, None] * d[:, 0] + (h[:, 0] ** 2)[:, None] * d[:, 1]) / (wide * h[:, 1])[:, None]
+        for j in range(1, m):
+            a, b = h[:, j - 1], h[:, j] if j < m - 1 else h[:, j - 1]
+            low, diag, up, r = b, 2 * (a + b), a, 3 * (b[:, None] * d[:, j - 1] + a[:, None] * (d[:, j] if j < m - 1 else d[:, j - 1]))
+            end = n - 1 == j
+            if end.any():
+                c = h[:, j - 2] if j > 1 else a
+                both = a + c
+                low, diag, up = np.where(end, both, low), np.where(end, c, diag), np.where(end, 0, up)
+                tail = ((a**2)[:, None] * (d[:, j - 2] if j > 1 else d[:, 0]) + ((2 * both + a) * c)[:, None] * d[:, j - 1]) / np.where(end, both, 1)[:, None]
+                r = np.where(end[:, None], tail, r)
+            beyond = n - 1 < j
+            pivot = np.where(beyond, 1, diag - low * upper[:, j - 1])
+            upper[:, j] = np.where(beyond, 0, up / pivot)
+            right[:, j] = np.where(beyond[:, None], 0, (r - low[:, None] * right[:, j - 1]) / pivot[:, None])
+        for j in range(m - 2, -1, -1):
+            right[:, j] -= np.where(n - 1 > j, upper[:, j], 0)[:, None] * right[:, j + 1]
+        i = np.clip((px < 0).sum(1) - 1, 0, n - 2)
+        k = np.arange(len(part))
+        step = h[k, i]
+        t = (-px[k, i] / step)[:, None]
+        y0, y1, s0, s1, step = py[k, i], py[k, i + 1], right[k, i], right[k, i + 1], step[:, None]
+        out[part] = (1 + 2 * t) * (1 - t) ** 2 * y0 + t * (1 - t) ** 2 * step * s0 + t * t * (3 - 2 * t) * y1 + t * t * (t - 1) * step * s1
+    return out, count
 
 
 def interpolated(asks: DataFrame, ephemerides: DataFrame, window_days: float, least: int = 4) -> DataFrame:
-    """asks (ask_id, designation, target_jd) with the object's spline position; null with fewer than `least` rows in the window.
+    """asks (ask_id, designation, target_jd) with the object's spline position through all rows of the window; null with fewer than `least` of them.
 
-    Only rows within the window meet their ask, by day buckets, so that a group is one ask's window.
+    Asks without a row in their window are left out; of rows of one time the least (RA, declination) counts. Distinct
+    targets meet the rows of their object within ranges as wide as the window, so that a group holds an object's rows of
+    three windows, each of them once.
     """
-    near = asks.withColumn("_day", F.explode(F.sequence(F.floor(F.col("target_jd") - window_days).cast("long"), F.floor(F.col("target_jd") + window_days).cast("long"))))
-    near = near.join(ephemerides.withColumn("_day", F.floor("julian_day").cast("long")), ["designation", "_day"]).where(F.abs(F.col("julian_day") - F.col("target_jd")) <= window_days)
-    # the 16 rows on either side decide the spline at the target
-    side = Window.partitionBy("ask_id", F.col("julian_day") < F.col("target_jd")).orderBy(F.abs(F.col("julian_day") - F.col("target_jd")), "ra_deg")
-    near = near.withColumn("_n", F.row_number().over(side)).where("_n <= 16")
-
-    # at most 32 rows an ask
-    rows = near.groupBy("ask_id", "designation", "target_jd").agg(F.array_sort(F.collect_set(F.struct("julian_day", "ra_deg", "dec_deg"))).alias("rows"))
-
-    def splines(it):
-        for pdf in it:
-            out = []
-            for at, rows in zip(pdf["target_jd"], pdf["rows"], strict=True):
-                points = {r["julian_day"] - at: r for r in reversed(rows)}
-                x = np.array(sorted(points))
-                fine = len(x) >= least
-                ra = np.degrees(np.unwrap(np.radians([points[t]["ra_deg"] for t in x])))
-                dec = np.array([points[t]["dec_deg"] for t in x])
-                out.append((cubic_spline(x, ra, 0.0) % 360 if fine else np.nan, cubic_spline(x, dec, 0.0) if fine else np.nan, len(x)))
-            yield pd.DataFrame({"ask_id": pdf["ask_id"], "designation": pdf["designation"], "target_jd": pdf["target_jd"], "ra_deg": [o[0] for o in out], "dec_deg": [o[1] for o in out], "n_points": [o[2] for o in out]})
-
-    kinds = {f.name: f.dataType.simpleString() for f in asks.schema.fields}
-    return rows.mapInPandas(splines, f"ask_id {kinds['ask_id']}, designation {kinds['designation']}, target_jd double, ra_deg double, dec_deg double, n_points int")
+    asks = asks.withColumn("target_jd", F.col("target_jd").cast("double"))
+    bucket = lambda c: F.floor(c / window_days).cast("long")
+    targets = asks.select("designation", "target_jd").where("target_jd is not null").distinct().withColumn("_b", bucket(F.col("target_jd")))
+    here = bucket(F.col("julian_day"))
+    rows = ephemerides.where("julian_day is not null and ra_deg is not null and dec_deg is not null").select("designation", F.col("julian_day").cast("double").alias("julian_day"), "ra_deg", "dec_deg", F.explode(F.sequence(here - 1, here + 1)).alias("_b"))
+    # ranges without a target need no rows
+    rows = rows.join(targets.select("designation", "_b").distinct(), ["designation", "_b"], "left_semi")
+    kind = asks.schema["designation"].dataType.simpleString()
+
+    def splines(key: tuple, ask: pd.DataFrame, row: pd.DataFrame) -> pd.DataFrame:
+        row = row.sort_values(["julian_day", "ra_deg", "dec_deg"]).drop_duplicates("julian_day")
+        ra = np.degrees(np.unwrap(np.radians(row["ra_deg"].to_numpy(float))))
+        at = ask["target_jd"].to_numpy()
+        found, n = window_splines(row["julian_day"].to_numpy(), np.column_stack([ra, row["dec_deg"].to_numpy(float)]), at, window_days, least)
+        out = pd.DataFrame({"designation": key[0], "target_jd": at, "ra_deg": found[:, 0] % 360, "dec_deg": found[:, 1], "n_points": n})
+        return out[out["n_points"] > 0]
+
+    met = targets.groupBy("designation", "_b").cogroup(rows.groupBy("designation", "_b"))
+    found = met.applyInPandas(splines, f"designation {kind}, target_jd double, ra_deg double, dec_deg double, n_points int")
+    return asks.select("ask_id", "designation", "target_jd").join(found, ["designation", "target_jd"]).select("ask_id", "designation", "target_jd", "ra_deg", "dec_deg", "n_points")
 
 
 def polynomial_pointing(sources: DataFrame, order: int, snr_at_least: float = 5.0, sigma: float = 3.0, rounds: int = 3, by: str = "map_id") -> DataFrame:
@@ -335,20 +365,3 @@ def filtered(pixels: DataFrame, nx: int, ny: int, fwhm_pix: float, block: int =
     parts = spread.select("map_id", F.col("_b.band").alias("band"), "gy", "gx", F.col(image).cast("double").alias("v"), F.col(ivar).cast("double").alias("w"))
     done = parts.groupBy("map_id", "band").applyInPandas(run, f"map_id {kind}, gy int, gx int, rho double, kappa double")
     return done.groupBy("map_id", "gy", "gx").agg(F.sum("rho").alias("rho"), F.sum("kappa").alias("kappa"))
-
-
-def edge_filled(image: np.ndarray) -> np.ndarray:
-    """Pixels that are finite and not zero, with holes (regions of others that do not reach the border) filled."""
-    bad = ~(np.isfinite(image) & (image != 0))
-    reach = np.zeros_like(bad)
-    reach[0], reach[-1], reach[:, 0], reach[:, -1] = bad[0], bad[-1], bad[:, 0], bad[:, -1]
-    while True:
-        grown = reach.copy()
-        grown[1:] |= reach[:-1]
-        grown[:-1] |= reach[1:]
-        grown[:, 1:] |= reach[:, :-1]
-        grown[:, :-1] |= reach[:, 1:]
-        grown &= bad
-        if (grown == reach).all():
-            return ~reach
-        reach = grown

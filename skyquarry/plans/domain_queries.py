@@ -120,9 +120,13 @@ def distinct_sets(spark, sf):
     return view(spark, sf, "maps").groupBy("freq").agg(F.count_distinct("arr").alias("arrays"), F.count_distinct("ra_tile").alias("tiles"), F.array_join(F.array_sort(F.collect_set("arr")), ",").alias("names"))
 
 
-@query("select map_ord, count(*) filter (snr >= 8) as fitted, count(*) filter (snr < 8 or snr is null) as failed from detections group by map_ord", "detections")
+@query(f", {_PIX}, stamps as (select map_id, source_id, count(*) as n from (select source_id, source_id % 24 as map_id, source_id * 7 % 60 + dy as gy, source_id * 11 % 60 + dx as gx from catalog_sources, unnest(range(-3, 4)) a(dy), unnest(range(-3, 4)) b(dx)) join p using (map_id, gy, gx) group by all) select map_id, case when n = 49 then 'fitted' else 'flux_thumb_has_nan' end as reason, count(*) as n from stamps group by all", "catalog_sources", "pixels_raw")
 def fit_counts(spark, sf):
-    return view(spark, sf, "detections").groupBy("map_ord").agg(F.count_if(F.col("snr") >= 8).alias("fitted"), F.count_if(F.coalesce(F.col("snr") < 8, F.lit(True))).alias("failed"))
+    """Gaussian fits of the sources' stamps by map: those made, and those that failed by reason."""
+    from skyquarry.plans.more_queries import fitted_sources
+
+    fits = fitted_sources(spark, sf)
+    return fits.groupBy((F.col("source_id") % 24).alias("map_id"), F.coalesce("reason", F.lit("fitted")).alias("reason")).agg(F.count("*").alias("n"))
 
 
 @query("select det_id as source_id, round(flux_mjy, 4) as flux, round(flux_mjy / snr + 3e-8, 5) as err_flux from detections", "detections")

@@ -16,9 +16,9 @@ def map_names(spark, sf):
     return view(spark, sf, "maps").select("map_id", names.map_id(F.col("freq"), F.col("arr"), F.col("obs_start")).alias("name"), F.round(sky.julian_day(F.col("obs_start")), 5).alias("jd"))
 
 
-@query("select map_id, cast(cast(floor(obs_start) as bigint) as varchar) as unix, 'pa5' as arr, freq, case map_id % 3 when 0 then 'rho' when 1 then 'kappa' else 'ivar' end as layer from maps where obs_start >= 100000000", "maps")
+@query("select map_id, regexp_extract(cast(cast(floor(obs_start) as bigint) as varchar), '[0-9]{9,10}') as unix, 'pa5' as arr, freq, case map_id % 3 when 0 then 'rho' when 1 then 'kappa' else 'ivar' end as layer from maps", "maps")
 def file_names(spark, sf):
-    m = view(spark, sf, "maps").where("obs_start >= 100000000")
+    m = view(spark, sf, "maps")
     kind = F.when(F.col("map_id") % 3 == 0, "rho").when(F.col("map_id") % 3 == 1, "kappa").otherwise("ivar")
     path = F.concat(F.lit("/d/depth1_"), F.floor("obs_start").cast("string"), F.lit("_pa5_"), F.col("freq"), F.lit("_"), kind, F.lit(".fits"))
     p = names.file_parts(path)
@@ -53,10 +53,10 @@ def freq_array_splits(spark, sf):
     return m.unionByName(whole)
 
 
-@query(f", {_PIX}, a as (select gy, gx, flux from p where map_id = 0), b as (select gy, gx, flux from p where map_id = 1) select gy, gx, round(coalesce(a.flux, 0e0) + coalesce(b.flux, 0e0) + 3e-8, 5) as total, round(greatest(a.flux, b.flux) + 3e-8, 5) as top from a full join b using (gy, gx)", "pixels_raw")
+@query(f", {_PIX} select gy, gx, round(sum(flux) + 3e-8, 5) as total, round(max(flux) + 3e-8, 5) as top from p group by gy, gx", "pixels_raw")
 def map_union(spark, sf):
-    p = _pixels(spark, sf).where("map_id < 2")
-    return p.groupBy("gy", "gx").agg(F.round(F.sum("flux") + 3e-8, 5).alias("total"), F.round(F.max("flux") + 3e-8, 5).alias("top"))
+    """Sum and maximum of all maps over the union of their footprints."""
+    return _pixels(spark, sf).groupBy("gy", "gx").agg(F.round(F.sum("flux") + 3e-8, 5).alias("total"), F.round(F.max("flux") + 3e-8, 5).alias("top"))
 
 
 @query("select source_id, round(avg(t_unix), 3) as mean_time, count(distinct band) as bands from light_curves group by source_id", "light_curves")
@@ -86,12 +86,12 @@ def thumbnails(spark, sf):
     return t.select("map_id", "source_id", F.col("dy").cast("long").alias("dy"), F.col("dx").cast("long").alias("dx"), F.round(F.col("v") + 3e-8, 5).alias("v"))
 
 
-@query("select source_id, dy, dx, round(sum(flux * w) / sum(w) + 3e-8, 5) as v, count(distinct map_id) as n_maps from (select s.source_id, p.map_id, p.gy - s.sy as dy, p.gx - s.sx as dx, p.flux, p.kappa as w from (select source_id, source_id * 7 % 60 as sy, source_id * 11 % 60 as sx from catalog_sources where flux_mjy > 95e1) s join (select map_id, gy, gx, sum(rho) / sum(kappa) as flux, sum(kappa) as kappa from pixels_raw group by map_id, gy, gx) p on abs(p.gy - s.sy) <= 1 and abs(p.gx - s.sx) <= 1) group by source_id, dy, dx", "catalog_sources", "pixels_raw")
+@query("select source_id, dy, dx, round(sum(flux * w) / sum(w) + 3e-8, 5) as v, count(distinct map_id) as n_maps from (select s.source_id, p.map_id, s.dy, s.dx, p.flux, p.kappa as w from (select source_id, dy, dx, source_id * 7 % 60 + dy as gy, source_id * 11 % 60 + dx as gx from catalog_sources, unnest([-1, 0, 1]) a(dy), unnest([-1, 0, 1]) b(dx)) s join (select map_id, gy, gx, sum(rho) / sum(kappa) as flux, sum(kappa) as kappa from pixels_raw group by map_id, gy, gx) p using (gy, gx)) group by source_id, dy, dx", "catalog_sources", "pixels_raw")
 def stacked_stamps(spark, sf):
     """Inverse-variance stacks of the sources' stamps over all maps."""
     p = _pixels(spark, sf)
-    s = view(spark, sf, "catalog_sources").where("flux_mjy > 950").select("source_id", (F.col("source_id") * 7 % 60).cast("int").alias("gy"), (F.col("source_id") * 11 % 60).cast("int").alias("gx"))
-    s = s.withColumn("map_id", F.explode(F.sequence(F.lit(0), F.lit(23)))).withColumn("map_id", F.col("map_id").cast("long"))  # the table's 24 maps
+    s = view(spark, sf, "catalog_sources").select("source_id", (F.col("source_id") * 7 % 60).cast("int").alias("gy"), (F.col("source_id") * 11 % 60).cast("int").alias("gx"))
+    s = s.join(F.broadcast(p.select("map_id").distinct()))  # the table's maps, 24 whatever its size
     t, w = stamps.thumbnails(s, p, 1), stamps.thumbnails(s, p, 1, "kappa").withColumnRenamed("v", "w")
     out = stamps.stacked(t, w)
     return out.select("source_id", F.col("dy").cast("long").alias("dy"), F.col("dx").cast("long").alias("dx"), F.round(F.col("v") + 3e-8, 5).alias("v"), "n_maps")
@@ -139,7 +139,7 @@ def moving_refined(spark, sf):
     i = F.col("map_id")
     asks = view(spark, sf, "maps").select(i.alias("ask_id"), (i % 20).alias("designation"), (F.lit(2460312.5) + i % 25).cast("double").alias("jd"))
     times = view(spark, sf, "pixels_raw").groupBy("gy", "gx").agg(F.min("t_unix").alias("t")).select("gy", "gx", (F.lit(2460311.0) + F.pmod(F.col("t") / 86400.0, F.lit(29.0))).alias("pixel_jd"))
-    return moving.refined(asks, moving.segments(view(spark, sf, "ephemerides")), times, sky.pixel(F.col("ra_deg"), F.col("dec_deg"), **GRID), rounds=4)
+    return moving.refined(asks, moving.segments(view(spark, sf, "ephemerides")), times, sky.pixel(F.col("ra_deg"), F.col("dec_deg"), **GRID))
 
 
 @query("select event_id, row_number() over (partition by source_id order by t_unix, event_id) as idx from light_curves where abs(t_unix - 1705276800e0) < 7 * 86400e0", "light_curves")

@@ -140,14 +140,14 @@ def test_matched_filter_peaks_at_the_source_and_bands_merge(spark):
     assert (got["gy"], got["gx"]) == (33, 30)
 
 
-def test_edge_map_fills_holes():
-    image = np.zeros((12, 12))
-    image[2:10, 2:10] = 1
-    image[4:6, 4:6] = 0
-    image[7, 7] = np.nan
-    want = np.zeros((12, 12), bool)
-    want[2:10, 2:10] = True
-    assert (kernels.edge_filled(image) == want).all()
+def test_footprint_fills_holes(spark):
+    image = np.zeros((12, 12), bool)
+    image[2:10, 2:10] = True
+    image[4:6, 4:6] = False
+    image[7, 7] = False
+    rows = spark.createDataFrame([(1, int(y), int(x)) for y, x in np.argwhere(image)], "map_id long, gy int, gx int")
+    got = {(r["gy"], r["gx"]) for r in maps.outside(rows, 12, 12).collect()}
+    assert got == {(y, x) for y in range(12) for x in range(12) if not (2 <= y < 10 and 2 <= x < 10)}
 
 
 def test_groups_fold_and_components(spark):

@@ -9,6 +9,9 @@ from skyquarry.plans import queries as q
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
+#: Their values are checked by brute force in test_values.py and test_levels.py.
+CHECKED = {"nwise_groups", "ephem_spline", "segment", "segment_levels", "gauss_fit", "poly_pointing", "moving_refined", "hash_sample"}
+
 
 def rows(df):
     df = df.reindex(sorted(df.columns), axis=1).astype(object)
@@ -27,7 +30,8 @@ def duck(small):
 def test_query(spark, duck, small, name):
     got = q.QUERIES[name](spark, small)
     if name not in q.ORACLE_SQL:
-        assert got.limit(1).count() == 1 and got.columns
+        if name not in CHECKED:
+            assert got.limit(1).count() == 1 and got.columns
         return
     want = duck.execute(q.ORACLE_SQL[name]).df()
     got = got.toPandas()
