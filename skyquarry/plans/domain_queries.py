@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyquarry.functions import names, sky
-from skyquarry.operators import catalogs, distance, joins, kernels, maps, sift, state
+from skyquarry.operators import catalogs, distance, filters, joins, kernels, maps, sift, state
 from skyquarry.plans.queries import _COADD, _GX, _GY, _PIX, CUT, SEP, SIFT, _catalog, _located, _pixels, _whole, query, r
 from skyquarry.plans.views import duck, view
 
@@ -261,3 +261,22 @@ def segment_levels(spark, sf):
     """Sources of each band's coadd, blended regions cut into the branches of their tree of levels."""
     p = view(spark, sf, "pixels_raw").groupBy(F.col("freq").alias("map_id"), "gy", "gx").agg((F.sum("rho") / F.sum("kappa")).alias("v"))
     return kernels.regions(p, "v", 0.5, contrast=0.02).select(F.col("map_id").alias("band"), "label", "n_pixels", r("peak").alias("peak"), r("x").alias("x"), r("y").alias("y"))
+
+
+@query()
+def filter_tiles(spark, sf):
+    """Matched-filtered maps on tiles cut along both axes, with the noise that the maps show."""
+    return filters.filter_maps(_pixels(spark, sf), 60, 60, 30.0, 60.0, block=32, overlap=12, lres=(60, 60), edge=2, closing=1, bright=150.0, bright_radius=1, hole=1)
+
+
+_TILE = "(select map_id, gy, gx, gy // 20 as ty, gx // 20 as tx, flux * sqrt(kappa) as v from p where kappa > 0)"
+_AXIS = "(select unnest(range(0, 20)) as f)"
+
+
+@query(f", {_PIX}, t as {_TILE}, along as (select map_id, ty, tx, gy, f as fx, sum(v * cos(2e0 * pi() * f * (gx - 20 * tx) / 2e1)) as re, -sum(v * sin(2e0 * pi() * f * (gx - 20 * tx) / 2e1)) as im from t, {_AXIS} group by all), both_ as (select map_id, ty, tx, fx, f as fy, sum(re * cos(2e0 * pi() * f * (gy - 20 * ty) / 2e1) + im * sin(2e0 * pi() * f * (gy - 20 * ty) / 2e1)) as re, sum(im * cos(2e0 * pi() * f * (gy - 20 * ty) / 2e1) - re * sin(2e0 * pi() * f * (gy - 20 * ty) / 2e1)) as im from along, {_AXIS} group by all), seen as (select map_id, ty, tx, count(*) as n from t group by all) select map_id, cast(least(fy, 20 - fy) // 3 as bigint) as \"by\", cast(least(fx, 20 - fx) // 2 as bigint) as bx, round(avg((re * re + im * im) / n) + 3e-8, 5) as power, count(*) as n from both_ join seen using (map_id, ty, tx) group by 1, 2, 3", "pixels_raw")
+def noise_blocks(spark, sf):
+    """The maps' noise spectrum over blocks of multipoles, from tiles of 20 by 20 pixels of half a degree."""
+    ready = filters.apodised(_pixels(spark, sf), 60, 60)
+    # a frequency of a tile is 36 multipoles
+    found = filters.noise_spectrum(ready, 60, 60, 30.0, block=20, lres=(3 * 36.0, 2 * 36.0))
+    return found.withColumn("power", F.round(F.col("power") + 3e-8, 5))
