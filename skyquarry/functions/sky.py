@@ -87,6 +87,28 @@ def pixel(ra: Column, dec: Column, crval_ra: float, crpix_x: float, cdelt_ra: fl
     return cut(y), cut(x)
 
 
+def pixel_at(ra: Column, dec: Column, crval_ra: float, crpix_x: float, cdelt_ra: float, crpix_y: float, cdelt_dec: float) -> tuple[Column, Column]:
+    """(y, x) of a position in pixels, not rounded."""
+    x = ra_signed(F.pmod(ra - F.lit(crval_ra), F.lit(360.0))) / F.lit(cdelt_ra) + F.lit(crpix_x - 1)
+    return dec / F.lit(cdelt_dec) + F.lit(crpix_y - 1), x
+
+
+def tangent(ra: Column, dec: Column, ra0: Column, dec0: Column) -> tuple[Column, Column]:
+    """(xi, eta) in degrees of a position on the plane that touches the sky at (ra0, dec0); null from 90 degrees on."""
+    d, d0, a = F.radians(dec), F.radians(dec0), F.radians(ra - ra0)
+    c = F.sin(d0) * F.sin(d) + F.cos(d0) * F.cos(d) * F.cos(a)
+    on = lambda v: F.when(c > 0, F.degrees(v / c))
+    return on(F.cos(d) * F.sin(a)), on(F.cos(d0) * F.sin(d) - F.sin(d0) * F.cos(d) * F.cos(a))
+
+
+def from_tangent(xi: Column, eta: Column, ra0: Column, dec0: Column) -> tuple[Column, Column]:
+    """(ra, dec) in degrees of a place on the plane that touches the sky at (ra0, dec0)."""
+    x, y, d0 = F.radians(xi), F.radians(eta), F.radians(dec0)
+    across = F.cos(d0) - y * F.sin(d0)
+    ra = F.pmod(ra0 + F.degrees(F.atan2(x, across)), F.lit(360.0))
+    return ra, F.degrees(F.atan2(F.sin(d0) + y * F.cos(d0), F.sqrt(x * x + across * across)))
+
+
 def position(gy: Column, gx: Column, crval_ra: float, crpix_x: float, cdelt_ra: float, crpix_y: float, cdelt_dec: float) -> tuple[Column, Column]:
     """(ra, dec) of a pixel's centre, right ascension in [0, 360)."""
     ra = F.pmod((gx - F.lit(crpix_x - 1)) * F.lit(cdelt_ra) + F.lit(crval_ra), F.lit(360.0))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from skyquarry.operators.distance import with_distance
 from skyquarry.operators.kernels import SIGMA_TO_FWHM, ramps
+from skyquarry.sources.tables import saved
 
 ARCMIN = np.pi / 180.0 / 60.0
 
@@ -26,7 +27,7 @@ def grid_of(maps: DataFrame, ny: int, nx: int) -> DataFrame:
 
 def closed(hits: DataFrame, ny: int, nx: int, radius: float) -> DataFrame:
     """(map_id, gy, gx) of the hit pixels with holes up to twice the radius filled: grown by the radius, then shrunk by it."""
-    grown = with_distance(grid_of(hits, ny, nx), hits, radius)
+    grown = saved(with_distance(grid_of(hits, ny, nx), hits, radius), "grown")
     inside, beyond = grown.where("distance is not null").drop("distance"), grown.where("distance is null").drop("distance")
     return with_distance(inside, beyond, radius).where("distance is null").drop("distance")
 
@@ -49,8 +50,10 @@ def apodised(pixels: DataFrame, ny: int, nx: int, closing: float = 0, edge: floa
     v, w = F.col(image).cast("double"), F.col(ivar).cast("double")
     finite = ~F.isnan(v) & ~F.isnan(w) & (F.abs(v) < float("inf")) & (w < float("inf")) & (w > 0)
     rows = pixels.select("map_id", F.col("gy").cast("int").alias("gy"), F.col("gx").cast("int").alias("gx"), F.when(finite, v).otherwise(0.0).alias("v"), F.when(finite, w).otherwise(0.0).alias("w"))
+    # each step is read more than once by the next
+    rows = saved(rows, "rows")
     hits = rows.where("w > 0").select("map_id", "gy", "gx")
-    inside = closed(hits, ny, nx, closing) if closing > 0 else hits
+    inside = saved(closed(hits, ny, nx, closing), "inside") if closing > 0 else hits
     out = inside.join(rows, ["map_id", "gy", "gx"], "left").fillna(0.0, ["v", "w"])
     if edge > 0:
         beyond = grid_of(hits, ny, nx).join(inside, ["map_id", "gy", "gx"], "left_anti")
@@ -60,6 +63,7 @@ def apodised(pixels: DataFrame, ny: int, nx: int, closing: float = 0, edge: floa
         out = out.withColumn("edge", F.lit(1.0))
     marks = [] if masked is None else [masked.select("map_id", F.col("gy").cast("int").alias("gy"), F.col("gx").cast("int").alias("gx"))]
     if bright is not None:
+        out = saved(out, "inside")
         near = with_distance(out.select("map_id", "gy", "gx"), out.where(F.abs("v") > bright), bright_radius)
         marks.append(near.where("distance is not null").select("map_id", "gy", "gx"))
     if not marks:
@@ -159,8 +163,6 @@ def filter_maps(pixels: DataFrame, ny: int, nx: int, step_arcmin: float, fwhm_ar
     """
     if fwhm_arcmin is None and profile is None:
         raise ValueError("a filter needs a beam: its width or its profile")
-    from skyquarry.sources.tables import saved
-
     ready = saved(apodised(pixels, ny, nx, closing, edge, hole, bright, bright_radius, masked, image, ivar), "apodised")
     rows, columns = ramps(ny, block, overlap), ramps(nx, block, overlap)
     cut = tiled(ready, ny, nx, block, overlap)

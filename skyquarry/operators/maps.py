@@ -188,6 +188,24 @@ def block_rms(pixels: DataFrame, size: int, value: str = "flux", sigma: float =
     return per.withColumn("relative", F.try_divide(F.col("rms"), F.median("rms").over(Window.partitionBy("map_id"))))
 
 
+def flat_fielded(pixels: DataFrame, size: int, value: str = "flux", sigma: float = 3.0, rounds: int = 3) -> DataFrame:
+    """pixels with relative_rms, the map's coarse noise brought back to every pixel, and their snr divided by it.
+
+    block_rms is the coarse map. Between the middles of its blocks the relative noise is linear along both axes; blocks
+    without a value do not count, and a pixel of which none of the four has one keeps its snr.
+    """
+    coarse = block_rms(pixels, size, value, sigma, rounds).select("map_id", F.col("by").alias("_by"), F.col("bx").alias("_bx"), F.col("relative").alias("_r")).where("_r > 0")
+    ends = lambda c: (F.col(c) + 0.5) / size - 0.5
+    near = pixels.select("map_id", "gy", "gx").distinct()
+    for axis, c in (("_by", "gy"), ("_bx", "gx")):
+        low = F.floor(ends(c))
+        pair = F.array(F.struct(low.alias("i"), (1.0 - (ends(c) - low)).alias("w")), F.struct((low + 1).alias("i"), (ends(c) - low).alias("w")))
+        near = near.withColumn(f"{axis}w", F.explode(pair)).withColumn(axis, F.col(f"{axis}w.i")).withColumn(f"{axis}w", F.col(f"{axis}w.w"))
+    w = F.col("_byw") * F.col("_bxw")
+    found = near.where(w > 0).join(coarse, ["map_id", "_by", "_bx"]).groupBy("map_id", "gy", "gx").agg((F.sum(w * F.col("_r")) / F.sum(w)).alias("relative_rms"))
+    return pixels.join(found, ["map_id", "gy", "gx"], "left").withColumn("snr", F.col("snr") / F.coalesce("relative_rms", F.lit(1.0)))
+
+
 def annulus_snr(sources: DataFrame, pixels: DataFrame, half: int, inner: Column, snr_cut: float = 5.0, ratio_cut: float = 10.0, value: str = "flux") -> DataFrame:
     """sources (map_id, source_id, gy, gx, peak, snr) with the noise of the box around them outside `inner` pixels, and the new snr."""
     size = 2 * half + 1

@@ -21,6 +21,22 @@ def thumbnails(sources: DataFrame, pixels: DataFrame, half: int, value: str = "f
     return near.where((F.abs("dy") <= half) & (F.abs("dx") <= half)).select("map_id", "source_id", "dy", "dx", "v")
 
 
+def tangent_stamps(sources: DataFrame, coefs: DataFrame, half: int, step_deg: float, ny: int, nx: int, geometry: dict) -> DataFrame:
+    """sources (map_id, source_id, ra_deg, dec_deg) with a stamp (dy, dx, v) on the plane that touches the sky at each.
+
+    The pixels lie step_deg apart, eastward by dx and northward by dy; their values are the map's spline (coefs of
+    spline2d.coefficients) at where they are seen. Pixels outside the map are absent.
+    """
+    from skyquarry.functions import sky
+    from skyquarry.operators.spline2d import at_positions
+
+    steps = F.sequence(F.lit(-half), F.lit(half))
+    spread = sources.withColumn("dy", F.explode(steps)).withColumn("dx", F.explode(steps))
+    ra, dec = sky.from_tangent(F.col("dx") * step_deg, F.col("dy") * step_deg, F.col("ra_deg"), F.col("dec_deg"))
+    y, x = sky.pixel_at(ra, dec, **geometry)
+    return at_positions(spread.select("map_id", "source_id", "dy", "dx", y.alias("y"), x.alias("x")), coefs, ny, nx, ["source_id", "dy", "dx"], name="v")
+
+
 def as_arrays(thumbs: DataFrame, half: int) -> DataFrame:
     """Thumbnails as arrays by row, NaN where a pixel is missing; an array has (2 half + 1)^2 values."""
     size = 2 * half + 1

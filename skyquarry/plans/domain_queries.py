@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyquarry.functions import names, sky
-from skyquarry.operators import catalogs, distance, filters, joins, kernels, maps, sift, state
-from skyquarry.plans.queries import _COADD, _GX, _GY, _PIX, CUT, SEP, SIFT, _catalog, _located, _pixels, _whole, query, r
+from skyquarry.operators import catalogs, distance, filters, joins, kernels, maps, sift, spline2d, stamps, state
+from skyquarry.plans.queries import _COADD, _GX, _GY, _PIX, CUT, SEP, GRID, SIFT, _block_sql, _catalog, _located, _pixels, _whole, query, r
 from skyquarry.plans.views import duck, view
 
 
@@ -280,3 +280,47 @@ def noise_blocks(spark, sf):
     # a frequency of a tile is 36 multipoles
     found = filters.noise_spectrum(ready, 60, 60, 30.0, block=20, lres=(3 * 36.0, 2 * 36.0))
     return found.withColumn("power", F.round(F.col("power") + 3e-8, 5))
+
+
+_KERN = "kern as (select i, 59 - abs(59 - abs(i + k)) as j, sum(sqrt(3e0) * pow(sqrt(3e0) - 2e0, abs(k))) as h from (select unnest(range(0, 60)) as i), (select unnest(range(-30, 31)) as k) group by all), coef as (select b.i as gy, gx, sum(v * b.h) as c from (select gy, a.i as gx, sum(v * a.h) as v from m join kern a on a.j = m.gx group by all) t join kern b on b.j = t.gy group by all)"
+_WEIGHT = "case k when -1 then pow(1e0 - {t}, 3) / 6e0 when 0 then (4e0 - 6e0 * pow({t}, 2) + 3e0 * pow({t}, 3)) / 6e0 when 1 then (4e0 - 6e0 * pow(1e0 - {t}, 2) + 3e0 * pow(1e0 - {t}, 3)) / 6e0 else pow({t}, 3) / 6e0 end"
+
+
+def _four(name: str, c: str) -> str:
+    return f"{name} as (select source_id, cast(59 - abs(59 - abs(floor({c}) + k)) as int) as g, {_WEIGHT.format(t=f'({c} - floor({c}))')} as w from at_, (select unnest([-1, 0, 1, 2]) as k))"
+
+
+@query(f", {_COADD}, m as (select gy, gx, rho / kappa as v from coadd where kappa > 0), {_KERN}, at_ as (select * from (select source_id, dec_deg / 2e0 + 30e0 as y, (case when ((ra_deg - 18e1) % 36e1 + 36e1) % 36e1 > 18e1 then ((ra_deg - 18e1) % 36e1 + 36e1) % 36e1 - 36e1 else ((ra_deg - 18e1) % 36e1 + 36e1) % 36e1 end) / -6e0 + 30e0 as x from catalog_sources) where y between 0 and 59 and x between 0 and 59), {_four('fy', 'y')}, {_four('fx', 'x')} select source_id, round(sum(fy.w * fx.w * coalesce(c, 0e0)) + 3e-8, 5) as flux from fy join fx using (source_id) left join coef on coef.gy = fy.g and coef.gx = fx.g group by source_id", "pixels_raw", "catalog_sources")
+def spline_photometry(spark, sf):
+    """The coadd's flux at each source's own position, between pixels, by cubic splines."""
+    m = maps.with_flux_snr(_whole(spark, sf).where("kappa > 0")).select(F.lit(0).alias("map_id"), "gy", "gx", "flux")
+    y, x = sky.pixel_at(F.col("ra_deg"), F.col("dec_deg"), **GRID)
+    at = view(spark, sf, "catalog_sources").select(F.lit(0).alias("map_id"), "source_id", y.alias("y"), x.alias("x"))
+    out = spline2d.at_positions(at, spline2d.coefficients(m, "flux", 60, 60), 60, 60, ["source_id"])
+    return out.select("source_id", F.round(F.col("value") + 3e-8, 5).alias("flux"))
+
+
+@query("select det_id, round(degrees(cos(d) * sin(a) / c), 6) as xi, round(degrees((cos(d0) * sin(d) - sin(d0) * cos(d) * cos(a)) / c), 6) as eta, round(ra_deg, 6) as ra, round(dec_deg, 6) as dec from (select *, sin(d0) * sin(d) + cos(d0) * cos(d) * cos(a) as c from (select *, radians(dec_deg) as d, radians(dec_deg + (det_id % 7 - 3) / 1e1) as d0, radians((det_id % 5 - 2) / -1e1) as a from detections))", "detections")
+def tangent_positions(spark, sf):
+    """Detections on a plane that touches the sky near each, and back on the sky."""
+    d = view(spark, sf, "detections")
+    ra0, dec0 = F.col("ra_deg") + (F.col("det_id") % 5 - 2) / 10.0, F.col("dec_deg") + (F.col("det_id") % 7 - 3) / 10.0
+    xi, eta = sky.tangent(F.col("ra_deg"), F.col("dec_deg"), ra0, dec0)
+    ra, dec = sky.from_tangent(xi, eta, ra0, dec0)
+    near = F.pmod(F.round(ra, 6), F.lit(360.0))
+    return d.select("det_id", r(xi).alias("xi"), r(eta).alias("eta"), near.alias("ra"), r(dec).alias("dec"))
+
+
+@query()
+def tangent_stamps(spark, sf):
+    """Stamps of the coadd around each source on the plane that touches the sky there."""
+    m = maps.with_flux_snr(_whole(spark, sf).where("kappa > 0")).select(F.lit(0).alias("map_id"), "gy", "gx", "flux")
+    s = view(spark, sf, "catalog_sources").select(F.lit(0).alias("map_id"), "source_id", "ra_deg", "dec_deg")
+    return stamps.tangent_stamps(s, spline2d.coefficients(m, "flux", 60, 60), 2, 2.0, 60, 60, GRID)
+
+
+@query(f", {_PIX}{_block_sql(3)}, e as (select map_id, by_, bx, stddev_pop(v) as rms from c3 group by all), rel as (select map_id, by_, bx, rms / m as r from (select *, median(rms) over (partition by map_id) as m from e) where m <> 0 and rms > 0), near_ as (select map_id, gy, gx, snr, floor((gy + 5e-1) / 1e1 - 5e-1) + a as by_, floor((gx + 5e-1) / 1e1 - 5e-1) + b as bx, abs(1 - a - ((gy + 5e-1) / 1e1 - 5e-1 - floor((gy + 5e-1) / 1e1 - 5e-1))) * abs(1 - b - ((gx + 5e-1) / 1e1 - 5e-1 - floor((gx + 5e-1) / 1e1 - 5e-1))) as w from p, (select unnest([0, 1]) as a), (select unnest([0, 1]) as b)), mean_ as (select map_id, gy, gx, sum(w * r) / sum(w) as rms from near_ join rel using (map_id, by_, bx) where w > 0 group by all) select map_id, gy, gx, round(rms, 6) as relative_rms, round(snr / coalesce(rms, 1e0) + 3e-8, 5) as snr from p left join mean_ using (map_id, gy, gx)", "pixels_raw")
+def flat_field(spark, sf):
+    """The snr of every pixel over its map's own relative noise, brought back from blocks of 10 pixels."""
+    out = maps.flat_fielded(_pixels(spark, sf), 10)
+    return out.select("map_id", "gy", "gx", r("relative_rms").alias("relative_rms"), F.round(F.col("snr") + 3e-8, 5).alias("snr"))
