@@ -242,6 +242,15 @@ def rendered(sources: DataFrame, half: int) -> DataFrame:
     return pix.select("map_id", y.alias("gy"), x.alias("gx"), value.alias("v")).groupBy("map_id", "gy", "gx").agg(F.sum("v").alias("model"))
 
 
+def rendered_at(sources: DataFrame, half: int) -> DataFrame:
+    """Model image of sources between pixels: the sum of each one's elliptic Gaussian (y, x, amplitude, sigma_x, sigma_y, theta) over its window."""
+    span = F.sequence(F.lit(-half), F.lit(half))
+    near = sources.withColumns({"_y": F.rint("y").cast("int"), "_x": F.rint("x").cast("int")}).withColumn("_dy", F.explode(span)).withColumn("_dx", F.explode(span))
+    gy, gx = F.col("_y") + F.col("_dy"), F.col("_x") + F.col("_dx")
+    value = sky.gaussian_2d(gx - F.col("x"), gy - F.col("y"), F.col("amplitude"), 0.0, 0.0, F.col("sigma_x"), F.col("sigma_y"), F.col("theta"), 0.0)
+    return near.select("map_id", gy.alias("gy"), gx.alias("gx"), value.alias("v")).groupBy("map_id", "gy", "gx").agg(F.sum("v").alias("model"))
+
+
 def subtracted(pixels: DataFrame, model: DataFrame) -> DataFrame:
     """flux less the model, and snr 0 where the model is not."""
     joined = pixels.join(model, ["map_id", "gy", "gx"], "left").withColumn("model", F.coalesce("model", F.lit(0.0)))

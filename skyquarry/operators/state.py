@@ -6,6 +6,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: What happens to a map: one row for every start and end of its processing, which are only ever added.
+EVENTS = "map_id string, status string, processing_start double, processing_end double, at double"
+
+
+def current(events: DataFrame) -> DataFrame:
+    """The state of each map: its last event's; of one moment an end comes after a start."""
+    last = F.max(F.struct("at", (F.col("status") == "completed").alias("done"), "status", "processing_start", "processing_end")).alias("e")
+    return events.groupBy("map_id").agg(last).select("map_id", "e.status", "e.processing_start", "e.processing_end")
+
+
+def starts(maps: DataFrame, now: float) -> DataFrame:
+    """Events that claim maps: whoever asks for maps within the lease does not get them."""
+    return maps.select(F.col("map_id").cast("string").alias("map_id"), F.lit("processing").alias("status"), F.lit(float(now)).alias("processing_start"), F.lit(None).cast("double").alias("processing_end"), F.lit(float(now)).alias("at"))
+
+
+def ends(events: DataFrame, maps: DataFrame, now: float) -> DataFrame:
+    """Events that end maps; one that was never started raises."""
+    began = maps.select(F.col("map_id").cast("string").alias("map_id")).join(current(events).select("map_id", "processing_start"), "map_id", "left")
+    start = F.when(F.col("processing_start").isNull(), F.raise_error(F.concat(F.lit("never started: "), "map_id")).cast("double")).otherwise(F.col("processing_start"))
+    return began.select("map_id", F.lit("completed").alias("status"), start.alias("processing_start"), F.lit(float(now)).alias("processing_end"), F.lit(float(now)).alias("at"))
+
+
 def unclaimed(maps: DataFrame, status: DataFrame, now: float, stale_s: float = 7200.0) -> DataFrame:
     """Maps that are neither completed nor being processed since less than the lease."""
     busy = status.where((F.col("status") == "completed") | ((F.col("status") == "processing") & (F.lit(now) - F.col("processing_start") < stale_s))).select("map_id")
