@@ -45,3 +45,30 @@ def refined(objects: DataFrame, pieces: DataFrame, pixel_jd: DataFrame, locate:
         if new.where("not converged").limit(1).count() == 0:
             break
     return now
+
+
+def tracks(maps: DataFrame, pieces: DataFrame, pixel_jd: DataFrame, locate: tuple[Column, Column], step_days: float = 10.0 / 1440.0) -> DataFrame:
+    """(map_id, designation, samples, runs, jd, ra_deg, dec_deg): the objects that cross each map, and where it saw them.
+
+    maps: map_id, jd0, jd1. Positions are sampled every step from jd0 on, before jd1. A sample counts where the map has a
+    pixel (map_id, gy, gx, pixel_jd); samples in a row are a run. The mean position's pixel tells when the map saw the
+    object, and the position at that time is given. Objects whose pixel has no time within the observation, or which have
+    no position then, are left out. Right ascensions are averaged around the first sample's.
+    """
+    step = F.lit(step_days)
+    samples = maps.select("map_id", "jd0", "jd1", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil((F.col("jd1") - F.col("jd0")) / step).cast("int") - 1, F.lit(0)))).alias("k"))
+    samples = samples.withColumn("jd", F.col("jd0") + F.col("k") * step).where("jd < jd1").drop("jd0", "jd1")
+    # a piece goes to every step's bucket that it touches, and a sample to its own
+    bucket = lambda c: F.floor(F.col(c) / step).cast("long")
+    spread = pieces.withColumnsRenamed({"jd0": "p0", "jd1": "p1"}).withColumn("_b", F.explode(F.sequence(bucket("p0"), bucket("p1"))))
+    near = samples.withColumn("_b", bucket("jd")).join(spread, "_b").where("jd >= p0 and jd < p1")
+    part = (F.col("jd") - F.col("p0")) / (F.col("p1") - F.col("p0"))
+    at = near.select("map_id", "designation", "k", "jd", F.pmod(F.col("ra0") + part * (F.col("ra1") - F.col("ra0")), F.lit(360.0)).alias("ra_deg"), (F.col("dec0") + part * (F.col("dec1") - F.col("dec0"))).alias("dec_deg"))
+    inside = at.withColumns({"gy": locate[0], "gx": locate[1]}).join(pixel_jd.select("map_id", "gy", "gx").distinct(), ["map_id", "gy", "gx"], "left_semi")
+    w = Window.partitionBy("map_id", "designation").orderBy("k")
+    from_first = F.pmod(F.col("ra_deg") - F.first("ra_deg").over(w) + 180.0, F.lit(360.0)) - 180.0
+    runs = inside.withColumns({"_first": F.first("ra_deg").over(w), "_off": from_first, "_new": F.coalesce(F.col("k") - F.lag("k").over(w) != 1, F.lit(True)).cast("int")})
+    mean = runs.groupBy("map_id", "designation").agg(F.count("*").alias("samples"), F.sum("_new").alias("runs"), F.pmod(F.first("_first") + F.avg("_off"), F.lit(360.0)).alias("ra_deg"), F.avg("dec_deg").alias("dec_deg"))
+    seen = mean.withColumns({"gy": locate[0], "gx": locate[1]}).drop("ra_deg", "dec_deg").join(pixel_jd, ["map_id", "gy", "gx"]).join(maps, "map_id")
+    ask = seen.where("pixel_jd >= jd0 and pixel_jd <= jd1").select("map_id", "designation", "samples", "runs", F.col("pixel_jd").alias("jd"))
+    return at_times(ask, pieces).select("map_id", "designation", "samples", "runs", "jd", "ra_deg", "dec_deg")

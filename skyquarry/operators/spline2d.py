@@ -71,7 +71,10 @@ def at_positions(positions: DataFrame, coefs: DataFrame, ny: int, nx: int, key:
 
     A position takes the sum of its 4 x 4 neighbours' coefficients, joined by map and pixel. key and map_id tell positions apart.
     """
-    inside = positions.where((F.col(y) >= 0) & (F.col(y) <= ny - 1) & (F.col(x) >= 0) & (F.col(x) <= nx - 1)).select("map_id", *key, weights_of(F.col(y), ny).alias("_y"), weights_of(F.col(x), nx).alias("_x"))
+    # by way of a generator, so that long expressions of a position are evaluated once and not in every weight
+    placed = positions.select("map_id", *key, F.explode(F.array(F.struct(F.col(y).alias("y"), F.col(x).alias("x")))).alias("_at")).select("map_id", *key, F.col("_at.y").alias("_py"), F.col("_at.x").alias("_px"))
+    placed = placed.where((F.col("_py") >= 0) & (F.col("_py") <= ny - 1) & (F.col("_px") >= 0) & (F.col("_px") <= nx - 1))
+    inside = placed.select("map_id", *key, weights_of(F.col("_py"), ny).alias("_y"), weights_of(F.col("_px"), nx).alias("_x"))
     spread = inside.withColumn("_y", F.explode("_y")).withColumn("_x", F.explode("_x"))
     spread = spread.select("map_id", *key, F.col("_y.i").alias("gy"), F.col("_x.i").alias("gx"), (F.col("_y.w") * F.col("_x.w")).alias("_w"))
     return spread.join(coefs, ["map_id", "gy", "gx"]).groupBy("map_id", *key).agg(F.sum(F.col("_w") * F.col("c")).alias(name))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyquarry.functions import names, sky
 from skyquarry.operators import joins, kernels, maps, moving, stamps, state
-from skyquarry.plans.queries import _PIX, GRID, SEP, _pairs, _pixels, query, r
+from skyquarry.plans.queries import _GX, _GY, _PIX, GRID, SEP, _pairs, _pixels, query, r
 from skyquarry.plans.views import view
 
 
@@ -86,7 +86,7 @@ def thumbnails(spark, sf):
     return t.select("map_id", "source_id", F.col("dy").cast("long").alias("dy"), F.col("dx").cast("long").alias("dx"), F.round(F.col("v") + 3e-8, 5).alias("v"))
 
 
-@query("select source_id, dy, dx, round(sum(flux * w) / sum(w) + 3e-8, 5) as v, count(distinct map_id) as n_maps from (select s.source_id, p.map_id, s.dy, s.dx, p.flux, p.kappa as w from (select source_id, dy, dx, source_id * 7 % 60 + dy as gy, source_id * 11 % 60 + dx as gx from catalog_sources, unnest([-1, 0, 1]) a(dy), unnest([-1, 0, 1]) b(dx)) s join (select map_id, gy, gx, sum(rho) / sum(kappa) as flux, sum(kappa) as kappa from pixels_raw group by map_id, gy, gx) p using (gy, gx)) group by source_id, dy, dx", "catalog_sources", "pixels_raw")
+@query("select source_id, dy, dx, round(sum(flux * w) / sum(w) + 3e-8, 5) as v, count(distinct map_id) as n_maps from (select s.source_id, p.map_id, s.dy, s.dx, p.flux, p.kappa as w from (select source_id, dy, dx, source_id * 7 % 60 + dy as gy, source_id * 11 % 60 + dx as gx from catalog_sources, unnest([-1, 0, 1]::bigint[]) a(dy), unnest([-1, 0, 1]::bigint[]) b(dx)) s join (select map_id, gy, gx, sum(rho) / sum(kappa) as flux, sum(kappa) as kappa from pixels_raw group by map_id, gy, gx) p using (gy, gx)) group by source_id, dy, dx", "catalog_sources", "pixels_raw")
 def stacked_stamps(spark, sf):
     """Inverse-variance stacks of the sources' stamps over all maps."""
     p = _pixels(spark, sf)
@@ -209,3 +209,22 @@ def planet_mask(spark, sf):
     return maps.near_any(_pixels(spark, sf).where("kappa >= 10"), seeds, 5).where("not hit").select("map_id", "gy", "gx")
 
 
+
+
+_PIECES = "e as (select designation, julian_day, avg(ra_deg) as ra, avg(dec_deg) as dec from ephemerides group by all), s as (select designation, julian_day as p0, lead(julian_day) over w as p1, ra as ra0, ((lead(ra) over w - ra + 18e1) - 36e1 * floor((lead(ra) over w - ra + 18e1) / 36e1)) - 18e1 as dra, dec as dec0, lead(dec) over w as dec1 from e window w as (partition by designation order by julian_day))"
+
+
+def _at(time: str) -> str:
+    part = f"({time} - p0) / (p1 - p0)"
+    return f"(ra0 + {part} * dra) - 36e1 * floor((ra0 + {part} * dra) / 36e1) as ra_deg, dec0 + {part} * (dec1 - dec0) as dec_deg"
+
+
+@query(f", {_PIECES}, pix as (select map_id, gy, gx, 2460312e0 + map_id + (min(t_unix) / 864e2 - floor(min(t_unix) / 864e2 / 7e0) * 7e0) / 8e0 as pixel_jd from pixels_raw group by map_id, gy, gx), m as (select distinct map_id, 2460312e0 + map_id as jd0, 2460312e0 + map_id + 5e-1 as jd1 from pixels_raw), g as (select map_id, k, jd0 + k * (1e1 / 144e1) as jd from m, (select unnest(range(0, 73)) as k) where jd0 + k * (1e1 / 144e1) < jd1), a as (select *, {_GY} as gy, {_GX} as gx from (select map_id, designation, k, {_at('jd')} from g join s on g.jd >= s.p0 and g.jd < s.p1)), inside_ as (select a.*, first_value(ra_deg) over w as f, case when k - lag(k) over w = 1 then 0 else 1 end as new_ from a join (select distinct map_id, gy, gx from pix) using (map_id, gy, gx) window w as (partition by map_id, designation order by k)), mean_ as (select map_id, designation, count(*) as samples, cast(sum(new_) as bigint) as runs, ((any_value(f) + avg(((ra_deg - f + 18e1) - 36e1 * floor((ra_deg - f + 18e1) / 36e1)) - 18e1)) % 36e1 + 36e1) % 36e1 as ra_deg, avg(dec_deg) as dec_deg from inside_ group by all), ask as (select map_id, designation, samples, runs, pixel_jd as jd from (select *, {_GY} as gy, {_GX} as gx from mean_) join pix using (map_id, gy, gx) join m using (map_id) where pixel_jd between jd0 and jd1) select map_id, designation, samples, runs, round(jd, 5) as jd, round(ra_deg, 4) as ra_deg, round(dec_deg, 4) as dec_deg from (select ask.*, {_at('jd')} from ask join s on s.designation = ask.designation and ask.jd >= s.p0 and ask.jd < s.p1)", "ephemerides", "pixels_raw")
+def moving_tracks(spark, sf):
+    """Objects that cross each map during its half day, sampled every ten minutes, where and when it saw them."""
+    p = view(spark, sf, "pixels_raw").groupBy("map_id", "gy", "gx").agg(F.min("t_unix").alias("t"))
+    jd0 = F.lit(2460312.0) + F.col("map_id")
+    times = p.select("map_id", "gy", "gx", (jd0 + F.pmod(F.col("t") / 86400.0, F.lit(7.0)) / 8.0).alias("pixel_jd"))
+    windows = p.select("map_id", jd0.alias("jd0"), (jd0 + 0.5).alias("jd1")).distinct()
+    out = moving.tracks(windows, moving.segments(view(spark, sf, "ephemerides")), times, sky.pixel(F.col("ra_deg"), F.col("dec_deg"), **GRID))
+    return out.select("map_id", "designation", "samples", "runs", F.round("jd", 5).alias("jd"), F.round("ra_deg", 4).alias("ra_deg"), F.round("dec_deg", 4).alias("dec_deg"))
