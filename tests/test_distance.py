@@ -33,8 +33,9 @@ def test_distances_equal_brute_force(spark):
             d = want[r["map_id"]][r["gy"], r["gx"]]
             near = np.isfinite(d) and (radius is None or d <= radius)
             assert r["distance"] == pytest.approx(d) if near else r["distance"] is None
-    hits = maps.near_any(grid, marks, 60).where("hit").count()
-    assert hits == sum((want[m][r["gy"], r["gx"]] <= 60) for r in grid.collect() for m in [r["map_id"]])
+    for radius in (0, 3, 4, 60):  # as discs and by the transform
+        hits = maps.near_any(grid, marks, radius).where("hit").count()
+        assert hits == sum((want[r["map_id"]][r["gy"], r["gx"]] <= radius) for r in grid.collect())
     box = {(r["map_id"], r["gy"], r["gx"]) for r in maps.near_any(grid, marks, 2, box=True).where("hit").collect()}
     assert box == {(r["map_id"], r["gy"], r["gx"]) for r in grid.collect() if any(max(abs(y - r["gy"]), abs(x - r["gx"])) <= 2 for y, x in seeds[r["map_id"]])}
 
