@@ -9,7 +9,7 @@ from skyquarry.functions import names, sky
 from skyquarry.operators import groups, joins, kernels, maps, sift, state
 from skyquarry.plans.views import duck, view, viewed
 from skyquarry.sources.tables import scratch
-from skyquarry.streaming import streams
+from skyquarry.streaming import claims, streams
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -556,3 +556,30 @@ def stream_coadd(spark, sf):
     q = streams.upsert_each(streams.growing_coadd(pixels), path, ["freq", "arr", "gy", "gx"], scratch(spark, "coadd-state"))
     q.awaitTermination()
     return streams.upserted(spark, path).select("freq", "arr", "gy", "gx", F.round("rho", 5).alias("rho"), F.round("kappa", 4).alias("kappa"), "hits")
+
+
+#: Views and sign-ups claim, clicks and purchases end; errors move the clock. Steps of a map follow one another from its state before.
+_CLAIMS = """select map_id, status, round(processing_start, 3) as processing_start, round(processing_end, 3) as processing_end, round(t, 3) as t from (
+with recursive asked as (select cast(source_id as varchar) as map_id, t_unix as t, case when band in ('view', 'signup') then 'processing' else 'completed' end as status from light_curves where band <> 'error'),
+steps as (select *, row_number() over (partition by map_id order by t, status) as k from asked),
+run as (
+  select map_id, cast(0 as bigint) as k, cast(null as double) as t, cast(null as varchar) as made, cast(null as varchar) as st, cast(null as double) as since, cast(null as double) as lapsed from (select distinct map_id from asked)
+  union all
+  select map_id, k, t, made, case when made in ('completed', 'processing') then made else now_st end, case when made = 'processing' then t else since end, case when gone then since end from (
+    select n.map_id, n.k, n.t, r.since, coalesce(r.st = 'processing' and n.t - r.since >= 43200, false) as gone,
+      case when gone then 'expired' else r.st end as now_st,
+      case when n.status = 'completed' then case when now_st is not null then 'completed' end when now_st = 'processing' then 'refused' else 'processing' end as made
+    from run r join steps n on n.map_id = r.map_id and n.k = r.k + 1))
+select map_id, made as status, case when made = 'completed' then since else t end as processing_start, case when made = 'completed' then t end as processing_end, t from run where made is not null
+union all select map_id, 'expired', lapsed, null, lapsed + 43200 from run where lapsed is not null
+union all select map_id, 'expired', since, null, since + 43200 from (select * from run qualify row_number() over (partition by map_id order by k desc) = 1) where st = 'processing' and since + 43200 <= (select max(t_unix) from light_curves))"""
+
+
+@query(_CLAIMS, "light_curves")
+def stream_claims(spark, sf):
+    """The events as a stream of claims of half a day: those accepted, refused, ended and expired."""
+    curves = viewed(streams.table_stream(spark, sf, "events"), "light_curves")
+    status = F.when(F.col("band").isin("view", "signup"), "processing").when(F.col("band").isin("click", "purchase"), "completed")
+    events = curves.select("source_id", status.alias("status"), F.col("t_unix").alias("at")).withColumn("map_id", F.when(F.col("status").isNotNull(), F.col("source_id")))
+    out = claims.settled(claims.claims(events, 43200.0, orphans="skip"), scratch(spark, "claims"), scratch(spark, "claims-state"))
+    return out.select("map_id", "status", *[F.round(c, 3).alias(c) for c in ("processing_start", "processing_end")], F.round("at", 3).alias("t"))
