@@ -114,12 +114,46 @@ def kappa_clean(pixels: DataFrame, fraction: float = 1e-3, by: str = "map_id") -
     return pixels.join(top, by).withColumn("kappa", F.when(F.col("rho") == 0, 0.0).otherwise(floor)).drop("_top")
 
 
+def percentile_cuts(values: DataFrame, by: str, fraction: float, margin: float = 1e-3, accuracy: int = 10_000) -> DataFrame:
+    """The exact percentile of `v` of each group, interpolated between ranks, as (by, level). Null and NaN values do not count.
+
+    A sketch gives two values around the rank; counts below and between them tell in which stretch it is, and only that
+    stretch's distinct values are ranked. No group has to fit one buffer, and a bad sketch costs time, never the result.
+    """
+    rows = values.where("v is not null and not isnan(v)").select(by, F.col("v").cast("double").alias("v"))
+    ends = F.percentile_approx("v", [max(0.0, fraction - margin), min(1.0, fraction + margin)], accuracy)
+    return ranked_between(rows, by, fraction, rows.groupBy(by).agg(ends.alias("ends")))
+
+
+def ranked_between(rows: DataFrame, by: str, fraction: float, ends: DataFrame) -> DataFrame:
+    """percentile_cuts by the two values `ends` of each group, wherever they are."""
+    part = F.when(F.col("v") < F.col("ends")[0], 0).when(F.col("v") <= F.col("ends")[1], 1).otherwise(2)
+    placed = rows.join(ends, by).withColumn("part", part)
+    total = placed.groupBy(by).agg(F.count("*").alias("n"), F.count_if(F.col("part") == 0).alias("n0"), F.count_if(F.col("part") <= 1).alias("n1"))
+    total = total.withColumn("rank", F.lit(fraction) * (F.col("n") - 1)).withColumns({"low": F.floor("rank"), "high": F.ceil("rank")})
+    within = lambda k: F.when(F.col(k) < F.col("n0"), 0).when(F.col(k) < F.col("n1"), 1).otherwise(2)
+    total = total.withColumns({"first": within("low"), "last": within("high")}).withColumn("before", F.when(F.col("first") == 0, 0).when(F.col("first") == 1, F.col("n0")).otherwise(F.col("n1")))
+    stretch = placed.join(total, by).where("part between first and last").groupBy(by, "v", "rank", "low", "high", "before").agg(F.count("*").alias("c"))
+    upto = F.col("before") + F.sum("c").over(Window.partitionBy(by).orderBy("v"))
+    at = stretch.withColumn("upto", upto).groupBy(by, "rank", "low", "high").agg(F.min(F.when(F.col("upto") > F.col("low"), F.col("v"))).alias("a"), F.min(F.when(F.col("upto") > F.col("high"), F.col("v"))).alias("b"))
+    level = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((F.col("high") - F.col("rank")) * F.col("a") + (F.col("rank") - F.col("low")) * F.col("b"))
+    return at.select(by, level.alias("level"))
+
+
+def clean_levels(pixels: DataFrame, fraction: float = 0.05, cut_on: str = "median", weight: str = "kappa", by: str = "map_id") -> DataFrame:
+    """(by, level): a fraction of each map's median or maximum weight, or that percentile. Other names mean the maximum."""
+    weights = pixels.select(by, F.col(weight).alias("v"))
+    if cut_on in ("median", "percentile"):
+        times = fraction if cut_on == "median" else 1.0
+        return percentile_cuts(weights, by, 0.5 if cut_on == "median" else fraction).withColumn("level", F.col("level") * times)
+    return weights.where(~F.isnan("v")).groupBy(by).agg((F.max("v") * fraction).alias("level"))
+
+
 def clean_map(pixels: DataFrame, fraction: float = 0.05, cut_on: str = "median", weight: str = "kappa", by: str = "map_id") -> DataFrame:
-    """rho is 0 where the weight is under a fraction of its map's median or maximum, or under that percentile. Other names mean the maximum."""
-    w = F.when(~F.isnan(weight), F.col(weight))
-    level = {"median": F.median(w) * fraction, "percentile": F.percentile(w, fraction)}.get(cut_on, F.max(w) * fraction)
-    cut = pixels.groupBy(by).agg(level.alias("_cut"))
-    return pixels.join(cut, by).withColumn("rho", F.when(F.col(weight) < F.col("_cut"), 0.0).otherwise(F.col("rho"))).drop("_cut")
+    """rho is 0 where the weight is under its map's level. Maps without a weight stay as they are."""
+    cut = clean_levels(pixels, fraction, cut_on, weight, by).select(F.col(by).alias("_of"), F.col("level").alias("_cut"))
+    kept = pixels.join(cut, F.col(by) == F.col("_of"), "left")
+    return kept.withColumn("rho", F.when(F.col(weight) < F.col("_cut"), 0.0).otherwise(F.col("rho"))).select(*[F.col(f"`{c}`") for c in pixels.columns])
 
 
 def coadd(pixels: DataFrame, keys=("freq", "arr")) -> DataFrame:

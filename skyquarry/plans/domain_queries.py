@@ -108,10 +108,10 @@ def random_rows(spark, sf):
 
 @query("select a.map_id as a, b.map_id as b, c.map_id as c from (select distinct map_id from pixels_raw) a, (select distinct map_id from pixels_raw) b, (select distinct map_id from pixels_raw) c where a.map_id < b.map_id and b.map_id < c.map_id", "pixels_raw")
 def map_triples(spark, sf):
-    """All sets of three of the maps, from one row of their sorted ids (a table's maps are few)."""
+    """All sets of three of the maps: each pair's later ids are dealt to tasks apart, so that only the list of ids, which is few, is one row."""
     ids = view(spark, sf, "pixels_raw").select("map_id").distinct().groupBy().agg(F.array_sort(F.collect_list("map_id")).alias("ids"))
-    one = ids.select("ids", F.posexplode("ids").alias("i", "a"))
-    two = one.select("ids", "a", F.posexplode("ids").alias("j", "b"), "i").where("j > i")
+    one = ids.select("ids", F.posexplode("ids").alias("i", "a")).repartition("a")
+    two = one.select("ids", "a", F.posexplode("ids").alias("j", "b"), "i").where("j > i").repartition("a", "b")
     return two.select("a", "b", F.posexplode("ids").alias("k", "c"), "j").where("k > j").select("a", "b", "c")
 
 

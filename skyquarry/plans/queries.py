@@ -207,8 +207,7 @@ def _clean(mode: str, level: str):
 
     def f(spark, sf):
         p = view(spark, sf, "pixels_raw")
-        cut = {"median": F.median("kappa") * 0.5, "percentile": F.percentile("kappa", 0.5), "max": F.max("kappa") * 0.5}[mode]
-        n = p.join(p.groupBy("map_id").agg(cut.alias("cut")), "map_id").groupBy("map_id").agg(F.count_if(F.col("kappa") < F.col("cut")).alias("n_cut"))
+        n = p.join(maps.clean_levels(p, 0.5, mode), "map_id").groupBy("map_id").agg(F.count_if(F.col("kappa") < F.col("level")).alias("n_cut"))
         return maps.clean_map(p, 0.5, mode).groupBy("map_id").agg(F.round(F.sum("rho"), 5).alias("rho")).join(n, "map_id")
 
     f.__name__ = f"clean_map_{mode}"

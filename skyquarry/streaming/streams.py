@@ -59,42 +59,91 @@ def upsert_each(stream: DataFrame, path: str, key: list[str], checkpoint: str, p
     rows of a key in a batch the last in the order of all columns counts.
 
     The table has `parts` by the hash of the key. A batch writes a new version, named by its number, of the parts that it
-    touches alone, so that a batch that runs again after a failure writes the same. upserted reads the table.
+    touches alone, and then the list of the version of each part; so a batch that runs again after a failure writes the
+    same. Parts that neither this list nor the one before names are removed, so that no more than two versions of a part
+    are kept: a reader has to be done before the second next batch. upserted reads the table.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         others = [c for c in batch.columns if c not in key]
         new = batch.groupBy(*key).agg(F.max(F.struct(*others)).alias("_row")).select(*key, "_row.*").withColumn("upsert_part", F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
-        old = _latest(spark, path, number)
-        if old is not None:
-            touched = [r[0] for r in new.select("upsert_part").distinct().collect()]  # at most `parts`
-            kept = old.where(F.col("upsert_part").isin(touched)).join(new.select(key), key, "left_anti")
-            new = kept.select(new.columns).unionByName(new)
+        touched = [r[0] for r in new.select("upsert_part").distinct().collect()]  # at most `parts`
+        live = _live(spark, path, number)
+        stale = {p: live[p] for p in touched if p in live}
+        if stale:
+            new = _parts(spark, path, stale).join(new.select(key), key, "left_anti").select(new.columns).unionByName(new)
         new.repartition("upsert_part").write.mode("overwrite").partitionBy("upsert_part").parquet(f"{path}/upsert_version={number}")
+        after = live | dict.fromkeys(touched, number)
+        _list_live(spark, path, number, after)
+        _remove_dead(spark, path, number, {*live.items(), *after.items()})
 
     return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()
 
 
-def _latest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest version of each part, of the batches before a number; None without any."""
+#: In a version's folder: a line "part version" for each part of the table as of that version. It comes last, by a rename.
+LIVE = "_live"
+
+
+def _folder(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    at, fs = _folder(spark, path)
     names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
-    # a version counts once it is whole
-    done = [n for n in (int(x.partition("=")[2]) for x in names if x.startswith("upsert_version=")) if (before is None or n < before) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/upsert_version={n}/_SUCCESS"))]
-    if not done:
-        return None
-    rows = spark.read.option("basePath", path).parquet(*[f"{path}/upsert_version={n}" for n in done])
-    newest = rows.groupBy("upsert_part").agg(F.max("upsert_version").alias("newest"))
-    live = {(r["upsert_part"], r["newest"]) for r in newest.collect()}  # at most one a part
-    fit = F.array(*[F.lit(f"{p}/{v}") for p, v in sorted(live)])
-    return rows.where(F.array_contains(fit, F.concat_ws("/", "upsert_part", "upsert_version"))).drop("upsert_version")
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith("upsert_version="))
+
+
+def _live(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
+    """The version of each part, by the newest list of the batches before a number."""
+    for n in reversed(_versions(spark, path)):
+        at, fs = _folder(spark, f"{path}/upsert_version={n}/{LIVE}")
+        if (before is None or n < before) and fs.exists(at):
+            stream = fs.open(at)
+            try:
+                text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")  # at most one line a part
+            finally:
+                stream.close()
+            return {int(p): int(v) for p, v in map(str.split, text.splitlines())}
+    return {}
+
+
+def _list_live(spark: SparkSession, path: str, number: int, live: dict[int, int]) -> None:
+    at, fs = _folder(spark, f"{path}/upsert_version={number}/{LIVE}")
+    fs.mkdirs(at.getParent())
+    draft = at.suffix(".new")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray("".join(f"{p} {v}\n" for p, v in sorted(live.items())), "ascii"))
+    finally:
+        out.close()
+    if not fs.rename(draft, at):
+        raise OSError(f"{at.toString()} was not made")
+
+
+def _remove_dead(spark: SparkSession, path: str, number: int, named: set[tuple[int, int]]) -> None:
+    """Removes parts of versions that no list names; of versions without any, the lists before the last too."""
+    before = [n for n in _versions(spark, path) if n < number]
+    for n in before:
+        at, fs = _folder(spark, f"{path}/upsert_version={n}")
+        held = [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("upsert_part=")]
+        dead = [p for p in held if (int(p.getName().partition("=")[2]), n) not in named]
+        if len(dead) == len(held) and n != before[-1]:
+            fs.delete(at, True)
+        else:
+            for p in dead:
+                fs.delete(p, True)
+
+
+def _parts(spark: SparkSession, path: str, live: dict[int, int]) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(*[f"{path}/upsert_version={v}/upsert_part={p}" for p, v in sorted(live.items())]).drop("upsert_version")
 
 
 def upserted(spark: SparkSession, path: str) -> DataFrame:
     """The table that upsert_each keeps at path."""
-    return _latest(spark, path).drop("upsert_part")
+    return _parts(spark, path, _live(spark, path)).drop("upsert_part")
 
 
 def drained(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

@@ -180,3 +180,27 @@ def test_coadd_window_edges(spark):
     df = spark.createDataFrame([("a", "b", float(t) * 86400) for t in (0, 1, 6.9, 7, 13, 14)], "freq string, arr string, obs_start double")
     assert [r["bin"] for r in maps.coadd_windows(df, 7).orderBy("obs_start").collect()] == [0, 0, 0, 1, 1, 1]
     assert {r["bin"] for r in maps.coadd_windows(df, 0).collect()} == {0}
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.05, 0.37, 0.5, 0.999, 1.0])
+def test_percentiles_are_exact_whatever_the_sketch(spark, fraction):
+    rng = np.random.default_rng(5)
+    groups = {"even": rng.random(500), "ties": rng.integers(0, 3, 400).astype(float), "far": np.append(rng.random(99), 1e18), "one": np.array([-2.5]), "odd": np.array([np.nan, 1.0, 2.0, np.nan])}
+    rows = [(g, float(x)) for g, v in groups.items() for x in v] + [("even", None), ("none", None), ("none", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    want = {g: float(np.nanpercentile(v, fraction * 100)) for g, v in groups.items()}
+    got = {r["g"]: r["level"] for r in maps.percentile_cuts(df, "g", fraction, accuracy=10).collect()}
+    assert got == pytest.approx(want)
+    whole = df.where("v is not null and not isnan(v)")
+    for low, high in ((-9.0, -8.0), (1e19, 1e20), (0.4, 0.6)):
+        ends = df.select("g").distinct().withColumn("ends", F.array(F.lit(low), F.lit(high)))
+        assert {r["g"]: r["level"] for r in maps.ranked_between(whole, "g", fraction, ends).collect()} == pytest.approx(want)
+
+
+def test_cleaning_keeps_maps_without_weights_and_all_columns(spark):
+    df = spark.createDataFrame([(1, 1.0, 5.0, "a"), (1, 10.0, 6.0, "b"), (2, float("nan"), 7.0, "c"), (3, None, 8.0, "d")], "map_id long, kappa double, rho double, level string")
+    for mode in ("median", "percentile", "max"):
+        out = maps.clean_map(df, 0.5, mode)
+        assert out.columns == df.columns
+        assert {r["level"]: r["rho"] for r in out.collect()} == {"a": 0.0, "b": 6.0, "c": 7.0, "d": 8.0}
+    assert maps.clean_map(df.limit(0)).count() == 0

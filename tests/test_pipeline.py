@@ -155,6 +155,23 @@ def test_an_upsert_rewrites_only_the_parts_it_touches(spark, tmp_path):
     assert len([n for n in os.listdir(tmp_path / "t" / "upsert_version=1") if n.startswith("upsert_part=")]) <= 2
 
 
+def test_an_upserted_table_keeps_two_versions_of_a_part(spark, tmp_path):
+    at, want = str(tmp_path / "in"), {}
+    for n in range(6):
+        # the last files touch few keys, so that old versions of the other parts stay
+        rows = [(k, n, "x") for k in (range(40) if n < 3 else range(n))]
+        want |= {k: n for k, _, _ in rows}
+        spark.createDataFrame(rows, "k long, v long, w string").coalesce(1).write.mode("append").parquet(at)
+    stream = spark.readStream.schema("k long, v long, w string").option("maxFilesPerTrigger", 1).parquet(at)
+    streams.upsert_each(stream, str(tmp_path / "t"), ["k"], str(tmp_path / "c"), parts=8).awaitTermination()
+    assert {r["k"]: r["v"] for r in streams.upserted(spark, str(tmp_path / "t")).collect()} == want
+    held = [(v, p) for v in os.listdir(tmp_path / "t") for p in os.listdir(tmp_path / "t" / v) if p.startswith("upsert_part=")]
+    assert all(sum(p == part for _, p in held) <= 2 for _, part in held)
+    # a batch that runs again reads what was there before it
+    assert streams._live(spark, str(tmp_path / "t"), 5) != streams._live(spark, str(tmp_path / "t"))
+    assert {r["k"]: r["v"] for r in streams._parts(spark, str(tmp_path / "t"), streams._live(spark, str(tmp_path / "t"), 5)).collect()} == want | {k: 4 for k in range(4)} | ({4: 2})
+
+
 def test_measured_noise_filters_like_the_known_one():
     import numpy as np
 
