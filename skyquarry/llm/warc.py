@@ -17,10 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyquarry.llm.common import map_arrow, prepared, scratch_path
+from skyquarry.llm.common import map_arrow, prepared, saved, scratch_path
 
-#: Records of an archive at most.
+#: Records of an archive at most, and copies of one row that one task writes.
 RECORDS = 20_000
+BLOCK = 10_000
 #: Second of a capture with page_id 0; pages carry no time of their own, so theirs is this plus the id.
 EPOCH = 1_700_000_000
 
@@ -36,11 +37,11 @@ def escaped(url: str) -> str:
     return "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
 
 
-def record(page_id, url, payload: bytes, code: str, refers_to, stamp: int) -> bytes:
+def record(page_id, url, payload: bytes | None, size: int, code: str, refers_to, stamp: int) -> bytes:
     """Head and block of a record, without the blank line that ends it. A revisit keeps the HTTP head and leaves the payload out."""
     from datetime import datetime, timezone
 
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     head = [
         "WARC/1.0",
@@ -114,25 +115,39 @@ def loser_tree(runs: list[Iterator], key: Callable) -> Iterator:
 def write(pages: DataFrame, path: str, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rows_per_archive: int = RECORDS) -> None:
     """One record per row in gzip archives under path. Of equal payloads of at least least_bytes, that of the largest id is the response.
 
-    Null html is an empty payload. Rows that repeat an id and a payload are one response and revisits of it.
+    Null html is an empty payload. Ids are decided by id, then by url, so that a task that runs again decides alike; rows that
+    repeat an id, a url and a payload are one response and revisits of it, written by their number and not row by row.
     """
+    spark = pages.sparkSession
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("row_id", F.monotonically_increasing_id()).withColumn("sha1", F.sha1("payload"))
-    last = F.max(F.struct(F.col("page_id").isNotNull().alias("named"), "page_id", "row_id"))
-    groups = rows.where(F.octet_length("payload") >= least_bytes).groupBy("sha1").agg(last.alias("last"), F.count("*").alias("n")).where("n > 1").select("sha1", "last")
-    dealt = rows.join(groups, "sha1", "left")
-    first = F.col("last").isNull() | (F.col("last.row_id") == F.col("row_id"))
-    dealt = dealt.select("page_id", "url", "payload", "sha1", F.when(first, "response").otherwise("revisit").alias("kind"), F.col("last.page_id").alias("refers_to"))
+    rows = rows.withColumn("sha1", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
+    # without payloads: how often each row occurs, and of each payload the last row
+    alike = rows.where(F.col("size") >= least_bytes).groupBy("sha1", "page_id", "url", "size").agg(F.count("*").alias("copies"))
+    last = F.max(F.struct(F.col("page_id").isNotNull().alias("named"), "page_id", F.col("url").isNotNull().alias("linked"), "url", "copies")).alias("last")
+    groups = saved(alike.groupBy("sha1", "size").agg(last, F.sum("copies").alias("n")).where("n > 1").select("sha1", "size", "last"), "payloads")
+    dealt = rows.join(groups.drop("size"), "sha1", "left")
+    first = F.col("page_id").eqNullSafe(F.col("last.page_id")) & F.col("url").eqNullSafe(F.col("last.url"))
+    single = dealt.where(F.col("last").isNull() | ~first | (F.col("last.copies") == 1))
+    kind = F.when(F.col("last").isNull() | first, "response").otherwise("revisit")
+    made = single.select("page_id", "url", F.when(kind == "response", F.col("payload")).alias("payload"), "size", "sha1", kind.alias("kind"), F.col("last.page_id").alias("refers_to"))
+    repeated = groups.where("last.copies > 1")
+    if not repeated.isEmpty():
+        one = dealt.where(F.col("last").isNotNull() & first & (F.col("last.copies") > 1)).groupBy("sha1").agg(F.first("payload").alias("payload"), F.first("page_id").alias("page_id"), F.first("url").alias("url"), F.first("size").alias("size"))
+        made = made.unionByName(one.select("page_id", "url", "payload", "size", "sha1", F.lit("response").alias("kind"), F.col("page_id").alias("refers_to")))
+        # the copies beyond the first, in blocks that are dealt to tasks
+        blocks = repeated.select("sha1", "size", "last.page_id", "last.url", (F.col("last.copies") - 1).alias("left"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("last.copies") - 2) / BLOCK))).alias("block"))
+        again = blocks.repartition("sha1", "block").select("*", F.explode(F.array_repeat(F.lit(0), F.least(F.lit(BLOCK).cast("long"), F.col("left") - F.col("block") * BLOCK).cast("int"))))
+        made = made.unionByName(again.select("page_id", "url", F.lit(None).cast("binary").alias("payload"), "size", "sha1", F.lit("revisit").alias("kind"), F.col("page_id").alias("refers_to")))
 
     def kernel(it):
         for b in it:
             made = []
-            for name, url, payload, sha1, kind, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for name, url, payload, size, sha1, kind, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 code = base64.b32encode(bytes.fromhex(sha1)).decode()
-                made.append(record(name, url, payload, code, (refers if refers is not None else "none") if kind == "revisit" else None, EPOCH + max(0, min(name or 0, 10**10))))
+                made.append(record(name, url, payload, size, code, (refers if refers is not None else "none") if kind == "revisit" else None, EPOCH + max(0, min(name or 0, 10**10))))
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()).cast(pa.string())], names=["value"])
 
-    map_arrow(dealt, kernel, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", rows_per_archive).text(path)
+    map_arrow(made, kernel, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", rows_per_archive).text(path)
 
 
 def index(spark, path: str) -> DataFrame:

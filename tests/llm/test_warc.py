@@ -81,3 +81,17 @@ def test_loser_tree_merges_like_a_sort():
 def test_members_after_one_another_are_read():
     data = gzip.compress(b"a" * 10) + gzip.compress(b"") + gzip.compress(b"b" * 200_000)
     assert io.BufferedReader(warc._Gunzip(memoryview(data))).read() == b"a" * 10 + b"b" * 200_000
+
+
+def test_rows_that_repeat_in_full_are_one_response_and_revisits(spark, tmp_path, monkeypatch):
+    """More copies than a block, copies of a null id, and rows that differ in their url alone."""
+    monkeypatch.setattr(warc, "BLOCK", 7)
+    rows = [(7, "u", "same")] * 30 + [(7, "v", "same")] * 2 + [(3, "u", "same")] * 4 + [(None, None, None)] * 9 + [(1, None, "x"), (1, "w", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for name, df in (("a", pages.repartition(5)), ("b", pages.coalesce(1))):
+        found = [r.asDict() for r in warc.archived(df, str(tmp_path / name)).collect()]
+        assert sorted((r["page_id"], r["payload_bytes"]) for r in found if r["page_id"]) == sorted((i, len(h)) for i, _, h in rows if i)
+        assert len(found) == len(rows)
+        # of the largest id and then the last url, in whatever order the rows come
+        assert sorted((r["page_id"] or 0, r["url_key"], r["payload_bytes"]) for r in found if r["record_type"] == "response") == [(0, "", 0), (1, "w", 1), (7, "v", 4)]
+        assert {(r["page_id"], r["refers_to"]) for r in found if r["record_type"] == "revisit"} == {(7, 7), (3, 7), (None, None), (1, 1)}
