@@ -128,9 +128,9 @@ def trained(docs: DataFrame, may_learn, id_col: str = "doc_id", text_col: str =
 def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """docs with lang_pred and lang_score (0 to 1), over whole texts. Texts that are null or have no letter are `und`, of score 0.
 
-    With one language learned, every text with a letter has it, of score 1; with none, all are `und`.
+    Columns of these two names are replaced, all others are kept. With one language learned, every text with a letter has it, of score 1; with none, all are `und`.
     """
-    fields = [f for f in docs.schema.fields if f.name not in ("lang_pred", "lang_score", "__letters")]
+    fields = [f for f in docs.schema.fields if f.name not in ("lang_pred", "lang_score")]
     at = [f.name for f in fields].index(text_col)
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
     types = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
@@ -154,4 +154,4 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays([*b.columns[: len(fields)], pa.array(names, pa.string()), pa.array(values, pa.float64())], schema=types)
 
     has = F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False))
-    return map_arrow(docs.select(*[F.col(f"`{f.name}`") for f in fields], has.alias("__letters")), kernel, schema)
+    return map_arrow(docs.select(*[F.col(f"`{f.name}`") for f in fields], has.alias(max(docs.columns, key=len) + "_")), kernel, schema)

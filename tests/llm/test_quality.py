@@ -76,3 +76,35 @@ def test_a_column_that_is_called_score_is_kept_under_another_name(spark):
     df = spark.createDataFrame([(1, "plain text", 7.0)], "doc_id long, text string, score double")
     assert quality.scored(df, quality.initial(), score_col="mine").columns == ["doc_id", "text", "score", "mine"]
     assert corpus_pipeline.unused("score", df) == "_score"
+
+
+def test_scores_match_a_network_of_plain_loops(spark):
+    """Every filter at every position, every chunk and every sum written out, against what the job returns."""
+    from math import exp, tanh
+
+    q = quality
+    rng = np.random.default_rng(6)
+    net = {k: rng.normal(0, 0.4, v.shape).astype(np.float32) for k, v in q.initial().items()}
+    texts = [None, "", "x", "a short text", "é" * 70, " ".join(f"word{i}" for i in range(90))]
+    texts.append("z" * (q.CHUNK * q.STRIDE) + "!")
+    embed, filters = net["embed"].astype(float).tolist(), net["filters"].astype(float).tolist()
+
+    def plain(text):
+        data = list((text or "").encode())
+        n = max(1, -(-len(data) // q.STRIDE))
+        under = [[data[p * q.STRIDE + k] if p * q.STRIDE + k < len(data) else 256 for k in range(q.WIDTH)] for p in range(n)]
+        chunks, start = [], 0
+        while not chunks or start + q.CHUNK - q.STEP < n:
+            chunks.append(range(start, min(n, start + q.CHUNK)))
+            start += q.STEP
+        z = float(net["out"][0])
+        for f in range(q.FILTERS):
+            response = [sum(embed[b][e] * filters[k * q.EMBED + e][f] for k, b in enumerate(w) for e in range(q.EMBED)) for w in under]
+            best = [tanh(max(response[p] for p in c) + float(net["bias"][f])) for c in chunks]
+            z += sum(best) / len(best) * float(net["dense"][f]) + max(best) * float(net["dense"][q.FILTERS + f])
+        return 1 / (1 + exp(-z))
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in q.scored(df, net).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == pytest.approx(plain(text), abs=1e-4)
