@@ -52,15 +52,15 @@ def with_probability(pairs: DataFrame, key: str) -> DataFrame:
     return pairs.withColumn("probability", F.lit(1.0) / F.count("*").over(Window.partitionBy(key)))
 
 
-def asof_backward(a: DataFrame, b: DataFrame, a_time: str, b_time: str, by: list[str] | None = None) -> DataFrame:
+def asof_backward(a: DataFrame, b: DataFrame, a_time: str, b_time: str, by: list[str] | None = None, range_s: float = 3600.0) -> DataFrame:
     """Each row of a with the latest row of b strictly before it, by equal `by` columns; rows without one keep nulls.
 
-    Both sides are merged in one sorted window per `by` and day range: b's last row of each earlier range is carried in,
-    so that no window holds more than a range of a key.
+    Both sides are merged in one sorted window per `by` and range of `range_s` seconds: b's last row of each earlier range is
+    carried in, so that no window holds more than a range of a key. Ranges of a key are as many rows of one window more.
     """
     by = by or []
     payload = [c for c in b.columns if c not in by]
-    bucket = lambda t: F.floor(F.col(t) / F.lit(86400.0 * 30)).cast("long")
+    bucket = lambda t: F.floor(F.col(t) / F.lit(float(range_s))).cast("long")
     left = a.withColumn("_b", bucket(a_time))
     right = b.where(F.col(b_time).isNotNull()).withColumn("_b", bucket(b_time))
     row = F.struct(*[F.col(c) for c in payload])
