@@ -25,6 +25,8 @@ FILTER_BITS = 20
 BINS, ELEMENT = 256, 5
 #: Sets that a task remembers so as to hand on a repeated one only once.
 REMEMBERED = 1 << 18
+#: Points of its key with which a point is compared before all pairs are that are not connected by then.
+NEXT = 2
 
 
 def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -223,24 +225,43 @@ def verified(pairs: DataFrame, docs: DataFrame, text_col: str, marks: DataFrame,
     return saved(map_arrow(rows, _compared, "a long, b long"), "links")
 
 
-def _sizes(c: str) -> tuple[Column, Column]:
-    return F.shiftright(f"{c}.place", 32), F.col(f"{c}.place").bitwiseAND(F.lit((1 << 32) - 1))
+def _fit(x: Column, y: Column) -> Column:
+    """Whether two sets with one key may be similar, by their places: their sizes and the key's position in the order."""
+    (n, i), (m, j) = ((F.shiftright(c, 32), c.bitwiseAND(F.lit((1 << 32) - 1))) for c in (x, y))
+    # of the first common shingle on, no more can be in common
+    return (F.least(n, m) * 5 >= F.greatest(n, m) * 4) & similar(F.least(n - i, m - j), n, m)
+
+
+def _pair(x: Column, y: Column) -> tuple[Column, Column]:
+    """(a, b): a pair in one order, so that it counts once."""
+    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
 def _met(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of joined rows x and y with one key, whose sizes and places in the order allow the similarity."""
-    (n, i), (m, j) = _sizes("x"), _sizes("y")
-    # of the first common shingle on, no more can be in common
-    fit = (F.least(n, m) * 5 >= F.greatest(n, m) * 4) & similar(F.least(n - i, m - j), n, m)
-    return pairs.where(fit).select(F.col("x.point").alias("a"), F.col("y.point").alias("b")).distinct()
+    """Distinct pairs (a, b) of joined rows x and y with one key that may be similar."""
+    return pairs.where(_fit(F.col("x.place"), F.col("y.place"))).select(*_pair(F.col("x.point"), F.col("y.point"))).distinct()
+
+
+def _introduced(apart: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) that may be similar: each point with the least of its key, and with the NEXT before it in an order of its key's own.
+
+    As every key has another order, a set with copies meets some of them whatever the least one is like, and a cluster
+    costs its size. apart: key, point, place, root, band.
+    """
+    one = F.struct("root", "point", "place")
+    row = Window.partitionBy("key", "band").orderBy(F.xxhash64("key", "point"), "point")
+    others = F.array(F.min(one).over(Window.partitionBy("key")), *[F.lag(one, k).over(row) for k in range(1, NEXT + 1)])
+    met = apart.withColumn("others", others)
+    apt = F.filter("others", lambda x: x.isNotNull() & (x["root"] != F.col("root")) & _fit(x["place"], F.col("place")))
+    return met.select("point", F.explode(F.transform(apt, lambda x: x["point"])).alias("other")).select(*_pair(F.col("point"), F.col("other"))).distinct()
 
 
 def completed(docs: DataFrame, text_col: str, marks: DataFrame, points: DataFrame, known: DataFrame, n: int, shingle: int = SHINGLE) -> DataFrame:
     """(a, b): known links and as many more as connect exactly what all similar pairs of points would.
 
-    Prefixes are shuffled once, by shingle. A point is first compared with the least of each of its shingles, so that a
-    cluster costs no more than its size; then the pairs of one shingle that are not connected yet, small sets with those
-    up to a quarter larger.
+    Prefixes are shuffled once, by shingle. A point is first compared with the least of each of its shingles and with
+    some others, so that a cluster costs no more than its size; then the pairs of one shingle that are not connected yet,
+    small sets with those up to a quarter larger.
     """
     key = Window.partitionBy("key")
     rows = _prefixes(docs, text_col, shingle, _frequent(docs, text_col, shingle, n))
@@ -256,13 +277,11 @@ def completed(docs: DataFrame, text_col: str, marks: DataFrame, points: DataFram
             found = shared.withColumn("root", F.col("point"))
         return found.withColumns({"lo": F.min("root").over(key), "hi": F.max("root").over(key)}).where("lo < hi").drop("lo", "hi")
 
-    apart = saved(named(known), "apart")
-    lead = F.min(F.struct("root", "point", "place")).over(key).alias("x")
-    stars = apart.select("root", F.struct("point", "place").alias("y"), lead).where("root <> x.root")
-    first = verified(_met(stars), docs, text_col, marks, points, shingle)
+    band = F.floor(F.log(F.shiftright("place", 32)) / float(np.log(1.25))).cast("int")
+    apart = saved(named(known).withColumn("band", band), "apart")
+    first = verified(_introduced(apart), docs, text_col, marks, points, shingle)
     both = saved(known.union(first), "links")
-    band = F.floor(F.log(F.shiftright("place", 32)) / float(np.log(1.25)))
-    rest = saved(named(both).withColumn("band", band.cast("int")), "rest")
+    rest = saved(named(both).withColumn("band", band), "rest")
     less = rest.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
     pairs = less.alias("x").join(rest.alias("y"), ["key", "band"]).where((F.shiftright("x.place", 32) <= F.shiftright("y.place", 32)) & (F.col("x.root") != F.col("y.root")))
     return both.union(verified(_met(pairs), docs, text_col, marks, points, shingle))

@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from skyquarry.llm import simhash
+from skyquarry.llm import nearcopies, simhash
 
 
 def brute(rows):
@@ -57,3 +57,13 @@ def test_awkward_documents(odd, none):
     assert out.columns == odd.columns
     assert kept(out) == brute([(r["doc_id"], r["text"]) for r in odd.collect()])
     assert simhash.without_near_copies(none).collect() == []
+
+
+def test_points_of_a_key_meet_others_than_the_least_at_a_linear_cost(spark):
+    """300 points share three keys: each meets some in each key besides the least, which is other points in every key; no pair comes twice."""
+    rows = [(key, point, (100 << 32) + 1, point, 20) for key in range(3) for point in range(300)]
+    pairs = [tuple(r) for r in nearcopies._introduced(spark.createDataFrame(rows, "key long, point long, place long, root long, band int")).collect()]
+    assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
+    assert len(pairs) <= 300 * (1 + 3 * nearcopies.NEXT)
+    others = {p: sum(p in x for x in pairs if 0 not in x) for p in range(1, 300)}
+    assert min(others.values()) >= nearcopies.NEXT and sum(others.values()) > 299 * 3 * nearcopies.NEXT
