@@ -32,6 +32,9 @@ MARK = "^"
 #: Letters that have one form and one lower case, then ASCII marks other than the apostrophe and digits.
 LETTERS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 
+#: Those marks.
+MARKS = bytes(x for x in range(33, 127) if not chr(x).isalnum() and x != 39)
+
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
     """Runs (length, first rank, number, first bin, offset): piece first + i of that length goes to bin first + i at offset.
@@ -136,6 +139,17 @@ def chunked(tokenizer) -> bool:
     return blanks and {"type": "Lowercase"} in steps and apart and kinds == [r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"]
 
 
+def letters_and_marks(chunk: bytes) -> tuple[bytes, bytes] | None:
+    """A chunk's letters in lower case and the marks after them, as LETTERS has it; None if it is anything else."""
+    letters = chunk.rstrip(MARKS)
+    if letters.isalpha():  # of bytes: a-z and A-Z alone
+        return letters.lower(), chunk[len(letters) :]
+    if chunk.isascii():
+        return None
+    m = LETTERS.fullmatch(chunk.decode("utf-8", "replace"))
+    return (m[1].lower().encode(), m[2].encode()) if m else None
+
+
 def token_ids(data: np.ndarray, offsets: np.ndarray, tokenizer) -> list[np.ndarray]:
     """The ids of texts that lie one after another, as tokenizer.encode(text, add_special_tokens=False) gives them.
 
@@ -164,14 +178,15 @@ def token_ids(data: np.ndarray, offsets: np.ndarray, tokenizer) -> list[np.ndarr
     bounds, chars = np.frombuffer(bounds, np.int64, len(coded.dictionary) + 1), chars.to_pybytes()
     last = np.frombuffer(chars, np.uint8)[np.maximum(bounds[1:], 1) - 1] if chars else bounds[1:]
     words = [chars[s:e] for s, e in zip(bounds[:-1].tolist(), (bounds[1:] - ((last == 32) | (last == 10))).tolist(), strict=True)]
-    if len(cache) > WORD_CACHE:
-        cache.clear()
     ids = list(map(cache.get, words))
-    new = {w: w.decode("utf-8", "replace") for w, i in zip(words, ids, strict=True) if i is None}
+    if len(cache) > WORD_CACHE:  # what this batch knows is frequent and stays
+        cache.clear()
+        cache.update((w, i) for w, i in zip(words, ids, strict=True) if i is not None)
+    new = {w for w, i in zip(words, ids, strict=True) if i is None}
     if new:
         # letters and the marks after them are tokens apart, and case is dropped: most chunks are made of known ones
-        parts = {w: (m[1].lower().encode(), m[2].encode()) for w, c in new.items() if (m := LETTERS.fullmatch(c))}
-        need = list({x for two in parts.values() for x in two if x not in cache} | (new.keys() - parts.keys()))
+        parts = {w: two for w in new if (two := letters_and_marks(w))}
+        need = list({x for two in parts.values() for x in two if x not in cache} | (new - parts.keys()))
         cache.update(zip(need, chunk_ids([x.decode("utf-8", "replace") for x in need], tokenizer), strict=True))
         cache.update((w, cache[x] + cache[y]) for w, (x, y) in parts.items())
         ids = [cache[w] if i is None else i for w, i in zip(words, ids, strict=True)]

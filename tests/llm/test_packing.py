@@ -76,3 +76,27 @@ def test_a_tokenizer_that_keeps_blanks_encodes_whole_texts():
         got = packing.token_ids(np.frombuffer(b"".join(raw), np.uint8), offsets, tokenizer)
         assert [g.tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
         packing.worker_cache().pop("word_ids", None)
+
+
+def test_words_that_occur_again_stay_known_when_the_cache_is_full(monkeypatch):
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, asked, encode = Tokenizer.from_file(path), [], packing.chunk_ids
+    monkeypatch.setattr(packing, "WORD_CACHE", 3)
+    monkeypatch.setattr(packing, "worker_cache", lambda kept={}: kept)  # noqa: B006
+    monkeypatch.setattr(packing, "chunk_ids", lambda chunks, t: asked.extend(chunks) or encode(chunks, t))
+    for i in range(4):
+        text = f"The river, a Stone! (light) x9 don't Ärger. end' it's... new{i}".encode()
+        (ids,) = packing.token_ids(np.frombuffer(text, np.uint8), np.array([0, len(text)]), tokenizer)
+        assert ids.tolist() == tokenizer.encode(text.decode(), add_special_tokens=False).ids
+    assert asked.count(b"river".decode()) == 1 and len(asked) == len(set(asked))
+
+
+def test_letters_and_marks_are_those_of_the_pattern():
+    for a in [*map(chr, range(33, 256)), "Ab", "aÉ", "é", "ﬀ"]:
+        for b in ["", *map(chr, range(33, 128)), ".,", "é!"]:
+            m = packing.LETTERS.fullmatch(a + b)
+            assert packing.letters_and_marks((a + b).encode()) == ((m[1].lower().encode(), m[2].encode()) if m else None)
