@@ -21,8 +21,10 @@ SHINGLE = 5
 ORDER_TEXTS, ORDER_LEAST, ORDER_MOST = 20_000, 8, 1 << 16
 #: Bits of the filter that spares texts whose sets nobody asks for; what passes it is joined exactly.
 FILTER_BITS = 20
-#: Bins whose counts tell that two sets cannot be similar; bytes of a hash that are compared.
-BINS, ELEMENT = 256, 5
+#: Bits of the shortest and the longest sketch, whose differences tell that two sets cannot be similar; bytes of a hash that are compared.
+LEAST_BITS, MOST_BITS, ELEMENT = 512, 8192, 5
+#: Points meant for a block of a key's points, and bytes of sketches that a task compares at once.
+BLOCK, SKETCHED = 1024, 4 << 20
 #: Sets that a task remembers so as to hand on a repeated one only once.
 REMEMBERED = 1 << 18
 #: Points of its key with which a point is compared before all pairs are that are not connected by then.
@@ -157,25 +159,45 @@ def _prefixes(docs: DataFrame, text_col: str, shingle: int, frequent: np.ndarray
     return map_arrow(_texts(docs, text_col), kernel, "key long, point long, place long")
 
 
-def counts(grams: np.ndarray) -> bytes:
-    """How many elements of a set fall into each of BINS bins, as 16-bit numbers (the greatest stands for more)."""
-    return np.minimum(np.bincount((grams >> np.uint64(16)).astype(np.int64) % BINS, minlength=BINS), 65535).astype("<u2").tobytes()
+def sketch(grams: np.ndarray) -> bytes:
+    """Of each of some bins, whether an odd number of elements falls into it. The bins are two for each element, up to a power of two."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(grams) - 1).bit_length() if len(grams) else 0))
+    odd = np.bincount((grams >> np.uint64(16)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(sketches: list[bytes], words: int) -> np.ndarray:
+    """Sketches of so many 64-bit words, or of twice as many, with so many: halves of bins fall together, and so do their parities."""
+    out = np.empty((len(sketches), words), np.uint64)
+    long = np.array([len(x) > 8 * words for x in sketches], bool)
+    for twice in (False, True):
+        at = np.flatnonzero(long == twice)
+        flat = np.frombuffer(b"".join(sketches[i] for i in at.tolist()), np.uint64).reshape(len(at), words << twice)
+        out[at] = flat[:, :words] ^ flat[:, words:] if twice else flat
+    return out
+
+
+def _far(x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether sets (rows of sketches, sizes together) differ in more than a ninth of their elements: bins of other parity hold each an element that one set alone has."""
+    return np.bitwise_count(x ^ y).sum(1, dtype=np.int64) * 9 > sizes
 
 
 def _fitting(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """Pairs that may be similar: sets share no more elements than the lesser counts of all bins together. points: point, n, counts."""
+    """Pairs that may be similar, by their sizes and sketches. points: point, n, sketch."""
 
     def kernel(it):
         for b in it:
-            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), "<u2").reshape(-1, BINS) for k in (2, 3))
-            sizes = b.column(4).to_numpy(zero_copy_only=False)
-            most = np.minimum(x, y).sum(1, dtype=np.int64)
-            full = (x == 65535).any(1) | (y == 65535).any(1)
-            keep = pa.array(full | (most * 9 >= sizes * 4))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
-
-    one = lambda c: points.select(F.col("point").alias(c), F.col("counts").alias(f"c{c}"), F.col("n").alias(f"n{c}"))
-    both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "ca", "cb", (F.col("na") + F.col("nb")).alias("n"))
+            n, m = (b.column(k).to_numpy(zero_copy_only=False) for k in (4, 5))
+            x, y = b.column(2).to_pylist(), b.column(3).to_pylist()
+            keep = np.minimum(n, m) * 5 >= np.maximum(n, m) * 4
+            words = np.minimum([len(v) for v in x], [len(v) for v in y]) // 8
+            for w in np.unique(words[keep]).tolist():
+                at = np.flatnonzero(keep & (words == w))
+                keep[at] = ~_far(_folded([x[i] for i in at.tolist()], w), _folded([y[i] for i in at.tolist()], w), (n + m)[at])
+            yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(keep)) for k in (0, 1)], names=["a", "b"])
+
+    one = lambda c: points.select(F.col("point").alias(c), F.col("sketch").alias(f"s{c}"), F.col("n").alias(f"n{c}"))
+    both = pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "sa", "sb", "na", "nb")
     return map_arrow(both, kernel, "a long, b long")
 
 
@@ -205,12 +227,12 @@ def _compared(it):
         yield from batches(out, 1, {"a": np.array([now[0]], np.int64), "b": np.array([now[1]], np.int64)})
 
 
-def verified(pairs: DataFrame, docs: DataFrame, text_col: str, marks: DataFrame, points: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs (a, b) of points whose sets are similar. marks: point and h (hash of the text) of docs; points: point, n, counts.
+def verified(pairs: DataFrame, docs: DataFrame, text_col: str, marks: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The pairs (a, b) of points whose sets are similar. marks: point and h (hash of the text) of docs.
 
-    What the bins' counts rule out is not compared. Sets travel as the first ELEMENT bytes of each hash.
+    Sets travel as the first ELEMENT bytes of each hash.
     """
-    pairs = saved(_fitting(pairs, points), "pairs")
+    pairs = saved(pairs, "pairs")
     if pairs.isEmpty():
         return pairs
     asks = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("point"))
@@ -237,9 +259,73 @@ def _pair(x: Column, y: Column) -> tuple[Column, Column]:
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
-def _met(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of joined rows x and y with one key that may be similar."""
-    return pairs.where(_fit(F.col("x.place"), F.col("y.place"))).select(*_pair(F.col("x.point"), F.col("y.point"))).distinct()
+def _blocks(rest: DataFrame, points: DataFrame) -> DataFrame:
+    """(key, low, high, block, point, place, root, sketch): the points of each key in blocks of some BLOCK, each pair of which is a group.
+
+    A key of few points is one group. rest: key, point, place, root, met (how many points the key has).
+    """
+    blocks = F.ceil(F.col("met") / BLOCK).cast("int")
+    cut = rest.join(points.select("point", "sketch"), "point").withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("point"), blocks).cast("int")})
+    other = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    groups = other.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "point", "place", "root", "sketch")
+    return groups.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+
+def _meeting(group, block, across, point, place, root, sketches) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b) of points of one group and several roots that may be similar, by sizes, positions and sketches. Rows of a group stand together; across: its pairs are those of two blocks."""
+    size, position = place >> 32, place & ((1 << 32) - 1)
+    words = np.array([len(x) // 8 for x in sketches], np.int64)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for w in np.unique(words).tolist():
+        # sets of similar size have sketches of one length, or of one and its double
+        mine = np.flatnonzero((words == w) | (words == 2 * w))
+        sketch = _folded([sketches[i] for i in mine.tolist()], w)
+        of, at, k = group[mine], np.arange(len(mine)), 1
+        while True:  # each row with the k-th after it, as long as a group has so many
+            at = at[at + k < len(mine)]
+            at = at[of[at] == of[at + k]]
+            if not len(at):
+                break
+            x, y = mine[at], mine[at + k]
+            n, m = size[x], size[y]
+            # of the first common shingle on, no more can be in common
+            apt = (root[x] != root[y]) & (np.minimum(words[x], words[y]) == w) & (~across[x] | (block[x] != block[y]))
+            apt &= (np.minimum(n, m) * 5 >= np.maximum(n, m) * 4) & (np.minimum(n - position[x], m - position[y]) * 9 >= (n + m) * 4)
+            apt[apt] = ~_far(sketch[at[apt]], sketch[at[apt] + k], (n + m)[apt])
+            left.append(point[x[apt]])
+            right.append(point[y[apt]])
+            k += 1
+    a, b = np.concatenate(left), np.concatenate(right)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _met(it):
+    """Pairs (a, b) of the rows of _blocks, whole groups at a time."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compared(rows: pa.Table):
+        key, low, high, block, point, place, root = (rows.column(k).to_numpy() for k in range(7))
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+        pairs = np.unique(np.stack(_meeting(np.cumsum(new), block, low != high, point, place, root, rows.column(7).to_pylist())), axis=1)
+        yield from batches(out, 50_000, {"a": pairs[0], "b": pairs[1]})
+
+    held, size = [], 0
+    for batch in it:
+        if not len(batch):
+            continue
+        held.append(batch)
+        size += batch.column(7).nbytes
+        if size > SKETCHED:
+            rows = pa.Table.from_batches(held)
+            ends = rows.slice(len(rows) - 1).select([0, 1, 2]).to_pylist()[0]
+            last = np.logical_and.reduce([rows.column(k).to_numpy() == v for k, v in enumerate(ends.values())])
+            first = int(np.flatnonzero(last)[0])
+            if first:
+                yield from compared(rows.slice(0, first))
+                held = rows.slice(first).combine_chunks().to_batches()
+                size = sum(b.column(7).nbytes for b in held)
+    if held:
+        yield from compared(pa.Table.from_batches(held))
 
 
 def _introduced(apart: DataFrame) -> DataFrame:
@@ -260,8 +346,9 @@ def completed(docs: DataFrame, text_col: str, marks: DataFrame, points: DataFram
     """(a, b): known links and as many more as connect exactly what all similar pairs of points would.
 
     Prefixes are shuffled once, by shingle. A point is first compared with the least of each of its shingles and with
-    some others, so that a cluster costs no more than its size; then the pairs of one shingle that are not connected yet,
-    small sets with those up to a quarter larger.
+    some others, so that a cluster costs no more than its size. Then the points of a shingle that are not connected yet
+    meet in blocks: a task compares the sketches of all pairs of two blocks, and only pairs that these cannot tell
+    apart become rows, whose sets are compared.
     """
     key = Window.partitionBy("key")
     rows = _prefixes(docs, text_col, shingle, _frequent(docs, text_col, shingle, n))
@@ -275,13 +362,12 @@ def completed(docs: DataFrame, text_col: str, marks: DataFrame, points: DataFram
             found = shared.join(root, F.col("point") == F.col("node"), "left").select("key", "point", "place", F.coalesce("root", "point").alias("root"))
         else:
             found = shared.withColumn("root", F.col("point"))
-        return found.withColumns({"lo": F.min("root").over(key), "hi": F.max("root").over(key)}).where("lo < hi").drop("lo", "hi")
+        return found.withColumns({"lo": F.min("root").over(key), "hi": F.max("root").over(key), "met": F.count("*").over(key)}).where("lo < hi").drop("lo", "hi")
 
     band = F.floor(F.log(F.shiftright("place", 32)) / float(np.log(1.25))).cast("int")
     apart = saved(named(known).withColumn("band", band), "apart")
-    first = verified(_introduced(apart), docs, text_col, marks, points, shingle)
+    first = verified(_fitting(_introduced(apart), points), docs, text_col, marks, shingle)
     both = saved(known.union(first), "links")
-    rest = saved(named(both).withColumn("band", band), "rest")
-    less = rest.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-    pairs = less.alias("x").join(rest.alias("y"), ["key", "band"]).where((F.shiftright("x.place", 32) <= F.shiftright("y.place", 32)) & (F.col("x.root") != F.col("y.root")))
-    return both.union(verified(_met(pairs), docs, text_col, marks, points, shingle))
+    rest = saved(named(both), "rest")
+    pairs = map_arrow(_blocks(rest, points), _met, "a long, b long").distinct()
+    return both.union(verified(pairs, docs, text_col, marks, shingle))

@@ -267,19 +267,19 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def kernel(it):
         for batch in it:
             sets = [nearcopies.shingles(t, shingle) for t in batch.column(2).cast(pa.binary()).to_pylist()]
-            made = [pa.array([nearcopies.point(g) for g in sets], pa.int64()), pa.array(np.array([majority(g) for g in sets], np.uint64).view(np.int64)), pa.array([len(g) for g in sets], pa.int64()), pa.array([nearcopies.counts(g) for g in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["id", "h", "point", "fp", "n", "counts"])
+            made = [pa.array([nearcopies.point(g) for g in sets], pa.int64()), pa.array(np.array([majority(g) for g in sets], np.uint64).view(np.int64)), pa.array([len(g) for g in sets], pa.int64()), pa.array([nearcopies.sketch(g) for g in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["id", "h", "point", "fp", "n", "sketch"])
 
     name, h = F.col(f"`{id_col}`"), nearcopies.text_hash(text_col)
-    schema = T.StructType([T.StructField("id", kind), *(T.StructField(c, T.LongType()) for c in ("h", "point", "fp", "n")), T.StructField("counts", T.BinaryType())])
+    schema = T.StructType([T.StructField("id", kind), *(T.StructField(c, T.LongType()) for c in ("h", "point", "fp", "n")), T.StructField("sketch", T.BinaryType())])
     marks = saved(map_arrow(docs.select(name.alias("id"), h.alias("h"), F.col(f"`{text_col}`").cast("string").alias("text")), kernel, schema), "marks")
-    points = saved(marks.dropDuplicates(["point"]).select("point", "fp", "n", "counts"), "points")
+    points = saved(marks.dropDuplicates(["point"]).select("point", "fp", "n", "sketch"), "points")
     least = saved(points.groupBy("fp").agg(F.min("point").alias("lead"), F.max("point").alias("last")), "fingerprints")
     same = points.join(least.where("lead < last"), "fp").where("point <> lead").select(F.col("point").alias("a"), F.col("lead").alias("b"))
     near = neighbours(least.select("fp"), radius)
     lead = lambda c: least.select(F.col("fp").alias(c), F.col("lead").alias(f"p{c}"))
     near = near.join(lead("a"), "a").join(lead("b"), "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"))
-    known = nearcopies.verified(same.union(near).distinct(), docs, text_col, marks, points, shingle)
+    known = nearcopies.verified(nearcopies._fitting(same.union(near).distinct(), points), docs, text_col, marks, shingle)
     root = components(nearcopies.completed(docs, text_col, marks, points, known, marks.count(), shingle))
     classes = marks.join(root, F.col("point") == F.col("node"), "left").groupBy(F.coalesce("root", "point").alias("root"))
     kept = classes.agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("k")).select(F.col("k.id").alias("kept_id"), F.col("k.h").alias("kept_h"))

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline
 from skyquarry.llm import nearcopies, simhash
 
@@ -67,3 +70,41 @@ def test_points_of_a_key_meet_others_than_the_least_at_a_linear_cost(spark):
     assert len(pairs) <= 300 * (1 + 3 * nearcopies.NEXT)
     others = {p: sum(p in x for x in pairs if 0 not in x) for p in range(1, 300)}
     assert min(others.values()) >= nearcopies.NEXT and sum(others.values()) > 299 * 3 * nearcopies.NEXT
+
+
+def test_points_left_meet_in_blocks_and_only_pairs_that_sketches_cannot_tell_apart_become_rows(spark, monkeypatch):
+    """240 sets share one key, all but a few of which differ in more than a ninth: rows stay in proportion, and no similar pair is lost."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(nearcopies, "BLOCK", 50)
+    base = rng.integers(1, 1 << 63, 500).astype(np.uint64)
+    sets = []
+    for i in range(240):
+        size = (40, 200, 270, 500)[i % 4]
+        edits = size // (3 if i % 5 else 20)
+        sets.append(np.unique(np.concatenate([base[: size - edits] if i % 5 else base[:size][rng.permutation(size)[edits:]], rng.integers(1, 1 << 63, edits).astype(np.uint64)])))
+    root = [i // 2 if i % 10 < 2 else i for i in range(240)]
+    rest = spark.createDataFrame([(7, i, len(s) << 32, root[i], 240) for i, s in enumerate(sets)], "key long, point long, place long, root long, met long")
+    points = spark.createDataFrame([(i, len(s), nearcopies.sketch(s)) for i, s in enumerate(sets)], "point long, n long, sketch binary")
+    blocks = nearcopies._blocks(rest, points)
+    assert blocks.count() == 240 * 5 and blocks.select("low", "high").distinct().count() == 15
+    got = {tuple(r) for r in nearcopies.map_arrow(blocks, nearcopies._met, "a long, b long").collect()}
+    every = [(a, b) for b in range(240) for a in range(b) if root[a] != root[b]]
+    common = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b in every}
+    alike = {(a, b) for a, b in every if common[a, b] * 9 >= (len(sets[a]) + len(sets[b])) * 4}
+    assert len(alike) > 200 and alike <= got
+    assert len(got) < 1.2 * len(alike) < len(every) / 5
+
+
+def test_groups_cut_between_batches_and_empty_ones_keep_their_pairs():
+    sketch = nearcopies.sketch(np.arange(1 << 20, 1 << 21, 1 << 16, dtype=np.uint64))
+    rows = [(key, 0, 0, 0, 100 * key + i, 16 << 32, 100 * key + i, sketch) for key in range(30) for i in range(1 + key % 3)]
+    names = ["key", "low", "high", "block", "point", "place", "root", "sketch"]
+    table = pa.table(dict(zip(names, map(pa.array, zip(*rows, strict=True)), strict=True)))
+    for most in (1, 7, 1000):
+        was, nearcopies.SKETCHED = nearcopies.SKETCHED, 64 * most
+        try:
+            got = [p for b in nearcopies._met(iter([*table.to_batches(max_chunksize=4), *table.slice(0, 0).to_batches()])) for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        finally:
+            nearcopies.SKETCHED = was
+        assert sorted(got) == [(100 * key + i, 100 * key + j) for key in range(30) for i in range(1 + key % 3) for j in range(i + 1, 1 + key % 3)]
+    assert list(nearcopies._met(iter([]))) == []
