@@ -307,7 +307,7 @@ def tangent_positions(spark, sf):
     ra0, dec0 = F.col("ra_deg") + (F.col("det_id") % 5 - 2) / 10.0, F.col("dec_deg") + (F.col("det_id") % 7 - 3) / 10.0
     xi, eta = sky.tangent(F.col("ra_deg"), F.col("dec_deg"), ra0, dec0)
     ra, dec = sky.from_tangent(xi, eta, ra0, dec0)
-    near = F.pmod(F.round(ra, 6), F.lit(360.0))
+    near = F.round(ra + 360.0 * F.rint((F.col("ra_deg") - ra) / 360.0), 6)  # in the detection's own turn
     return d.select("det_id", r(xi).alias("xi"), r(eta).alias("eta"), near.alias("ra"), r(dec).alias("dec"))
 
 
