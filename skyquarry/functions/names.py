@@ -24,9 +24,12 @@ def _padded(x: Column, n: int) -> Column:
     return F.lpad(x.cast("long").cast("string"), n, "0")
 
 
-def iau_name(ra: Column, dec: Column, kind: str = "S", observatory: str = "SO") -> Column:
-    """`SO-S Jhhmmss+ddmm.m`, truncated and not rounded. kind: S, SV (to a tenth of a second of time and whole arc seconds), CL (hhmm, ddmm) or short (hhmm+dd)."""
-    ms = F.rint(F.pmod(ra, F.lit(360.0)) / 15.0 * 3.6e6)  # milliseconds of time, then cut
+def iau_name(ra: Column, dec: Column, kind: str = "S", observatory: str = "SO", wrap: bool = True) -> Column:
+    """`SO-S Jhhmmss+ddmm.m`, truncated and not rounded. kind: S, SV (to a tenth of a second of time and whole arc seconds), CL (hhmm, ddmm) or short (hhmm+dd).
+
+    Without wrap the right ascension is taken as it is, so that one of 360 or more has hours from 24 on.
+    """
+    ms = F.rint((F.pmod(ra, F.lit(360.0)) if wrap else ra) / 15.0 * 3.6e6)  # milliseconds of time, then cut
     mas = F.rint(F.abs(dec) * 3.6e6)  # thousandths of an arc second
     hh, mm, ss = F.floor(ms / 3.6e6), F.floor(ms / 6e4) % 60, F.floor(ms / 1e3) % 60
     dd, dm, ds = F.floor(mas / 3.6e6), F.floor(mas / 6e4) % 60, F.floor(mas / 1e3) % 60
