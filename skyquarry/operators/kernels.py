@@ -148,8 +148,9 @@ def regions(pixels: DataFrame, value: str, threshold: float, at_least: int = 2,
     of a region's sum (levels.level_deblended).
     """
     from skyquarry.operators.levels import level_deblended
+    from skyquarry.sources.tables import saved
 
-    over = pixels.where((F.col(value) > threshold) & ~F.isnan(value))
+    over = saved(pixels.where((F.col(value) > threshold) & ~F.isnan(value)), "over")
     if contrast is not None:
         label = level_deblended(over, value, contrast=contrast, at_least=at_least)
     else:
