@@ -69,12 +69,21 @@ def weights_of(at: Column, n: int) -> Column:
 def at_positions(positions: DataFrame, coefs: DataFrame, ny: int, nx: int, key: list[str], y: str = "y", x: str = "x", name: str = "value") -> DataFrame:
     """(map_id, *key, name): the spline at real pixel coordinates of each position; positions outside the image are left out.
 
-    A position takes the sum of its 4 x 4 neighbours' coefficients, joined by map and pixel. key and map_id tell positions apart.
+    The 4 x 4 coefficients around every pixel that has a position are put into one row, which its positions are joined to
+    and summed over. key and map_id tell positions apart. Positions are never broadcast.
     """
     # by way of a generator, so that long expressions of a position are evaluated once and not in every weight
     placed = positions.select("map_id", *key, F.explode(F.array(F.struct(F.col(y).alias("y"), F.col(x).alias("x")))).alias("_at")).select("map_id", *key, F.col("_at.y").alias("_py"), F.col("_at.x").alias("_px"))
     placed = placed.where((F.col("_py") >= 0) & (F.col("_py") <= ny - 1) & (F.col("_px") >= 0) & (F.col("_px") <= nx - 1))
-    inside = placed.select("map_id", *key, weights_of(F.col("_py"), ny).alias("_y"), weights_of(F.col("_px"), nx).alias("_x"))
-    spread = inside.withColumn("_y", F.explode("_y")).withColumn("_x", F.explode("_x"))
-    spread = spread.select("map_id", *key, F.col("_y.i").alias("gy"), F.col("_x.i").alias("gx"), (F.col("_y.w") * F.col("_x.w")).alias("_w"))
-    return spread.join(coefs, ["map_id", "gy", "gx"]).groupBy("map_id", *key).agg(F.sum(F.col("_w") * F.col("c")).alias(name))
+    inside = placed.withColumns({"_ly": F.floor("_py").cast("int"), "_lx": F.floor("_px").cast("int")})
+    around = inside.select("map_id", "_ly", "_lx").distinct()
+    around = around.select("*", F.posexplode(weights_of(F.col("_ly").cast("double"), ny)).alias("_ky", "_y"))
+    around = around.select("*", F.posexplode(weights_of(F.col("_lx").cast("double"), nx)).alias("_kx", "_x"))
+    around = around.select("map_id", "_ly", "_lx", F.col("_y.i").alias("gy"), F.col("_x.i").alias("gx"), (F.col("_ky") * 4 + F.col("_kx")).alias("_k"))
+    blocks = around.hint("merge").join(coefs, ["map_id", "gy", "gx"]).groupBy("map_id", "_ly", "_lx").agg(*[F.sum(F.when(F.col("_k") == k, F.col("c")).otherwise(0.0)).alias(f"_c{k}") for k in range(16)])
+    met = inside.hint("merge").join(blocks, ["map_id", "_ly", "_lx"])
+    # weights are worked out once, as positions are
+    weights = F.struct(weights_of(F.col("_py"), ny).alias("y"), weights_of(F.col("_px"), nx).alias("x"))
+    met = met.select("map_id", *key, *[f"_c{k}" for k in range(16)], F.explode(F.array(weights)).alias("_w"))
+    line = lambda i: sum((F.col("_w.x")[j]["w"] * F.col(f"_c{4 * i + j}") for j in range(1, 4)), F.col("_w.x")[0]["w"] * F.col(f"_c{4 * i}"))
+    return met.select("map_id", *key, sum((F.col("_w.y")[i]["w"] * line(i) for i in range(1, 4)), F.col("_w.y")[0]["w"] * line(0)).alias(name))

@@ -5,8 +5,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from skyquarry.operators import groups, joins, sift
-from skyquarry.plans import domain_queries, queries
+from skyquarry.operators import groups, joins, maps, sift
+from skyquarry.plans import domain_queries, more_queries, queries
 from skyquarry.streaming import streams
 
 
@@ -79,3 +79,19 @@ def test_sets_by_cells_are_those_of_all_pairs(spark):
     got = groups.matched_sets(df, 3.0)
     want = groups.connected(groups.pairwise(df, 3.0))
     assert sorted(got.collect()) == sorted(want.collect()) and got.count() >= 100
+
+
+def spread_is_broadcast(df):
+    """Whether rows that a generator spreads out go into a broadcast, which the planner takes for as small as before."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = range(i + 1, next((k for k in range(i + 1, len(lines)) if depth[k] <= depth[i]), len(lines)))
+            if any("Generate" in lines[k] for k in below):
+                return True
+    return False
+
+
+def test_splines_meet_blocks_of_coefficients(spark, small):
+    assert not spread_is_broadcast(domain_queries.spline_photometry(spark, small))
