@@ -6,35 +6,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def one_a_place(sources: DataFrame, place=("map_id", "gy", "gx")) -> DataFrame:
+    """(*place, source_id): the least source of every place; what is at one place is worked out once, and goes to all of its sources by a join."""
+    return sources.groupBy(*place).agg(F.min("source_id").alias("source_id"))
+
+
 def thumbnails(sources: DataFrame, pixels: DataFrame, half: int, value: str = "flux") -> DataFrame:
     """sources (map_id, source_id, gy, gx) with the box of half-width `half` as rows (dy, dx, v); pixels that a map lacks are absent.
 
-    Sources go to the nine cells of a box's size around them, so that the join is an equi-join whatever the map's size.
+    Places of sources go to the nine cells of a box's size around them, so that the join is an equi-join whatever the map's
+    size, and each source takes its place's box. Sources are many more in cells and boxes than planned with, and never broadcast.
     """
     size = 2 * half + 1
     cell = lambda c: F.floor(F.col(c) / size)
     nine = F.array(*[F.struct(F.lit(a).alias("y"), F.lit(b).alias("x")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    left = sources.select("map_id", "source_id", F.col("gy").alias("sy"), F.col("gx").alias("sx"), (cell("gy")).alias("_y"), cell("gx").alias("_x")).withColumn("_n", F.explode(nine))
-    left = left.select("map_id", "source_id", "sy", "sx", (F.col("_y") + F.col("_n.y")).alias("_cy"), (F.col("_x") + F.col("_n.x")).alias("_cx"))
-    near = left.join(pixels.select("map_id", "gy", "gx", F.col(value).alias("v")).withColumns({"_cy": cell("gy"), "_cx": cell("gx")}), ["map_id", "_cy", "_cx"])
+    places = sources.select("map_id", F.col("gy").alias("sy"), F.col("gx").alias("sx")).distinct()
+    left = places.select("map_id", "sy", "sx", (cell("sy")).alias("_y"), cell("sx").alias("_x")).withColumn("_n", F.explode(nine))
+    left = left.select("map_id", "sy", "sx", (F.col("_y") + F.col("_n.y")).alias("_cy"), (F.col("_x") + F.col("_n.x")).alias("_cx"))
+    near = left.hint("merge").join(pixels.select("map_id", "gy", "gx", F.col(value).alias("v")).withColumns({"_cy": cell("gy"), "_cx": cell("gx")}), ["map_id", "_cy", "_cx"])
     near = near.withColumns({"dy": F.col("gy") - F.col("sy"), "dx": F.col("gx") - F.col("sx")})
-    return near.where((F.abs("dy") <= half) & (F.abs("dx") <= half)).select("map_id", "source_id", "dy", "dx", "v")
+    boxes = near.where((F.abs("dy") <= half) & (F.abs("dx") <= half)).select("map_id", "sy", "sx", "dy", "dx", "v")
+    every = sources.select("map_id", "source_id", F.col("gy").alias("sy"), F.col("gx").alias("sx"))
+    return every.hint("merge").join(boxes, ["map_id", "sy", "sx"]).select("map_id", "source_id", "dy", "dx", "v")
 
 
 def tangent_stamps(sources: DataFrame, coefs: DataFrame, half: int, step_deg: float, ny: int, nx: int, geometry: dict) -> DataFrame:
     """sources (map_id, source_id, ra_deg, dec_deg) with a stamp (dy, dx, v) on the plane that touches the sky at each.
 
     The pixels lie step_deg apart, eastward by dx and northward by dy; their values are the map's spline (coefs of
-    spline2d.coefficients) at where they are seen. Pixels outside the map are absent.
+    spline2d.coefficients) at where they are seen. Pixels outside the map are absent. Sources at one position share a stamp.
     """
     from skyquarry.functions import sky
     from skyquarry.operators.spline2d import at_positions
 
     steps = F.sequence(F.lit(-half), F.lit(half))
-    spread = sources.withColumn("dy", F.explode(steps)).withColumn("dx", F.explode(steps))
+    place = ["map_id", "ra_deg", "dec_deg"]
+    spread = sources.select(*place).distinct().withColumn("dy", F.explode(steps)).withColumn("dx", F.explode(steps))
     ra, dec = sky.from_tangent(F.col("dx") * step_deg, F.col("dy") * step_deg, F.col("ra_deg"), F.col("dec_deg"))
     y, x = sky.pixel_at(ra, dec, **geometry)
-    return at_positions(spread.select("map_id", "source_id", "dy", "dx", y.alias("y"), x.alias("x")), coefs, ny, nx, ["source_id", "dy", "dx"], name="v")
+    found = at_positions(spread.select(*place, "dy", "dx", y.alias("y"), x.alias("x")), coefs, ny, nx, ["ra_deg", "dec_deg", "dy", "dx"], name="v")
+    return sources.select(*place, "source_id").hint("merge").join(found, place).select("map_id", "source_id", "dy", "dx", "v")
 
 
 def as_arrays(thumbs: DataFrame, half: int) -> DataFrame:

@@ -95,3 +95,7 @@ def spread_is_broadcast(df):
 
 def test_splines_meet_blocks_of_coefficients(spark, small):
     assert not spread_is_broadcast(domain_queries.spline_photometry(spark, small))
+
+
+def test_thumbnails_of_a_place(spark, small):
+    assert not spread_is_broadcast(more_queries.thumbnails(spark, small))
