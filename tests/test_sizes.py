@@ -99,3 +99,11 @@ def test_splines_meet_blocks_of_coefficients(spark, small):
 
 def test_thumbnails_of_a_place(spark, small):
     assert not spread_is_broadcast(more_queries.thumbnails(spark, small))
+
+
+def test_tangent_stamps_at_one_position_are_shared(spark, small):
+    out = domain_queries.tangent_stamps(spark, small)
+    assert not spread_is_broadcast(out)
+    # summed within a row, not by an aggregate of a source's pixels
+    aggregates = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate" in line]
+    assert not any("source_id" in line for line in aggregates)
