@@ -53,17 +53,18 @@ def centre_of_mass(sources: DataFrame, pixels: DataFrame, half: int, radius: flo
     """sources (map_id, source_id, gy, gx) with (y, x), the centre of mass of snr^2 over the region of strong pixels at their pixel.
 
     Strong is an snr over the least one, with kappa at least tolerance of the map's maximum, within radius pixels; a
-    region is 4-connected. Without a region at its pixel a source keeps its own. A source's box is one small array.
+    region is 4-connected. Without a region at its pixel a source keeps its own. A place's box is one small array.
     """
     import numpy as np
     import pandas as pd
 
-    from skyquarry.operators.stamps import thumbnails
+    from skyquarry.operators.stamps import one_a_place, thumbnails
 
     top = pixels.groupBy("map_id").agg(F.max("kappa").alias("_top"))
     floor = F.greatest(F.col("kappa"), F.when(F.col("_top") == 0, 1.0).otherwise(F.col("_top")) * tolerance)
     strong = pixels.join(top, "map_id").withColumn("sn2", F.col("rho") * F.col("rho") / floor)
-    near = thumbnails(sources.select("map_id", "source_id", "gy", "gx"), strong, half, "sn2").where((F.col("v") > snr_at_least**2) & (F.sqrt(F.col("dy") * F.col("dy") + F.col("dx") * F.col("dx")) < radius))
+    ones = one_a_place(sources)
+    near = thumbnails(ones, strong, half, "sn2").where((F.col("v") > snr_at_least**2) & (F.sqrt(F.col("dy") * F.col("dy") + F.col("dx") * F.col("dx")) < radius))
     boxes = near.groupBy("map_id", "source_id").agg(F.collect_list(F.struct("dy", "dx", "v")).alias("box"))
     size = 2 * half + 1
 
@@ -93,7 +94,8 @@ def centre_of_mass(sources: DataFrame, pixels: DataFrame, half: int, radius: flo
 
     kinds = {f.name: f.dataType.simpleString() for f in sources.schema.fields}
     moved = boxes.mapInPandas(kernel, f"map_id {kinds['map_id']}, source_id {kinds['source_id']}, oy double, ox double")
-    out = sources.join(moved, ["map_id", "source_id"], "left")
+    moved = ones.hint("merge").join(moved, ["map_id", "source_id"]).drop("source_id")
+    out = sources.hint("merge").join(moved, ["map_id", "gy", "gx"], "left")
     return out.withColumns({"y": F.col("gy") + F.coalesce("oy", F.lit(0.0)), "x": F.col("gx") + F.coalesce("ox", F.lit(0.0))}).drop("oy", "ox")
 
 
@@ -243,16 +245,21 @@ def flat_fielded(pixels: DataFrame, size: int, value: str = "flux", sigma: float
 
 
 def annulus_snr(sources: DataFrame, pixels: DataFrame, half: int, inner: Column, snr_cut: float = 5.0, ratio_cut: float = 10.0, value: str = "flux") -> DataFrame:
-    """sources (map_id, source_id, gy, gx, peak, snr) with the noise of the box around them outside `inner` pixels, and the new snr."""
+    """sources (map_id, source_id, gy, gx, peak, snr) with the noise of the box around them outside `inner` pixels, and the new snr.
+
+    Noise is measured once for every place and inner radius. Sources are never broadcast.
+    """
     size = 2 * half + 1
     cell = lambda c: F.floor(F.col(c) / size)
-    spread = sources.withColumn("_dy", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumn("_dx", F.explode(F.array(*map(F.lit, (-1, 0, 1)))))
-    spread = spread.select("map_id", "source_id", F.col("gy").alias("sy"), F.col("gx").alias("sx"), inner.alias("_in"), (cell("gy") + F.col("_dy")).alias("_cy"), (cell("gx") + F.col("_dx")).alias("_cx"))
-    near = spread.join(pixels.select("map_id", "gy", "gx", value).withColumns({"_cy": cell("gy"), "_cx": cell("gx")}), ["map_id", "_cy", "_cx"])
+    sources = sources.withColumn("_in", inner)
+    place = ["map_id", "gy", "gx", "_in"]
+    spread = sources.select(*place).distinct().withColumn("_dy", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumn("_dx", F.explode(F.array(*map(F.lit, (-1, 0, 1)))))
+    spread = spread.select("map_id", F.col("gy").alias("sy"), F.col("gx").alias("sx"), "_in", (cell("gy") + F.col("_dy")).alias("_cy"), (cell("gx") + F.col("_dx")).alias("_cx"))
+    near = spread.hint("merge").join(pixels.select("map_id", "gy", "gx", value).withColumns({"_cy": cell("gy"), "_cx": cell("gx")}), ["map_id", "_cy", "_cx"])
     dy, dx = F.col("gy") - F.col("sy"), F.col("gx") - F.col("sx")
     ring = near.where((F.abs(dy) <= half) & (F.abs(dx) <= half) & (F.sqrt(dy * dy + dx * dx) >= F.col("_in")) & ~F.isnan(value))
-    noise = ring.groupBy("map_id", "source_id").agg(F.stddev_pop(value).alias("rms"), F.count("*").alias("n_pixels"))
-    out = sources.join(noise, ["map_id", "source_id"], "left").withColumn("new_snr", F.when(F.col("rms") > 0, F.try_divide(F.col("peak"), F.col("rms"))))
+    noise = ring.groupBy("map_id", F.col("sy").alias("gy"), F.col("sx").alias("gx"), "_in").agg(F.stddev_pop(value).alias("rms"), F.count("*").alias("n_pixels"))
+    out = sources.hint("merge").join(noise, place, "left").drop("_in").withColumn("new_snr", F.when(F.col("rms") > 0, F.try_divide(F.col("peak"), F.col("rms"))))
     return out.withColumn("kept", F.coalesce((F.col("new_snr") > snr_cut) & (F.try_divide(F.col("snr"), F.col("new_snr")) < ratio_cut), F.lit(False)))
 
 

@@ -93,6 +93,17 @@ def spread_is_broadcast(df):
     return False
 
 
+def test_annulus_noise_of_a_place(spark, small):
+    assert not spread_is_broadcast(queries.annulus_snr(spark, small))
+    pixels = spark.createDataFrame([(0, y, x, float((y * 7 + x * 3) % 11)) for y in range(9) for x in range(9)], "map_id int, gy int, gx int, flux double")
+    sources = spark.createDataFrame([(0, i, 4, 4, 10.0 * i, 8.0, i % 2) for i in range(1, 5)], "map_id int, source_id long, gy int, gx int, peak double, snr double, k int")
+    got = {r["source_id"]: r for r in maps.annulus_snr(sources, pixels, 3, 1.0 + F.col("k")).collect()}
+    for i in range(1, 5):
+        ring = [(y * 7 + x * 3) % 11 for y in range(1, 8) for x in range(1, 8) if math.hypot(y - 4, x - 4) >= 1 + i % 2]
+        mean = sum(ring) / len(ring)
+        assert got[i]["n_pixels"] == len(ring) and math.isclose(got[i]["new_snr"], 10.0 * i / math.sqrt(sum((v - mean) ** 2 for v in ring) / len(ring)))
+
+
 def test_splines_meet_blocks_of_coefficients(spark, small):
     assert not spread_is_broadcast(domain_queries.spline_photometry(spark, small))
 
