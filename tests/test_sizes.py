@@ -104,6 +104,10 @@ def test_annulus_noise_of_a_place(spark, small):
         assert got[i]["n_pixels"] == len(ring) and math.isclose(got[i]["new_snr"], 10.0 * i / math.sqrt(sum((v - mean) ** 2 for v in ring) / len(ring)))
 
 
+def test_centres_of_mass_of_a_place(spark, small):
+    assert not spread_is_broadcast(domain_queries.centre_of_mass(spark, small))
+
+
 def test_splines_meet_blocks_of_coefficients(spark, small):
     assert not spread_is_broadcast(domain_queries.spline_photometry(spark, small))
 
