@@ -93,6 +93,10 @@ def spread_is_broadcast(df):
     return False
 
 
+def test_fit_counts_fits_each_place_once(spark, small):
+    assert not spread_is_broadcast(domain_queries.fit_counts(spark, small))
+
+
 def test_fitted_sources_fits_each_place_once(spark, small):
     out = more_queries.fitted_sources(spark, small)
     assert not spread_is_broadcast(out) and "source_id" in out.columns and "map_id" not in out.columns
