@@ -328,12 +328,20 @@ def greedy_suppressed(peaks: DataFrame, radius: Column) -> DataFrame:
 
     Peaks meet by cells as wide as the largest radius. In every round, a table in the shared folder, those with a kept
     stronger neighbour go, and those whose stronger neighbours have all gone stay; there are as many rounds as the longest chain.
+
+    Of peaks at one place with one radius only the strongest takes part: if it is kept the others go by it, and what
+    drops it drops them. So as many peaks at few places are as few.
     """
     from skyquarry.sources.tables import saved
 
     order = F.struct(F.col("v").isNull().alias("none"), (-F.col("v")).alias("k"), "peak_id", "x", "y", F.col("r").alias("r"), F.col("row").alias("row"))
     rows = peaks.select("map_id", "peak_id", "x", "y", "v", radius.cast("double").alias("r"), F.monotonically_increasing_id().alias("row"))
-    rows = saved(rows.withColumn("o", order), "peaks")
+    rows = rows.withColumn("o", order)
+    # peaks without a finite place or a radius stand for themselves
+    placed = (F.abs("x") < float("inf")) & (F.abs("y") < float("inf")) & ~F.isnan("r") & F.col("map_id").isNotNull()
+    lone = F.when(F.coalesce(placed, F.lit(False)), -1).otherwise(F.col("row"))
+    rows = rows.groupBy("map_id", F.col("x").alias("_x"), F.col("y").alias("_y"), F.abs("r").alias("_r"), lone.alias("_lone")).agg(F.min("o").alias("o"))
+    rows = saved(rows.select("map_id", "o.peak_id", "o.x", "o.y", (-F.col("o.k")).alias("v"), "o.r", "o.row", "o"), "peaks")
     wide = rows.agg(F.max(F.abs("r"))).first()[0] or 0.0
     width = float(wide) if wide > 0 else 1.0
     cell = [F.floor(F.col(c) / width).alias(f"c{c}") for c in ("x", "y")]

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from skyquarry.operators import groups, joins, maps, sift
+from skyquarry.operators import groups, joins, maps, moving, sift
 from skyquarry.plans import domain_queries, more_queries, queries
 from skyquarry.streaming import streams
 
@@ -135,3 +135,25 @@ def test_tangent_stamps_at_one_position_are_shared(spark, small):
     # summed within a row, not by an aggregate of a source's pixels
     aggregates = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate" in line]
     assert not any("source_id" in line for line in aggregates)
+
+
+def test_peaks_at_one_place_are_one(spark, monkeypatch):
+    from skyquarry.sources import tables
+
+    rng, sizes, saved = random.Random(4), [], tables.saved
+    rows = [(0, i, float(rng.randrange(12)), float(rng.randrange(12)), float(rng.randrange(9)), rng.choice([0.0, 1.0, 2.5])) for i in range(2000)] + [(0, 5000 + i, None, 1.0, 1.0, 1.0) for i in range(2)]
+    kept = []
+    for p in sorted(rows, key=lambda p: (-p[4], p[1])):
+        if p[2] is None or not any(q[2] is not None and (q[2] - p[2]) ** 2 + (q[3] - p[3]) ** 2 <= p[5] ** 2 for q in kept):
+            kept.append(p)
+
+    def counted(df, name):
+        out = saved(df, name)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(tables, "saved", counted)
+    df = spark.createDataFrame(rows, "map_id int, peak_id long, x double, y double, v double, rad double")
+    got = maps.greedy_suppressed(df, F.col("rad")).collect()
+    assert sorted((r["peak_id"], r["v"]) for r in got) == sorted((p[1], p[4]) for p in kept)
+    assert max(n for name, n in sizes if name == "peaks") <= 12 * 12 * 3 + 2
