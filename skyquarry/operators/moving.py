@@ -34,8 +34,11 @@ def refined(objects: DataFrame, pieces: DataFrame, pixel_jd: DataFrame, locate:
     """Objects (ask_id, designation, jd) moved to where their map saw them: position at a time, the pixel's time there, the position then.
 
     It ends for an object when its move is under the tolerance, and at the latest after `rounds`. Objects whose pixel has
-    no time keep their last position, not converged.
+    no time keep their last position, not converged. Asks for one object and time are one.
     """
+    asked, pieces = objects, saved(pieces, "pieces")
+    objects = saved(asked.select("designation", "jd").distinct().withColumn("ask_id", F.monotonically_increasing_id()), "asks")
+    pixel_jd = saved(pixel_jd, "times")
     now = at_times(objects, pieces).withColumn("converged", F.lit(False))
     for _ in range(rounds):
         seen = now.withColumns({"gy": locate[0], "gx": locate[1]}).join(pixel_jd, ["gy", "gx"], "left")
@@ -44,7 +47,9 @@ def refined(objects: DataFrame, pieces: DataFrame, pixel_jd: DataFrame, locate:
         now = saved(now.join(new.select("ask_id"), "ask_id", "left_anti").unionByName(new.select(now.columns)), "moving")
         if new.where("not converged").limit(1).count() == 0:
             break
-    return now
+    first = objects.select("ask_id", F.col("designation").alias("_d"), F.col("jd").alias("_jd")).join(now, "ask_id").drop("ask_id")
+    both = asked.select("ask_id", F.col("designation").alias("_d"), F.col("jd").alias("_jd")).hint("merge").join(first, ["_d", "_jd"])
+    return both.select("ask_id", *[c for c in now.columns if c != "ask_id"])
 
 
 def tracks(maps: DataFrame, pieces: DataFrame, pixel_jd: DataFrame, locate: tuple[Column, Column], step_days: float = 10.0 / 1440.0) -> DataFrame:

@@ -157,3 +157,21 @@ def test_peaks_at_one_place_are_one(spark, monkeypatch):
     got = maps.greedy_suppressed(df, F.col("rad")).collect()
     assert sorted((r["peak_id"], r["v"]) for r in got) == sorted((p[1], p[4]) for p in kept)
     assert max(n for name, n in sizes if name == "peaks") <= 12 * 12 * 3 + 2
+
+
+def test_asks_for_one_object_and_time_are_refined_once(spark, monkeypatch):
+    sizes, saved = [], moving.saved
+
+    def counted(df, name):
+        out = saved(df, name)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(moving, "saved", counted)
+    asks = spark.createDataFrame([(i, i % 2, 10.5 + i % 3) for i in range(300)], "ask_id long, designation long, jd double")
+    pieces = spark.createDataFrame([(d, 10.0 + k, 11.0 + k, 5.0 * k, 5.0 * k + 5, 0.0, 0.0) for d in range(2) for k in range(9)], "designation long, jd0 double, jd1 double, ra0 double, ra1 double, dec0 double, dec1 double")
+    times = spark.createDataFrame([(0, x, 10.0 + x / 5) for x in range(60)], "gy int, gx int, pixel_jd double")
+    out = moving.refined(asks, pieces, times, (F.col("dec_deg").cast("int"), F.floor("ra_deg").cast("int"))).collect()
+    assert sorted(r["ask_id"] for r in out) == list(range(300)) and all(r["designation"] == r["ask_id"] % 2 for r in out)
+    assert len({(r["designation"], r["ask_id"] % 3, r["jd"]) for r in out}) == 6
+    assert max(n for name, n in sizes if name == "moving") == 6
