@@ -184,6 +184,11 @@ def shuffled_pairs(df):
     return any("Exchange" in line for line in lines[:joined])
 
 
+def test_pairs_of_a_cone_are_not_shuffled(spark, small):
+    out = queries.cone_all(spark, small)
+    assert not shuffled_pairs(out) and not spread_is_broadcast(out)
+
+
 def test_nearest_of_crowded_positions(spark):
     rng = random.Random(2)
     a = spark.createDataFrame([(i, 10.0 + i % 3, 20.0 + i % 2) for i in range(60)] + [(99, None, 1.0)], "i long, ra_deg double, dec_deg double")
