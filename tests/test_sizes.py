@@ -198,3 +198,8 @@ def test_nearest_of_crowded_positions(spark):
     assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 60
     # rows of one position meet others as one
     assert "i#" not in str(next(line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate" in line))
+
+
+def test_crossmatch_lists_are_shuffled_by_position(spark, small):
+    plan = more_queries.crossmatch_records(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and not any("Exchange hashpartitioning(det_id" in line for line in plan.splitlines())
