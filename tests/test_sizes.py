@@ -137,6 +137,12 @@ def test_tangent_stamps_at_one_position_are_shared(spark, small):
     assert not any("source_id" in line for line in aggregates)
 
 
+def test_stacks_of_a_pixel(spark, small):
+    out = more_queries.stacked_stamps(spark, small)
+    assert not spread_is_broadcast(out)
+    assert out._jdf.queryExecution().executedPlan().toString().count("source_id#") > 0
+
+
 def test_peaks_at_one_place_are_one(spark, monkeypatch):
     from skyquarry.sources import tables
 
